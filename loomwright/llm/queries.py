@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, packing, secret_scan, token_counts, url_filter
+from . import ann, fingerprints, langid, mixing, packing, quality, secret_scan, token_counts, url_filter
 from .common import table
 
 
@@ -16,6 +16,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out()))
+    return langid.predict(docs, model).withColumn("held_out", F.coalesce(langid.held_out(), F.lit(False))).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -38,6 +44,13 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels").filter(~quality.held_out()))
+    scored = quality.score(docs, model).withColumn("held_out", F.coalesce(quality.held_out(), F.lit(False)))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -52,13 +65,20 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op3_language_id": op3_language_id,
     "op4_packing": op4_packing,
     "op5_secret_scan": op5_secret_scan,
+    "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
     "op8_url_filter": op8_url_filter,
     "op9_fingerprints": op9_fingerprints,
+    "op10_nearest": op10_nearest,
 }
 
 SQL: dict[str, str] = {}
