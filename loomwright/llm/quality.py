@@ -169,7 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         made = Network().fit([x[2] for x in rows], y) if len(set(y.tolist())) > 1 else Share(y)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made)], pa.binary())], ["model"])
 
-    return pickle.loads(bytes(sample.repartition(1).mapInArrow(fit, "model binary").collect()[0]["model"]))
+    made = sample.repartition(1).mapInArrow(fit, "model binary").collect()
+    return pickle.loads(bytes(made[0]["model"])) if made else Share(np.zeros(0))
 
 
 def score(docs: DataFrame, model: Network | Share, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:

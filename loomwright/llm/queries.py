@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, fingerprints, langid, mixing, packing, quality, secret_scan, token_counts, url_filter
+from . import ann, fingerprints, langid, mixing, ngram_join, packing, quality, secret_scan, token_counts, url_filter
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.groups(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.filter(~langid.held_out()))
@@ -71,6 +75,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_ngram_join": op2_ngram_join,
     "op3_language_id": op3_language_id,
     "op4_packing": op4_packing,
     "op5_secret_scan": op5_secret_scan,
