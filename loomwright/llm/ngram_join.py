@@ -170,19 +170,21 @@ def _folded(bits: np.ndarray, width: int) -> np.ndarray:
 
 
 class Tile:
-    """The left classes of a tile, banded by the width of their bitmaps."""
+    """The left classes of a tile, banded by the width of their bitmaps. Groups that a link joins count as one from then on."""
 
     def __init__(self, cls: np.ndarray, group: np.ndarray, arrays: list[np.ndarray]):
-        self.cls, self.group, self.arrays = cls, group, arrays
+        self.cls, self.group, self.arrays = cls, group.copy(), arrays
+        self.joined: dict[int, int] = {}
         self.n = np.array([len(a) for a in arrays], np.int64)
         widths = np.array([_width(int(n)) for n in self.n])
         self.bands = {int(w): np.flatnonzero(widths == w) for w in np.unique(widths)}
         self.bits = {w: np.stack([_bitmap(arrays[i], w) for i in own]) for w, own in self.bands.items()}
 
     def linked(self, cls: int, group: int, s: np.ndarray) -> list[int]:
-        """The left classes of other groups that link with s."""
+        """Left classes that link with s, one of each group that is not joined with its own yet."""
         n, out = len(s), []
         width = _width(n)
+        group = self.joined.get(group, group)
         for w, own in self.bands.items():
             if not width // 4 <= w <= width * 4:
                 continue
@@ -197,14 +199,21 @@ class Tile:
             only_theirs = np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64)
             most = np.minimum(n - only_mine, m - only_theirs)
             for i in own[100 * most >= 80 * (n + m - most)]:
+                if self.group[i] == group:
+                    continue
                 a = self.arrays[i]
                 found = np.searchsorted(s, a)
                 found[found == n] = 0
                 both = int((s[found] == a).sum())
                 if 100 * both >= 80 * (n + len(a) - both):
                     out.append(int(i))
+                    self._join(int(self.group[i]), group)
         return out
 
+    def _join(self, old: int, new: int) -> None:
+        self.group[self.group == old] = new
+        self.joined |= {k: new for k, v in self.joined.items() if v == old} | {old: new}
+
 
 def _compare(table: pa.Table) -> pa.Table:
     """Links of the tiles in table (tile, left, cls, grp, keys)."""
