@@ -28,6 +28,7 @@ BAND = (0.2, 0.8)
 GROUPS, LEVELS = 5, 12
 DIGITS = 4
 EMPTY = "-" * DIGITS
+RANGES, RANGE_ROWS = 4_096, 2_000
 
 
 def terms(text: Column) -> Column:
@@ -77,14 +78,24 @@ def fingerprint(text: Column, bits: Column) -> Column:
     return F.array_join(F.transform(F.array(F.sort_array(known)), lambda s: F.array_join(_parts(text, s), "")), "")
 
 
+def bound(value: Column, body) -> Column:
+    """body(value), with value computed once however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal hashes among those that either fingerprint has."""
 
     def cut(x: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.lit(2 * GROUPS * LEVELS)), lambda i: F.substring(x, i * DIGITS + 1, F.lit(DIGITS)))
 
-    pairs = F.filter(F.arrays_zip(cut(a).alias("a"), cut(b).alias("b")), lambda p: (p["a"] != EMPTY) | (p["b"] != EMPTY))
-    return F.size(F.filter(pairs, lambda p: p["a"] == p["b"])) / F.size(pairs)
+    def share(pairs: Column) -> Column:
+        return F.size(F.filter(pairs, lambda p: p["a"] == p["b"])) / F.size(pairs)
+
+    def compared(x: Column) -> Column:
+        return bound(F.filter(F.arrays_zip(cut(x["a"]).alias("a"), cut(x["b"]).alias("b")), lambda p: (p["a"] != EMPTY) | (p["b"] != EMPTY)), share)
+
+    return bound(F.struct(a.alias("a"), b.alias("b")), compared)
 
 
 def with_lexicon(df: DataFrame, lexicon_row: DataFrame) -> DataFrame:
@@ -99,46 +110,65 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.select(F.col("_id").alias(id_col), fingerprint(F.col("_text"), F.col("_lexicon")).alias("fingerprint"))
 
 
-def _links(docs: DataFrame) -> DataFrame:
-    """For each id: _prev, the id that comes before it in descending order (of the largest: the smallest), and _half, the most
-    code points that any row of _prev takes from it. Ids are ranged once, into a written table, so no task sees them all."""
-    ids = docs.groupBy("_id").agg(F.max("_n").alias("_n"), F.min("_text_hash").alias("_text_hash"))
-    ranged = saved(ids.repartitionByRange(max(1, ids.sparkSession.sparkContext.defaultParallelism), F.col("_id").desc()).withColumn("_part", F.spark_partition_id()), "imatch-ids")
-    within = Window.partitionBy("_part").orderBy(F.col("_id").desc())
-    lagged = ranged.withColumn("_prev", F.struct(F.lag("_id").over(within).alias("id"), F.lag("_n").over(within).alias("n"))).withColumn("_place", F.row_number().over(within))
-    last = ranged.groupBy("_part").agg(F.max_by(F.struct(F.col("_id").alias("id"), F.col("_n").alias("n")), F.struct((F.col("_id").isNull()).alias("null"), (-F.col("_id")).alias("down"))).alias("_last"))
-    ring = Window.orderBy("_part")  # a row for each partition of the ids
-    before = last.select("_part", F.coalesce(F.lag("_last").over(ring), F.max_by("_last", "_part").over(Window.partitionBy())).alias("_before"))
-    joined = lagged.join(before, "_part").withColumn("_p", F.when(F.col("_place") == 1, F.col("_before")).otherwise(F.col("_prev")))
-    return joined.select("_id", "_text_hash", F.col("_p.id").alias("_prev"), F.expr("_p.n div 2").alias("_half"))
+def _cuts(ids: DataFrame) -> list[int]:
+    """At most RANGES - 1 ids that cut the table into ranges of about RANGE_ROWS rows or more."""
+    n = ids.count()
+    ranges = min(RANGES, -(-n // RANGE_ROWS))
+    if ranges < 2:
+        return []
+    found = ids.agg(F.percentile_approx("_id", [i / ranges for i in range(1, ranges)], 10 * RANGES)).collect()[0][0]
+    return sorted(set(found or []))
+
+
+def _range(i: Column, cuts: list[int]) -> Column:
+    """The number of cuts that are not above i, by a search in two steps; null is below all."""
+    if not cuts:
+        return F.lit(0)
+
+    def listed(xs: list[int]) -> Column:
+        return F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")
+
+    first = F.greatest(F.size(F.filter(listed(cuts[::64]), lambda c: c <= i)) - 1, F.lit(0)) * 64
+    near = F.slice(listed(cuts), first + 1, F.lit(64))
+    return F.when(i.isNull(), 0).otherwise(first + F.size(F.filter(near, lambda c: c <= i)))
 
 
 def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", band: tuple[float, float] = BAND) -> DataFrame:
     """One row for each document: id, n_chars, edited text, its fingerprint, that of the edited text, near_edited, near_next.
 
     The edited text ends in the beginning of the next document, in descending id (after the last: the first): the last n_chars // 2
-    code points give way to as many of it, or all. Where rows share an id, the next document is the one of the
-    next smaller id whose text has the least hash. Every text is shuffled once to its id and, cut to what is asked for,
-    once more to its neighbour.
+    code points give way to as many of it, or all. Where rows share an id, the next document is the one of the next smaller
+    id whose text has the least hash; null is the smallest id. Texts are shuffled once, to ranges of ids whose cuts are computed
+    beforehand; what a range needs from the one before is at most RANGES documents, looked up apart.
     """
-    text = no_text(text_col)
+    spark = docs.sparkSession
     words = saved(lexicon(docs, text_col, band), "imatch-lexicon")
-    rows = docs.select(F.col(id_col).alias("_id"), text.alias("_text"))
-    links = _links(rows.select("_id", F.length("_text").cast("long").alias("_n"), F.xxhash64("_text").alias("_text_hash")))
-    links = saved(links, "imatch-links").select(F.col("_id").alias("_k"), F.col("_text_hash").alias("_h"), "_prev", "_half")
-    own = rows.join(links, F.col("_id").eqNullSafe(F.col("_k")), "left")
-    own = with_lexicon(own, words).select("_id", "_text", "_h", "_prev", "_half", fingerprint(F.col("_text"), F.col("_lexicon")).alias("_print"))
-    own = own.withColumn("_chosen", F.xxhash64("_text") == F.col("_h"))
-    sent = (
-        own.filter("_chosen").select(F.col("_prev").alias("_to"), F.expr("substring(_text, 1, int(_half))").alias("_head"), F.col("_print").alias("_next_print"))
-        .groupBy("_to").agg(F.first("_head").alias("_head"), F.first("_next_print").alias("_next_print"))
-    )
-    both = own.join(sent, F.col("_id").eqNullSafe(F.col("_to")), "left")
-    n = F.length("_text")
-    edited = F.concat(F.expr("substring(_text, 1, length(_text) - int(length(_text) div 2))"), F.expr("substring(_head, 1, int(length(_text) div 2))"))
-    both = with_lexicon(both.select("_id", n.cast("long").alias("n_chars"), "_print", "_next_print", F.coalesce(edited, F.col("_text")).alias("_edited")), words)
-    done = both.withColumn("_edited_print", fingerprint(F.col("_edited"), F.col("_lexicon")))
+    rows = docs.select(F.col(id_col).alias("_id"), no_text(text_col).alias("_text"))
+    cuts = _cuts(rows.select("_id"))
+    rows = rows.withColumn("_range", _range(F.col("_id"), cuts))
+    last = sorted((r["_range"], r["top"]) for r in rows.groupBy("_range").agg(F.max("_id").alias("top")).collect())
+    kind = dict(rows.dtypes)["_id"]
+    before = spark.createDataFrame([(part, last[i - 1][1]) for i, (part, _) in enumerate(last)], f"_range int, _before {kind}")
+    rows = rows.withColumn("_tie", F.xxhash64("_text"))
+    heads = rows.drop("_range").join(F.broadcast(before), F.col("_id").eqNullSafe(F.col("_before")))
+    heads = heads.withColumn("_n", F.row_number().over(Window.partitionBy("_range").orderBy("_tie"))).filter("_n = 1")
+    heads = saved(with_lexicon(heads, words).select("_range", F.struct("_text", fingerprint(F.col("_text"), F.col("_lexicon")).alias("_print")).alias("_head")), "imatch-heads")
+    printed = with_lexicon(rows, words).select("_id", "_range", "_tie", "_text", fingerprint(F.col("_text"), F.col("_lexicon")).alias("_print"))
+    order = Window.partitionBy("_range").orderBy(F.col("_id").asc_nulls_first(), F.col("_tie").desc())
+    first = (F.row_number().over(order) > 1) & ~F.lag("_id").over(order).eqNullSafe(F.col("_id"))
+    stepped = printed.withColumn("_step", F.when(first, F.lag(F.struct("_text", "_print")).over(order)))
+    carried = stepped.withColumn("_near", F.last("_step", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    both = with_lexicon(carried.join(heads, "_range", "left").withColumn("_next", F.coalesce("_near", "_head")), words)
+    edited = F.concat(F.expr("substring(_text, 1, length(_text) - int(length(_text) div 2))"), F.expr("substring(_next._text, 1, int(length(_text) div 2))"))
+
+    def told(x: Column) -> Column:
+        return F.struct(x["edited"].alias("edited"), x["print"].alias("print"), likeness(F.col("_print"), x["print"]).alias("near"))
+
+    def printed_once(e: Column) -> Column:
+        return bound(F.struct(e.alias("edited"), fingerprint(e, F.col("_lexicon")).alias("print")), told)
+
+    done = both.select("_id", F.length("_text").cast("long").alias("n_chars"), "_print", bound(edited, printed_once).alias("_e"), likeness(F.col("_print"), F.col("_next._print")).alias("near_next"))
     return done.select(
-        F.col("_id").alias(id_col), "n_chars", F.col("_edited").alias("edited"), F.col("_print").alias("fingerprint"), F.col("_edited_print").alias("edited_fingerprint"),
-        likeness(F.col("_print"), F.col("_edited_print")).alias("near_edited"), likeness(F.col("_print"), F.col("_next_print")).alias("near_next"),
+        F.col("_id").alias(id_col), "n_chars", F.col("_e.edited").alias("edited"), F.col("_print").alias("fingerprint"),
+        F.col("_e.print").alias("edited_fingerprint"), F.col("_e.near").alias("near_edited"), "near_next",
     )
