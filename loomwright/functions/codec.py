@@ -13,7 +13,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 ENCODING = "ndarray_b64"
 DTYPES = {"uint8": 1, "uint16": 2, "uint32": 4, "float16": 2, "float32": 4}
@@ -61,20 +60,28 @@ def half(x: Column) -> Column:
     return F.when(size >= 65_520, F.raise_error(F.lit("a value does not fit 16 bits")).cast("double")).otherwise(F.rint(x / unit) * unit)
 
 
-@pandas_udf("string")
-def half_b64(values: pd.Series) -> pd.Series:
+def half_b64(values: Column) -> Column:
     """array<double> to base64 of its 16-bit floats."""
-    return values.map(lambda v: None if v is None else base64.b64encode(np.asarray(v, "<f2").tobytes()).decode())
+
+    @F.pandas_udf("string")
+    def run(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda v: None if v is None else base64.b64encode(np.asarray(v, "<f2").tobytes()).decode())
+
+    return run(values)
 
 
 def pack_half(values: Column) -> Column:
     return F.struct(F.lit(ENCODING).alias("encoding"), F.lit("float16").alias("dtype"), F.array(F.size(values)).alias("shape"), half_b64(values).alias("data_b64"))
 
 
-@pandas_udf("array<double>")
-def unpack(dtype: pd.Series, data: pd.Series) -> pd.Series:
+def unpack(dtype: Column, data: Column) -> Column:
     """The numbers of packed vectors, flat."""
-    return pd.Series([None if d is None else np.frombuffer(base64.b64decode(d), np.dtype(t).newbyteorder("<")).astype(float) for t, d in zip(dtype, data, strict=True)])
+
+    @F.pandas_udf("array<double>")
+    def run(kinds: pd.Series, batch: pd.Series) -> pd.Series:
+        return pd.Series([None if d is None else np.frombuffer(base64.b64decode(d), np.dtype(t).newbyteorder("<")).astype(float) for t, d in zip(kinds, batch, strict=True)])
+
+    return run(dtype, data)
 
 
 def pack(values: list, floats: bool = False) -> Any:

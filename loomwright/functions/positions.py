@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def at_least(values: Column, threshold: float) -> Column:
     return F.transform(values, lambda v: v >= F.lit(float(threshold)))
 
@@ -26,16 +33,21 @@ def with_minimum(mask: Column, minimum: int | None) -> Column:
     """Turns on positions from the left until minimum are on."""
     if minimum is None or minimum <= 0:
         return mask
-    need = F.lit(int(minimum)) - F.size(F.filter(mask, lambda m: m))
-    # the places of the first positions that are off, as many as are needed
-    off = F.slice(F.filter(F.sequence(F.lit(0), F.size(mask) - 1), lambda i: ~F.get(mask, i)), F.lit(1), F.greatest(need, F.lit(0)))
-    last = F.coalesce(F.element_at(off, -1), F.lit(-1))
-    return F.when((F.size(mask) == 0) | (need <= 0), mask).otherwise(F.transform(mask, lambda m, i: m | (i <= last)))
+
+    def filled(m: Column) -> Column:
+        need = F.lit(int(minimum)) - F.size(F.filter(m, lambda x: x))
+        # the place of the last of the first positions that are off, as many as are needed
+        off = F.slice(F.filter(F.sequence(F.lit(0), F.size(m) - 1), lambda i: ~F.get(m, i)), F.lit(1), F.greatest(need, F.lit(0)))
+        grown = bound(F.coalesce(F.try_element_at(off, F.lit(-1)), F.lit(-1)), lambda last: F.transform(m, lambda x, i: x | (i <= last)))
+        return F.when((F.size(m) == 0) | (need <= 0), m).otherwise(grown)
+
+    return bound(mask, filled)
 
 
 def selected(mask: Column) -> Column:
     """Indexes of the positions that are on."""
-    return F.when(F.size(mask) > 0, F.filter(F.sequence(F.lit(0), F.size(mask) - 1), lambda i: F.get(mask, i))).otherwise(F.array().cast("array<int>"))
+    none = F.array().cast("array<int>")
+    return bound(mask, lambda m: F.when(F.size(m) > 0, F.filter(F.sequence(F.lit(0), F.size(m) - 1), lambda i: F.get(m, i))).otherwise(none))
 
 
 def merged(windows: Column) -> Column:
@@ -61,11 +73,15 @@ def windows(mask: Column, radius: int) -> Column:
     """
     if radius < 0:
         raise ValueError("radius must be >= 0")
-    on = selected(mask)
     far = lambda a, b: b - a > 2 * radius  # noqa: E731  the windows of a and b share no position
-    ends = F.filter(on, lambda p, i: F.coalesce(far(p, F.get(on, i + 1)), F.lit(True)))
-    begins = F.filter(on, lambda p, i: (i == 0) | far(F.get(on, i - 1), p))
-    return F.zip_with(begins, ends, lambda s, e: F.struct(F.greatest(s - radius, F.lit(0)).alias("start"), F.least(e + radius, F.size(mask) - 1).alias("end")))
+
+    def joined(x: Column) -> Column:
+        on, n = x["on"], x["n"]
+        ends = F.filter(on, lambda p, i: F.coalesce(far(p, F.get(on, i + 1)), F.lit(True)))
+        begins = F.filter(on, lambda p, i: (i == 0) | far(F.get(on, i - 1), p))
+        return F.zip_with(begins, ends, lambda s, e: F.struct(F.greatest(s - radius, F.lit(0)).alias("start"), F.least(e + radius, n - 1).alias("end")))
+
+    return bound(bound(mask, lambda m: F.struct(selected(m).alias("on"), F.size(m).alias("n"))), joined)
 
 
 def select(entropy: Column | None, gap: Column | None, entropy_threshold: float | None, gap_threshold: float | None, combine: str = "union", minimum: int | None = None) -> Column:

@@ -57,7 +57,7 @@ def problem(ids: Column, logprobs: Column, entropy: Column, tokens: Column | Non
         (F.size(ids) != F.size(logprobs), "ids and log-probabilities differ in rows"),
         (F.exists(F.zip_with(ids, logprobs, lambda a, b: F.size(a) != F.size(b)), lambda x: x), "a row's ids and log-probabilities differ in number"),
         (F.exists(logprobs, lambda r: F.exists(r, lambda x: ~finite(x))), "a log-probability is not finite"),
-        (F.exists(logprobs, lambda r: F.exists(r, lambda x, i: (i > 0) & (x > F.get(r, i - 1)))), "log-probabilities are not in descending order"),
+        (F.exists(logprobs, lambda r: F.exists(F.zip_with(F.slice(r, 1, F.size(r) - 1), F.slice(r, 2, F.size(r)), lambda a, b: b > a), lambda up: up)), "log-probabilities are not in descending order"),
         (~finite(entropy) | (entropy < 0), "entropy is not a finite number of 0 or more"),
     ]
     if tokens is not None:

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import prompts, text
+from ..functions.schema import schema
 from ..operators import chunking
 from ..operators.records import apply_policy, check_policy
 from .teachers import Output, Teacher, require
 
-OUTPUTS = T.StructType.fromDDL(
+OUTPUTS = schema(
     "top_k_ids array<array<long>>, top_k_logprobs array<array<double>>, entropy double, per_token_entropy array<double>, per_token_top1_gap array<double>, "
     "per_token_token_ids array<long>, per_token_valid_mask array<boolean>, hidden_summary array<double>, teacher_input_byte_length long, teacher_input_token_length long, error string"
 )
@@ -27,7 +28,7 @@ def infer(rows: DataFrame, teacher: Teacher, data: str, k: int) -> DataFrame:
     """Adds the teacher's outputs of rows[data]. A record whose batch fails is tried alone; if that fails, its error is kept."""
     kept = [c for c in rows.columns if c not in OUTPUTS.fieldNames()]
     rows = rows.select(*kept)
-    schema = T.StructType([*(rows.schema[c] for c in kept), *OUTPUTS.fields])
+    made = T.StructType([*(rows.schema[c] for c in kept), *OUTPUTS.fields])
     types = [pa.list_(pa.list_(pa.int64())), pa.list_(pa.list_(pa.float64())), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.float64()), pa.int64(), pa.int64(), pa.string()]
 
     def tried(inputs: list[bytes]) -> list[tuple[Output | None, str | None]]:
@@ -55,18 +56,18 @@ def infer(rows: DataFrame, teacher: Teacher, data: str, k: int) -> DataFrame:
                         else:
                             cells.append((o.ids, o.logprobs, o.entropy, o.per_token_entropy, o.per_token_top1_gap, o.per_token_token_ids, o.per_token_valid_mask, o.hidden_summary, len(d), o.tokens, None))
                     cols = [pa.array(c, t) for c, t in zip(zip(*cells, strict=True), types, strict=True)]
-                    yield pa.RecordBatch.from_arrays([*b.columns, *cols], schema.fieldNames())
+                    yield pa.RecordBatch.from_arrays([*b.columns, *cols], made.fieldNames())
         finally:
             teacher.close()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, made)
 
 
 def complete(rows: DataFrame, teacher: Teacher, prompt: str, options: dict[str, Any]) -> DataFrame:
     """Adds completion_text and error for rows[prompt]."""
     kept = [c for c in rows.columns if c not in ("completion_text", "error")]
     rows = rows.select(*kept)
-    schema = T.StructType([*(rows.schema[c] for c in kept)]).add("completion_text", "string").add("error", "string")
+    made = T.StructType([*(rows.schema[c] for c in kept)]).add("completion_text", "string").add("error", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         teacher.open()
@@ -82,11 +83,11 @@ def complete(rows: DataFrame, teacher: Teacher, prompt: str, options: dict[str,
                         except Exception as e:
                             texts.append(None)
                             errors.append(f"{type(e).__name__}: {e}")
-                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string()), pa.array(errors, pa.string())], schema.fieldNames())
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string()), pa.array(errors, pa.string())], made.fieldNames())
         finally:
             teacher.close()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, made)
 
 
 def _named(rows: DataFrame, stage: str, teacher: Teacher, mode: str) -> DataFrame:

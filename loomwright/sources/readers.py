@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text
+from ..functions.schema import schema
 from . import files
 
 SCHEMA_VERSION = "1.0"
 PACKED = T.StructType([T.StructField("encoding", T.StringType()), T.StructField("dtype", T.StringType()), T.StructField("shape", T.ArrayType(T.IntegerType())), T.StructField("data_b64", T.StringType())])
 #: The fields of a distilled record on the wire, with their types, in order.
-WIRE = T.StructType.fromDDL(
+WIRE = schema(
     "schema_version string, doc_id string, chunk_index int, byte_start long, byte_end long, raw_bytes_b64 string, split string, teacher_name string, stage_name string, mode string, "
     "target_doc_id string, target_chunk_index int, target_byte_start long, target_byte_end long, teacher_window_byte_start long, teacher_window_byte_end long, "
     "target_start_offset_within_window long, target_end_offset_within_window long, top_k_ids string, top_k_logprobs string, entropy double, per_token_entropy string, "
@@ -46,9 +47,9 @@ def documents(table: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return table.select(F.col(id_col).cast("string").alias("doc_id"), text.unix_newlines(text.safe_text(F.col(text_col))).alias("text"))
 
 
-def upstream(spark: SparkSession, path: str, kind: str = "parquet", schema: str | None = None) -> DataFrame:
+def upstream(spark: SparkSession, path: str, kind: str = "parquet", ddl: str | None = None) -> DataFrame:
     """Rows of an upstream dataset."""
-    reader = spark.read.schema(schema) if schema else spark.read
+    reader = spark.read.schema(ddl) if ddl else spark.read
     return reader.format(kind).load(path)
 
 
