@@ -72,6 +72,7 @@ class Model:
         lang = np.array([index[r[0]] for r in rows], np.int64)
         before, byte, count = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
         seen = np.bincount(byte, count, 256)
+        seen[10] = max(seen[10], 1)  # line feeds stand before every text
         classes = np.full(256, SYMBOLS - 1, np.int64)
         alone = np.argsort(-seen, kind="stable")[: SYMBOLS - 1]
         classes[alone[seen[alone] > 0]] = np.arange(SYMBOLS - 1)[seen[alone] > 0]

@@ -45,7 +45,8 @@ def test_groups_with_small_blocks_and_crowded_shingles(spark, monkeypatch):
 
 def test_join_of_an_empty_table(spark):
     assert ngram_join.groups(brute.frame(spark, []).limit(0)).count() == 0
-    assert ngram_join.groups(brute.frame(spark, [(1, None, "en", "a"), (2, " ", "en", "a")])).collect() == [(1, 0, 1), (2, 0, 2)] or True
+    blank = ngram_join.groups(brute.frame(spark, [(1, None, "en", "a"), (2, " ", "en", "a")])).collect()
+    assert sorted(map(tuple, blank)) == [(1, 0, 1), (2, 0, 2)]
 
 
 def test_bitmap_bound_never_loses_a_link():
@@ -73,7 +74,7 @@ def vectors(spark, n, d=8, seed=0):
     x = np.random.default_rng(seed).normal(size=(n, d))
     rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
     rows += [(n + i, x[3].tolist(), 0) for i in range(30)]  # copies
-    rows += [(900, None, 0), (920, [0.0] * d, 0), (940, [math.nan, *[1.0] * (d - 1)], 0), (960, [1.0, None, *[1.0] * (d - 2)], 0), (980, [math.inf] * d, 0), (40, x[40].tolist(), 0), (990, [1.0, 2.0], 0)]
+    rows += [(900, None, 0), (920, [0.0] * d, 0), (940, [math.nan, *[1.0] * (d - 1)], 0), (960, [1.0, None, *[1.0] * (d - 2)], 0), (980, [math.inf] * d, 0), (min(40, n - 1), x[min(40, n - 1)].tolist(), 0), (990, [1.0, 2.0], 0)]
     return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int").repartition(3)
 
 
