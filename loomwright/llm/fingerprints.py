@@ -51,36 +51,37 @@ def lexicon(docs: DataFrame, text_col: str = "text", band: tuple[float, float] =
     return whole.agg(F.transform(sorted_, lambda x: x["bits"]).alias("_lexicon"))
 
 
-def _parts(text: Column, found: Column) -> Column:
-    """The hashes of the whole band and of the nested subsets. found: sorted terms of the lexicon."""
+def bound(value: Column, body) -> Column:
+    """body(value), with value computed once however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    def hashed(ts: Column) -> Column:
-        return F.when(F.size(ts) > 0, F.lower(F.lpad(F.hex(F.xxhash64(ts).bitwiseAND((1 << 4 * DIGITS) - 1)), DIGITS, "0"))).otherwise(F.lit(EMPTY))
 
-    whole = F.when(F.size(found) > 0, hashed(found)).otherwise(F.substring(F.sha2(text, 256), 1, DIGITS))
-    again = F.sort_array(F.transform(found, lambda t: F.xxhash64(t)))
+def _hash(ts: Column) -> Column:
+    digits = F.hex(F.xxhash64(ts).bitwiseAND((1 << 4 * DIGITS) - 1).bitwiseOR(1 << 4 * DIGITS))
+    return F.when(F.size(ts) > 0, F.substring(digits, 2, DIGITS)).otherwise(F.lit(EMPTY))
 
-    def family(ts: Column, g: int) -> Column:
-        start = F.struct(ts.alias("t"), F.array().cast("array<string>").alias("h"))
 
-        def step(acc: Column, bit: Column) -> Column:
-            kept = F.filter(acc["t"], lambda t: F.call_function("getbit", t, bit) == 0)
-            return F.struct(kept.alias("t"), F.concat(acc["h"], F.array(hashed(kept))).alias("h"))
+def _subsets(terms_: Column, first_bit: Column) -> Column:
+    """The hashes of LEVELS nested subsets of sorted terms: each keeps the terms of the one before whose next bit is 0."""
 
-        return F.aggregate(F.sequence(F.lit(g * LEVELS), F.lit((g + 1) * LEVELS - 1)), start, step, lambda acc: acc["h"])
+    def step(acc: Column, level: Column) -> Column:
+        kept = F.filter(acc["t"], lambda t: F.call_function("getbit", t, first_bit + level) == 0)
+        return bound(kept, lambda k: F.struct(k.alias("t"), F.concat(acc["h"], F.array(_hash(k))).alias("h")))
 
-    return F.concat(F.array(whole), *(family(ts, g) for ts in (found, again) for g in range(GROUPS)))
+    start = F.struct(terms_.alias("t"), F.array().cast("array<string>").alias("h"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), start, step, lambda acc: acc["h"])
 
 
 def fingerprint(text: Column, bits: Column) -> Column:
     """The fingerprint of a text; bits: the lexicon."""
     known = F.filter(terms(text), lambda t: F.call_function("getbit", F.element_at(bits, F.shiftright(t.bitwiseAND((1 << SLOT_BITS) - 1), 6).cast("int") + 1), t.bitwiseAND(63).cast("int")) == 1)
-    return F.array_join(F.transform(F.array(F.sort_array(known)), lambda s: F.array_join(_parts(text, s), "")), "")
 
+    def parts(x: Column) -> Column:
+        whole = F.when(F.size(x["a"]) > 0, _hash(x["a"])).otherwise(F.upper(F.substring(F.sha2(text, 256), 1, DIGITS)))
+        families = F.transform(F.sequence(F.lit(0), F.lit(2 * GROUPS - 1)), lambda g: _subsets(F.when(g < GROUPS, x["a"]).otherwise(x["b"]), F.pmod(g, F.lit(GROUPS)) * LEVELS))
+        return F.concat(whole, F.array_join(F.flatten(families), ""))
 
-def bound(value: Column, body) -> Column:
-    """body(value), with value computed once however often body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return bound(F.sort_array(known), lambda s: bound(F.struct(s.alias("a"), F.sort_array(F.transform(s, lambda t: F.xxhash64(t))).alias("b")), parts))
 
 
 def likeness(a: Column, b: Column) -> Column:
