@@ -6,6 +6,7 @@ their neighbours and no shuffle, whatever the stride.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,8 +80,6 @@ def reassemble(chunks: DataFrame) -> DataFrame:
 
 def text_chunks(docs: DataFrame, size: int, overlap: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The older form: chunks as text, the bytes of cut characters left out."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def cut(data: pd.Series) -> pd.Series:
         return data.map(lambda b: bytes(b).decode("utf-8", "ignore"))

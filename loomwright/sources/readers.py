@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,8 +91,6 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     """Wire records with raw bytes and numbers decoded."""
     import json
 
-    import pandas as pd
-
     from ..functions.codec import decode
 
     def unpacked(kind: str):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import UTC, datetime
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +27,6 @@ def to_wire(records: DataFrame) -> DataFrame:
     import json
 
     import numpy as np
-    import pandas as pd
-
     def packer(floats: bool):
         @F.pandas_udf("string")
         def run(s: pd.Series) -> pd.Series:
