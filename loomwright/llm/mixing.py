@@ -72,7 +72,7 @@ def _finish(df: DataFrame, plan: DataFrame, offsets: DataFrame) -> DataFrame:
 
 
 def _bucketed(df: DataFrame, plan: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(plan), "_source").withColumn("_bucket", F.pmod(F.shiftright("_tie", 7), F.col("_buckets"))).drop("_buckets")
+    return df.join(F.broadcast(plan), "_source").withColumn("_bucket", F.shiftright(F.shiftright("_tie", 30) * F.col("_buckets"), 30)).drop("_buckets")
 
 
 def _finish_time(epoch) -> F.Column:
@@ -90,7 +90,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.col(id_col).alias("_id"),
         F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("_source"),
         word_count(F.col(text_col)).alias("_size"),
-        F.xxhash64(F.lit(seed), F.col(id_col).cast("string")).alias("_tie"),
+        # 60 bits of a hash that other engines have too
+        F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 256), 1, 15), 16, 10).cast("long").alias("_tie"),
         F.xxhash64(F.col(text_col)).alias("_text_hash"),
         *([F.struct(*(docs[c] for c in docs.columns)).alias("_row")] if carry else []),
     )
