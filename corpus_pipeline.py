@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from loomwright.llm import mixing, ngram_join, packing, quality, secret_scan
-from loomwright.llm.common import saved, table
+from loomwright.llm.common import fresh, saved, table
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the classifier scores below its threshold. It learns from the labels that are not held out."""
     model = quality.train(docs, table(spark, sf_dir, "labels").filter(~quality.held_out()))
-    return quality.score(docs, model, carry=True).filter(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    scored = quality.score(docs, model, carry=True)
+    return scored.filter(F.col(scored.columns[-1]) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +27,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     kept = ngram_join.groups(docs).filter("component_id = doc_id").select("doc_id").distinct()
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang")
-    known = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("_n", F.row_number().over(same)).filter("_n = 1")
+    place = fresh(docs, "_n")
+    known = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn(place, F.row_number().over(same)).filter(F.col(place) == 1)
     return known.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 

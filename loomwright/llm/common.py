@@ -43,3 +43,11 @@ def word_count(text: Column) -> Column:
 
 def no_text(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

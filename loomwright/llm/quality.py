@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 CHUNK, OVERLAP = 512, 32
 EMBED, WIDTH, STRIDE, FILTERS = 6, 8, 2, 24
 TRAIN_ROWS = 6_000
@@ -174,10 +176,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: Network | Share, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """One row for each document: id, score; carry: all its columns and _score."""
+    """One row for each document: id, score; carry: all its columns and, last, the score, under a name that they leave free."""
     kept = docs.columns if carry else [id_col]
-    rows = docs.select(*kept, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    name = "_score" if carry else "score"
+    rows = docs.select(*kept, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(fresh(docs, "_text")))
+    name = fresh(docs, "_score") if carry else "score"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -114,7 +114,7 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     Only documents that have a candidate are shuffled; the others stay where they are. Spans that overlap become one.
     """
     has = any_candidate(F.col(text_col))
-    hot = docs.filter(has).withColumn("_text", no_text(text_col)).select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), "_text")
+    hot = docs.filter(has).select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), no_text(text_col).alias("_text"))
     hot = hot.select("_row", "_text", F.col(f"_row.{id_col}").alias("_id"), F.col(f"_row.{owner_col}").alias("_owner"), F.col(f"_row.{repo_col}").alias("_repo"))
     hot = saved(hot.withColumn("_found", find(F.col("_text"))).withColumn("_set", _set_key(F.col("_found"), F.col("_id"))), "secret-rows")
     done = _judged(hot.join(_verdicts(hot.select("_owner", "_repo", "_found", "_set")), "_set", "left"), max_owners)

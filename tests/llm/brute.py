@@ -7,7 +7,7 @@ from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, size string, _id string, n long, key string, spans string, score string"
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, size string, _id string, n long, key string, spans string, score string, _n int, _score int, _text string, _row string, _times int"
 
 BASE = " ".join(f"word{i % 97} and{i % 13} x{i}" for i in range(120))
 AWKWARD = [
@@ -33,7 +33,7 @@ AWKWARD = [
 
 def frame(spark, rows=None):
     rows = AWKWARD if rows is None else rows
-    full = [(i, t, la, s, None if t is None else len(t), "clash", "clash", 7, "clash", "clash", "clash") for i, t, la, s in rows]
+    full = [(i, t, la, s, None if t is None else len(t), "clash", "clash", 7, "clash", "clash", "clash", 8, 9, "clash", "clash", 10) for i, t, la, s in rows]
     return spark.createDataFrame(full, COLUMNS).repartition(3)
 
 

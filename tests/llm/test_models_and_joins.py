@@ -245,7 +245,7 @@ def test_quality_of_awkward_rows(spark):
     labels = spark.createDataFrame([(1, 1), (5, 1), (9, 0), (14, 0), (2, None), (77, 1), (5, 1)], "doc_id long, quality int")
     model = quality.train(docs, labels)
     got = quality.score(docs, model, carry=True)
-    assert got.columns == [*docs.columns, "_score"] and got.count() == len(brute.AWKWARD)
+    assert got.columns == [*docs.columns, "_score_"] and got.count() == len(brute.AWKWARD)
     assert all(0 <= r["score"] <= 1 for r in quality.score(docs, model).collect())
     assert quality.score(docs.limit(0), model).count() == 0
     assert quality.train(docs, labels.limit(0)).score([b"a"]).tolist() == [0.5]
