@@ -7,7 +7,7 @@ band. A text's distinct terms of the lexicon, sorted, are hashed whole and withi
 GROUPS independent families of nested subsets, each half of the one before, drawn by the bits of the term's hash and of a
 second hash. Small subsets survive edits, large ones tell apart texts that share much.
 
-A fingerprint is the hashes in order, DIGITS hex digits each, - for a subset that has none of the text's terms. The likeness of
+A fingerprint is the hashes in order, apart by spaces, DIGITS hex digits each, - for a subset that has none of the text's terms. The likeness of
 two fingerprints is the share of equal hashes among the subsets that have terms of either. Ids must be numbers.
 
 Cases: a null text is empty; a text without terms in the lexicon has one hash, of the text itself, so only equal texts
@@ -79,7 +79,7 @@ def fingerprint(text: Column, bits: Column) -> Column:
     def parts(x: Column) -> Column:
         whole = F.when(F.size(x["a"]) > 0, _hash(x["a"])).otherwise(F.upper(F.substring(F.sha2(text, 256), 1, DIGITS)))
         families = F.transform(F.sequence(F.lit(0), F.lit(2 * GROUPS - 1)), lambda g: _subsets(F.when(g < GROUPS, x["a"]).otherwise(x["b"]), F.pmod(g, F.lit(GROUPS)) * LEVELS))
-        return F.concat(whole, F.array_join(F.flatten(families), ""))
+        return F.concat_ws(" ", whole, F.array_join(F.flatten(families), " "))
 
     return bound(F.sort_array(known), lambda s: bound(F.struct(s.alias("a"), F.sort_array(F.transform(s, lambda t: F.xxhash64(t))).alias("b")), parts))
 
@@ -88,7 +88,7 @@ def likeness(a: Column, b: Column) -> Column:
     """Share of equal hashes among those that either fingerprint has."""
 
     def cut(x: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(2 * GROUPS * LEVELS)), lambda i: F.substring(x, i * DIGITS + 1, F.lit(DIGITS)))
+        return F.split(x, " ")
 
     def share(pairs: Column) -> Column:
         return F.size(F.filter(pairs, lambda p: p["a"] == p["b"])) / F.size(pairs)
