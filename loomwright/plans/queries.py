@@ -579,6 +579,51 @@ def codec_roundtrip(spark, sf):
     return u.select("vec_id", F.size("u").cast("long").alias("n"), F.round(F.aggregate("u", F.lit(0.0), lambda a, x: a + x * x), 9).alias("squares"))
 
 
+# Storage, previews, checks
+
+
+@query("jsonl_roundtrip", f"""WITH {RECORD_SQL}, y AS (SELECT *, entropy AS x FROM rec) SELECT {IDENTITY_SQL} AS identity, e - s AS n_bytes, CAST(width * 3 AS BIGINT) AS n_ids, CASE WHEN x IS NULL THEN NULL WHEN x = 0 THEN 0.0 ELSE round({HALF_SQL}, 9) END AS entropy FROM y WHERE teacher_name IS NOT NULL""")
+def jsonl_roundtrip(spark, sf):
+    import uuid
+
+    from ..sources import sinks
+
+    folder = f"{_shared(spark)}/jsonl-{uuid.uuid4().hex}"
+    rows = recorded(spark, sf).filter("teacher_name is not null").withColumn("split", F.lit("train"))
+    sinks.write_records(rows, folder, "train", size=500)
+    back = readers.records(spark, folder)
+    return back.select(identity().alias("identity"), F.octet_length("raw_bytes").cast("long").alias("n_bytes"), F.size(F.flatten("top_k_ids")).cast("long").alias("n_ids"), F.round("entropy", 9).alias("entropy")).withColumn("n_ids", F.when(F.col("n_ids") >= 0, F.col("n_ids")))
+
+
+@query("text_preview", """SELECT doc_id, CASE WHEN length(p) > 80 THEN left(p, 80) || '...' ELSE p END AS preview FROM (SELECT CAST(doc_id AS VARCHAR) AS doc_id, replace(text, chr(10), '\\n') AS p FROM documents)""")
+def text_preview(spark, sf):
+    return docs(spark, sf).select("doc_id", text.preview(F.col("text"), 80).alias("preview"))
+
+
+@query("field_presence", f"WITH {RECORD_SQL} SELECT bool_or(entropy IS NOT NULL) AS entropy, bool_or(width IS NOT NULL) AS top_k_ids, bool_or(b % 4 = 0) AS selected_position_mask, false AS selection_policy FROM rec")
+def field_presence(spark, sf):
+    return metrics.presence(recorded(spark, sf), ("entropy", "top_k_ids", "selected_position_mask", "selection_policy"))
+
+
+@query("output_checks", f"""WITH {RECORD_SQL} SELECT doc_id, k AS chunk_index, CASE WHEN width IS NULL THEN CASE WHEN entropy IS NULL THEN 'entropy is not a finite number of 0 or more' END
+  WHEN width = 4 THEN 'an id is outside the vocabulary' END AS problem FROM (SELECT * FROM rec WHERE entropy IS NOT NULL)""")
+def output_checks(spark, sf):
+    r = recorded(spark, sf).filter("entropy is not null")
+    found = signals.problem(F.col("top_k_ids"), F.col("top_k_logprobs"), F.col("entropy"), None, 4)
+    return r.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), found.alias("problem"))
+
+
+@query("chunk_text_legacy")
+def chunk_text_legacy(spark, sf):
+    return chunking.text_chunks(docs(spark, sf), 512, 64).select("doc_id", "chunk_index", F.md5("text").alias("text_md5"))
+
+
+@query("context_text")
+def context_text(spark, sf):
+    t = chunking.truncate(chunking.chunk(docs(spark, sf), 512, 0, context=2048, stride=4), 1000)
+    return t.select("doc_id", "chunk_index", F.md5(text.lossy(F.col("teacher_input_bytes"))).alias("text_md5"))
+
+
 # Responses, failures, streams
 
 BODIES = [
