@@ -7,7 +7,7 @@ passed over to the next shorter one at no cost. The statistics are frozen after
 exact sum of its bytes' costs; the language with the shortest code wins, and the score is its share of the probability.
 
 Fitting takes about TRAIN_ROWS labelled rows of each language, chosen by hash, whole texts; of their contexts of ORDER bytes the MAX_CONTEXTS
-most frequent are kept, so the model has a fixed bound. All else covers every text whole.
+most frequent are kept (and so of each shorter order), so the model has a fixed bound. All else covers every text whole.
 
 As costs depend on the last ORDER bytes only, a table from those bytes to the longest kept context and one from context and byte
 to the costs in all languages score a batch by two lookups for each byte. Bytes are kept as SYMBOLS classes: the most frequent
@@ -34,6 +34,8 @@ SYMBOL_BITS = 7
 SYMBOLS = 1 << SYMBOL_BITS
 TRAIN_ROWS = 2_000
 MAX_CONTEXTS = 16_384
+#: Costs in the table of each order, over contexts, bytes and languages: with many languages fewer contexts are kept.
+MAX_CELLS = 1 << 23
 MAX_LANGUAGES = 200
 WINDOW = 1 << 20
 UNKNOWN = "und"
@@ -86,15 +88,22 @@ class Model:
         context, symbol = self.gram >> SYMBOL_BITS, self.gram & (SYMBOLS - 1)
         deep, where = np.unique(context, return_inverse=True)
         weight = np.bincount(where, self.count, len(deep))
-        kept = set(deep[np.lexsort((deep, -weight))[:MAX_CONTEXTS]].tolist())
         n_lang = len(self.languages)
+        limit = min(MAX_CONTEXTS, max(1, MAX_CELLS // (SYMBOLS * n_lang)))
+        kept = [deep[np.lexsort((deep, -weight))[:limit]]]
+        for order in range(ORDER - 1, 0, -1):  # of each order the most frequent, and what longer ones end in
+            mask = (1 << SYMBOL_BITS * order) - 1
+            names, where = np.unique(deep & mask, return_inverse=True)
+            total = np.bincount(where, weight, len(names))
+            kept.insert(0, np.union1d(names[np.lexsort((names, -total))[:limit]], kept[0] & mask))
+        kept.insert(0, np.zeros(1, np.int64))
         state = np.zeros(SYMBOLS**ORDER, np.int32)
-        costs = np.full((1, SYMBOLS, n_lang), 2.0**-8)
+        costs = np.full((1, SYMBOLS, n_lang), 2.0**-8, np.float32)
         shallow = np.zeros(1, np.int64)  # contexts of the order before, as packed symbols, each at its row of costs
         known = np.zeros(1, np.int64)
         for order in range(ORDER + 1):
             own = context & ((1 << SYMBOL_BITS * order) - 1)
-            names = np.unique(own) if order < ORDER else np.unique(own[np.isin(own, list(kept))])
+            names = np.unique(kept[order])
             rows = np.searchsorted(names, own)
             rows[rows == len(names)] = 0
             ok = names[rows] == own if len(names) else np.zeros(len(own), bool)
@@ -104,9 +113,12 @@ class Model:
             under = names & ((1 << SYMBOL_BITS * max(0, order - 1)) - 1)
             lower = costs[known[np.searchsorted(shallow, under)]] if order else np.broadcast_to(costs[0], (len(names), SYMBOLS, n_lang))
             with np.errstate(invalid="ignore", divide="ignore"):
-                own_cost = np.where(total == 0, lower, np.where(c > 0, c / (total + distinct), distinct / (total + distinct) * lower))
+                seen = c > 0
+                c /= total + distinct
+                np.multiply(distinct / (total + distinct), lower, out=c, where=~seen)
+                np.copyto(c, lower, where=total == 0)
             first = len(costs)
-            costs = np.concatenate([costs, own_cost])
+            costs = np.concatenate([costs, c.astype(np.float32)])
             shallow, known = names, first + np.arange(len(names))
             if order == 0:
                 state[:] = first

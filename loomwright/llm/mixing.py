@@ -24,7 +24,7 @@ from .common import saved, word_count
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: The plan holds one entry for each source on the driver; more sources than this are refused.
 MAX_SOURCES = 100_000
 

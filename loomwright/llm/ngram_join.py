@@ -1,6 +1,6 @@
 """N-gram Jaccard join: which documents share 80 of 100 word shingles, and the groups that such links form.
 
-The answer is exact. A document's set is its distinct shingles (see shingles.py) in the order of their hashes, and documents
+The answer is exact, but for the chance that two shingles, or two sets, have one 64-bit hash. A document's set is its distinct shingles (see shingles.py) in the order of their hashes, and documents
 with equal sets are one class. Any partner of a class of n shingles shares at least ceil(0.8 n) of them, so:
 
 1. Of a class's first n - ceil(0.8 n) + 1 + SLACK n shingles in hash order, every partner has at least 1 + SLACK n. The shingles
@@ -9,7 +9,7 @@ with equal sets are one class. Any partner of a class of n shingles shares at le
    drop out. With the rarest shingles first, partners share one of the first n - ceil(0.8 n) + 1.
 3. The classes of such a rare shingle are compared in tiles: first with one of them (a hub), which joins groups of copies of
    any size in a number of comparisons in proportion to it; then, where classes of different groups still meet, group
-   against group, in blocks of BLOCK classes by size.
+   against group, in blocks by size that hold a bounded number of shingles.
 4. In a tile, classes are banded by size; each has a bitmap of hashed shingles as wide as its band. The bits that only one
    of two bitmaps has bound their overlap from above; what passes is settled by intersecting the sorted arrays.
 
@@ -36,8 +36,8 @@ from .components import components
 from .shingles import shingle_sets
 
 SLACK = 0.1
-BLOCK = 512
-PARTNERS = 2_048
+#: Shingles in a block of a tile's left and right side; a class counts for LIGHT at least, so a block has few classes too.
+BLOCK, PARTNERS, LIGHT = 1 << 17, 1 << 19, 256
 #: A shingle that this many groups still share is a tile of its own instead of pairs of groups.
 MANY_GROUPS = 64
 #: A filter of this many bits, whatever the input, tells which documents are read again; others may pass, none is missed.
@@ -239,17 +239,19 @@ def _compare(table: pa.Table) -> pa.Table:
 def compare(left: DataFrame, right: DataFrame, signatures: DataFrame) -> DataFrame:
     """Links (a, b) between the left and the right classes of each tile; both sides have tile, cls, grp, n.
 
-    A tile's left classes are cut into blocks of BLOCK by size and its right ones into blocks of PARTNERS; every left block
-    meets the right classes whose size can match.
+    A tile's left classes are cut by size into blocks of BLOCK shingles and its right ones into blocks of PARTNERS; every left
+    block meets the right classes whose size can match.
     """
-    left = left.distinct().withColumn("_l", F.expr("(row_number() over (partition by tile order by n, cls) - 1) div " + str(BLOCK)))
-    right = right.distinct().withColumn("_r", F.expr("(row_number() over (partition by tile order by n, cls) - 1) div " + str(PARTNERS)))
+    weight = F.greatest("n", F.lit(LIGHT))
+    before = F.sum(weight).over(Window.partitionBy("tile").orderBy("n", "cls").rowsBetween(Window.unboundedPreceding, 0)) - weight
+    left = left.distinct().withColumn("_l", F.floor(before / BLOCK))
+    right = right.distinct().withColumn("_r", F.floor(before / PARTNERS))
     spans = left.groupBy("tile", "_l").agg((F.min("n") * 80).alias("_from"), (F.max("n") * 100).alias("_to"))
     sent = right.join(spans, "tile").filter((F.col("n") * 100 >= F.col("_from")) & (F.col("n") * 80 <= F.col("_to")))
     blocks = sent.select("tile", "_l", "_r").distinct()
-    sides = [("tile", "_l", "_r", F.lit(True).alias("left"), "cls", "grp"), ("tile", "_l", "_r", F.lit(False).alias("left"), "cls", "grp")]
+    sides = [("tile", "_l", "_r", F.lit(True).alias("left"), "cls", "grp", "n"), ("tile", "_l", "_r", F.lit(False).alias("left"), "cls", "grp", "n")]
     asked = saved(left.join(blocks, ["tile", "_l"]).select(*sides[0]).unionByName(sent.select(*sides[1])), "join-tiles")
-    n = asked.count()
+    n = asked.agg(F.coalesce(F.sum(weight), F.lit(0))).collect()[0][0]
     tasks = asked.select(F.xxhash64("tile", "_l", "_r").alias("tile"), "left", "cls", "grp").withColumn("_task", F.pmod("tile", F.lit(max(1, -(-n // PARTNERS)))))
     full = tasks.join(signatures.select("cls", "keys").dropDuplicates(["cls"]), "cls")
     return full.groupBy("_task").applyInArrow(_compare, "a long, b long").distinct()

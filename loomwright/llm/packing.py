@@ -30,7 +30,7 @@ from .common import saved
 
 CAPACITY = 1024
 END_ID = 2
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 CALL_BYTES = 1 << 20
 
 

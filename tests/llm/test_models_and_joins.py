@@ -36,7 +36,7 @@ def test_groups_are_those_of_all_pairs(spark):
 
 
 def test_groups_with_small_blocks_and_crowded_shingles(spark, monkeypatch):
-    for name, value in (("BLOCK", 4), ("PARTNERS", 4), ("MANY_GROUPS", 1)):
+    for name, value in (("BLOCK", 300), ("PARTNERS", 300), ("LIGHT", 1), ("MANY_GROUPS", 1)):
         monkeypatch.setattr(ngram_join, name, value)
     base = " ".join(f"w{k}" for k in range(70))
     rows = [(i, t, "en", "a") for i, t in enumerate(variants(1, base, 25, 2) + variants(2, base, 25, 4))]
