@@ -14,7 +14,7 @@ with equal sets are one class. Any partner of a class of n shingles shares at le
    of two bitmaps has bound their overlap from above; what passes is settled by intersecting the sorted arrays.
 
 A link within a group that is already joined is not looked for again, so links() returns enough links to join every group, not
-all pairs. Shuffled rows are single shingles or one array for each tile; frequent shingles are sent twice by each task at
+all pairs; link_counts() looks at all pairs of classes within a group, which is quadratic in the group's classes. Shuffled rows are single shingles or one array for each tile; frequent shingles are sent twice by each task at
 most, and no list of a shingle is ever gathered whole unless it has few groups.
 
 Cases: texts that are null, empty or blank have an empty set and link with nothing; repeated rows are in one class; null ids
@@ -236,7 +236,28 @@ def _compare(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def compare(left: DataFrame, right: DataFrame, signatures: DataFrame) -> DataFrame:
+def _count(table: pa.Table) -> pa.Table:
+    """For each right class of the tiles in table how many documents of left classes it links with (grp holds a class's documents)."""
+    table = table.combine_chunks()
+    tile, left, cls, docs = (table[c].to_numpy() for c in ("tile", "left", "cls", "grp"))
+    keys = table["keys"].combine_chunks()
+    flat, offsets = keys.flatten().to_numpy().view(np.uint64), np.append(0, np.cumsum(keys.value_lengths().to_numpy()))
+    order = np.argsort(tile, kind="stable")
+    out, n = [], []
+    for own in np.split(order, np.flatnonzero(np.diff(tile[order])) + 1) if len(order) else []:
+        array = lambda i: flat[offsets[i] : offsets[i + 1]]
+        mine, asked = own[left[own]], own[~left[own]]
+        if not len(mine):
+            continue
+        t = Tile(cls[mine], cls[mine], [array(i) for i in mine])
+        for i in asked:
+            t.group, t.joined = cls[mine].copy(), {}  # every class is a group of its own
+            out.append(int(cls[i]))
+            n.append(int(docs[mine][t.linked(cls[i], cls[i], array(i))].sum()))
+    return pa.table({"cls": pa.array(out, pa.int64()), "links": pa.array(n, pa.int64())})
+
+
+def compare(left: DataFrame, right: DataFrame, signatures: DataFrame, task=_compare, schema: str = "a long, b long") -> DataFrame:
     """Links (a, b) between the left and the right classes of each tile; both sides have tile, cls, grp, n.
 
     A tile's left classes are cut by size into blocks of BLOCK shingles and its right ones into blocks of PARTNERS; every left
@@ -254,7 +275,7 @@ def compare(left: DataFrame, right: DataFrame, signatures: DataFrame) -> DataFra
     n = asked.agg(F.coalesce(F.sum(weight), F.lit(0))).collect()[0][0]
     tasks = asked.select(F.xxhash64("tile", "_l", "_r").alias("tile"), "left", "cls", "grp").withColumn("_task", F.pmod("tile", F.lit(max(1, -(-n // PARTNERS)))))
     full = tasks.join(signatures.select("cls", "keys").dropDuplicates(["cls"]), "cls")
-    return full.groupBy("_task").applyInArrow(_compare, "a long, b long").distinct()
+    return full.groupBy("_task").applyInArrow(task, schema)
 
 
 def _rare(signatures: DataFrame) -> DataFrame:
@@ -307,11 +328,11 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack
             stars.select(tile, F.col("hub.cls").alias("cls"), F.col("hub.cls").alias("grp"), F.col("hub.n").alias("n")),
             stars.select(tile, "cls", F.col("cls").alias("grp"), "n"),
             signatures,
-        ),
+        ).distinct(),
         "join-links",
     )
     groups = components(one).select(F.col("node").alias("cls"), "root")
-    two = saved(compare(*_still_apart(rare, groups), signatures), "join-links")
+    two = saved(compare(*_still_apart(rare, groups), signatures).distinct(), "join-links")
     return found, classes, one.unionByName(two)
 
 
@@ -326,3 +347,16 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slac
     keyed = found.withColumn("cls", F.when(F.col("n") > 0, F.col("cls")).otherwise(F.xxhash64("_id")))
     out = keyed.join(named, "cls", "left")
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_id")).alias("component_id"))
+
+
+def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack: float = SLACK) -> DataFrame:
+    """One row for each document: id, links, the number of other documents that it links with (copies of its set included)."""
+    found, classes, pairs = links(docs, id_col, text_col, slack)
+    copies = found.filter("n > 0").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"))
+    members = saved(components(pairs).withColumnRenamed("node", "cls").join(classes, "cls").join(copies, "cls"), "join-members")
+    signatures = saved(_signatures(docs, id_col, text_col, members.select(F.col("rep").alias("_id"))), "join-signatures")
+    side = members.select(F.col("root").cast("string").alias("tile"), "cls", F.col("copies").alias("grp"), "n")
+    counted = compare(side, side, signatures, _count, "cls long, links long").groupBy("cls").agg(F.sum("links").alias("_near"))
+    own = copies.join(counted, "cls", "left").select("cls", (F.coalesce("_near", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    keyed = found.withColumn("cls", F.when(F.col("n") > 0, F.col("cls")).otherwise(F.xxhash64("_id")))
+    return keyed.join(own, "cls", "left").select(F.col("_id").alias(id_col), F.when(F.col("n") > 0, F.col("links")).otherwise(F.lit(0)).cast("long").alias("links"))

@@ -43,6 +43,17 @@ def test_groups_with_small_blocks_and_crowded_shingles(spark, monkeypatch):
     assert Counter(map(tuple, ngram_join.groups(brute.frame(spark, rows)).collect())) == brute.groups(rows)
 
 
+def test_numbers_of_links_are_those_of_all_pairs(spark, monkeypatch):
+    for name, value in (("BLOCK", 300), ("PARTNERS", 500), ("LIGHT", 1)):
+        monkeypatch.setattr(ngram_join, name, value)
+    base = " ".join(f"w{k}" for k in range(90))
+    text = [*variants(1, base, 20, 1), *variants(2, base, 20, 3), base, base, "a b", "A  b", "", None]
+    sets = [brute.shingles(t) for t in text]
+    want = {i: sum(bool(s & o) and 100 * len(s & o) >= 80 * len(s | o) for j, o in enumerate(sets) if j != i) for i, s in enumerate(sets)}
+    got = ngram_join.link_counts(brute.frame(spark, [(i, t, "en", "a") for i, t in enumerate(text)])).collect()
+    assert {r["doc_id"]: r["links"] for r in got} == want
+
+
 def test_join_of_an_empty_table(spark):
     assert ngram_join.groups(brute.frame(spark, []).limit(0)).count() == 0
     blank = ngram_join.groups(brute.frame(spark, [(1, None, "en", "a"), (2, " ", "en", "a")])).collect()
