@@ -35,9 +35,9 @@ SYMBOLS = 1 << SYMBOL_BITS
 TRAIN_ROWS = 2_000
 MAX_CONTEXTS = 16_384
 #: Costs in the table of each order, over contexts, bytes and languages: with many languages fewer contexts are kept.
-MAX_CELLS = 1 << 23
+MAX_CELLS = 1 << 22
 MAX_LANGUAGES = 200
-WINDOW = 1 << 20
+SLICE, WINDOW = 256, 1 << 19
 UNKNOWN = "und"
 
 
@@ -201,8 +201,8 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _by_key.get(key) or _by_key.setdefault(key, Model(*state))
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                b = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, SLICE):
+                b = batch.slice(at, SLICE)
                 texts = b.column(1).fill_null("")
                 bits = m.bits(texts)
                 best = bits.argmin(1)
