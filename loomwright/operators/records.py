@@ -75,8 +75,13 @@ def apply_policy(records: DataFrame, mode: str, entropy: float | None = None, ga
     rows = rows.withColumn("selection_policy", policy)
     if mode == "position_mask":
         return rows.withColumns({"selected_position_mask": F.col("_mask"), "selected_positions": F.col("_on"), "selected_position_count": F.size("_on")}).drop("_mask", "_on")
-    rows = rows.withColumn("_window", F.explode(positions.windows(F.col("_mask"), radius)))
-    start, end = F.col("_window.start"), F.col("_window.end")
-    cut = {c: positions.sliced(F.col(c), start, end) for c in POSITION_FIELDS if c in records.columns}
-    inside = F.size(F.filter("_on", lambda i: i.between(start, end)))
-    return rows.withColumns({"selected_window_start": start, "selected_window_end": end, "selected_position_count": inside, **cut}).drop("_mask", "_on", "_window")
+    fields = [c for c in POSITION_FIELDS if c in records.columns]
+
+    def cut(w: Column) -> Column:
+        start, end = w["start"], w["end"]
+        inside = F.size(F.filter(F.col("_on"), lambda i: i.between(start, end)))
+        return F.struct(start.alias("selected_window_start"), end.alias("selected_window_end"), inside.alias("selected_position_count"), *(positions.sliced(F.col(c), start, end).alias(c) for c in fields))
+
+    # the fields are cut before the rows multiply, so no row carries more than its window
+    kept = [c for c in rows.columns if c not in (*fields, "_mask", "_on")]
+    return rows.select(*kept, F.inline(F.transform(positions.windows(F.col("_mask"), radius), cut)))
