@@ -1,9 +1,9 @@
 """Document fingerprints by I-Match, in DataFrame functions only.
 
 Terms are lower-cased runs of letters and digits, kept as 64-bit hashes. Document frequencies are counted over all documents
-for classes of terms (the hash modulo SLOTS, so that the counts and the lexicon have a fixed size however many terms the
-corpus has). The lexicon holds the classes whose inverse document frequency, as a share of log(number of documents), lies in a
-band. A text's distinct terms of the lexicon, sorted, are hashed whole and within randomised subsets of the lexicon: twice
+for each term, however many the corpus has. The lexicon holds the terms whose inverse document frequency, as a share of
+log(number of documents), lies in a band; only these are sent to all tasks, in buckets of about BUCKET, whose number follows
+from the count of terms in the band. A text's distinct terms of the lexicon, sorted, are hashed whole and within randomised subsets of the lexicon: twice
 GROUPS independent families of nested subsets, each half of the one before, drawn by the bits of the term's hash and of a
 second hash. Small subsets survive edits, large ones tell apart texts that share much.
 
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import no_text, saved
 
-SLOT_BITS = 22
+#: Terms of the lexicon in a bucket, on average, and rows that the buckets are gathered into.
+BUCKET, PARTS = 4, 4_096
 BAND = (0.2, 0.8)
 GROUPS, LEVELS = 5, 12
 DIGITS = 4
@@ -38,17 +39,22 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", band: tuple[float, float] = BAND) -> DataFrame:
-    """One row with _lexicon, a bit map of 2^SLOT_BITS classes in longs: 1 where the class lies in the band."""
+    """One row with _lexicon, an array of buckets, a power of two, of the terms that lie in the band; a term is in the bucket of its lower bits."""
     spark = docs.sparkSession
     n = docs.count()
-    slots = F.array_distinct(F.transform(terms(no_text(text_col)), lambda t: t.bitwiseAND((1 << SLOT_BITS) - 1)))
-    df = docs.select(F.explode(slots).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
+    df = docs.select(F.explode(terms(no_text(text_col))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     log_n = math.log(max(n, 2))
     idf = (F.lit(log_n) - F.log("df")) / log_n
-    words = df.filter(idf.between(*band)).groupBy(F.shiftright("slot", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, int(slot & 63))")).alias("bits"))
-    whole = spark.range(1 << (SLOT_BITS - 6)).select(F.col("id").alias("i")).join(words, "i", "left")
-    sorted_ = F.array_sort(F.collect_list(F.struct("i", F.coalesce("bits", F.lit(0)).alias("bits"))))
-    return whole.agg(F.transform(sorted_, lambda x: x["bits"]).alias("_lexicon"))
+    words = saved(df.filter(idf.between(*band)).select("term"), "imatch-terms")
+    buckets = 1 << max(0, math.ceil(math.log2(max(words.count(), 1) / BUCKET)))
+    each = words.groupBy(F.col("term").bitwiseAND(buckets - 1).alias("i")).agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    whole = spark.range(buckets).select(F.col("id").alias("i")).join(each, "i", "left").select("i", F.coalesce("terms", F.array().cast("array<bigint>")).alias("terms"))
+
+    def gathered(i: Column, x: str) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.struct(i.alias("i"), F.col(x).alias("x")))), lambda r: r["x"])
+
+    parts = whole.groupBy(F.floor(F.col("i") / max(1, buckets // PARTS)).alias("part")).agg(gathered(F.col("i"), "terms").alias("listed"))
+    return parts.agg(F.flatten(gathered(F.col("part"), "listed")).alias("_lexicon"))
 
 
 def bound(value: Column, body) -> Column:
@@ -72,9 +78,13 @@ def _subsets(terms_: Column, first_bit: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), start, step, lambda acc: acc["h"])
 
 
-def fingerprint(text: Column, bits: Column) -> Column:
-    """The fingerprint of a text; bits: the lexicon."""
-    known = F.filter(terms(text), lambda t: F.call_function("getbit", F.element_at(bits, F.shiftright(t.bitwiseAND((1 << SLOT_BITS) - 1), 6).cast("int") + 1), t.bitwiseAND(63).cast("int")) == 1)
+def fingerprint(text: Column, words: Column) -> Column:
+    """The fingerprint of a text; words: the lexicon."""
+
+    def listed(w: Column) -> Column:
+        return F.filter(terms(text), lambda t: F.array_contains(F.element_at(w, t.bitwiseAND(F.size(w) - 1).cast("int") + 1), t))
+
+    known = bound(words, listed)  # named once, or each row would carry a copy of the lexicon
 
     def parts(x: Column) -> Column:
         whole = F.when(F.size(x["a"]) > 0, _hash(x["a"])).otherwise(F.upper(F.substring(F.sha2(text, 256), 1, DIGITS)))
@@ -100,7 +110,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_lexicon(df: DataFrame, lexicon_row: DataFrame) -> DataFrame:
-    """df with the column _lexicon, a scalar of a fixed size."""
+    """df with the column _lexicon, a scalar."""
     return df.withColumn("_lexicon", lexicon_row.scalar())
 
 

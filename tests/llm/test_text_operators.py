@@ -232,6 +232,21 @@ def test_edits_and_likeness(spark):
     assert sum(got[i]["near_edited"] for i in range(60)) > sum(got[i]["near_next"] for i in range(60)) * 0.5
 
 
+def test_document_frequencies_are_of_single_terms(spark):
+    # two words that share the lower 22 bits of their hashes, each in one text; the ten texts of a group share ten terms
+    word = F.concat(F.lit("u"), F.col("id").cast("string"))
+    pair = spark.range(20_000).groupBy(F.xxhash64(word).bitwiseAND((1 << 22) - 1)).agg(F.collect_list(word).alias("w")).filter("size(w) = 2").first()["w"]
+    rows = [(i, " ".join(f"g{i // 10}x{k}" for k in range(10)), "en", "a") for i in range(30)]
+    for i, w in ((3, pair[0]), (14, pair[1])):
+        rows[i] = (i, f"{rows[i][1]} {w}", "en", "a")
+    docs = brute.frame(spark, rows)
+    prints = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(docs).collect()}
+    assert prints[3] == prints[4] != prints[14] == prints[15]
+    buckets = fingerprints.lexicon(docs, band=(0.0, 1.0)).collect()[0]["_lexicon"]
+    assert sum(map(len, buckets)) == 32 and len(buckets) == 8
+    assert all(t & (len(buckets) - 1) == i for i, b in enumerate(buckets) for t in b)
+
+
 def test_fingerprints_of_repeated_and_missing_ids(spark):
     got = fingerprints.compare_edits(brute.frame(spark)).collect()
     assert len(got) == len(brute.AWKWARD)
