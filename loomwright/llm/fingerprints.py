@@ -7,10 +7,10 @@ from the count of terms in the band. A text's distinct terms of the lexicon, sor
 GROUPS independent families of nested subsets, each half of the one before, drawn by the bits of the term's hash and of a
 second hash. Small subsets survive edits, large ones tell apart texts that share much.
 
-A fingerprint is the hashes in order, apart by spaces, DIGITS hex digits each, - for a subset that has none of the text's terms. The likeness of
-two fingerprints is the share of equal hashes among the subsets that have terms of either. Ids must be numbers.
+A fingerprint is the hashes in order, apart by spaces: WHOLE hex digits of the whole, DIGITS of each subset, - for one that has
+none of the text's terms. The likeness of two fingerprints is the share of equal hashes among the subsets that have terms of either. Ids must be numbers.
 
-Cases: a null text is empty; a text without terms in the lexicon has one hash, of the text itself, so only equal texts
+Cases: a null text is empty; a text without terms in the lexicon has one hash, SHA-256 of the text itself, so only equal texts
 are alike; repeated rows each get the same fingerprint; an empty table gives an empty result; other columns do not matter.
 """
 
@@ -27,7 +27,7 @@ from .common import no_text, saved
 BUCKET, PARTS = 4, 4_096
 BAND = (0.2, 0.8)
 GROUPS, LEVELS = 5, 12
-DIGITS = 4
+DIGITS, WHOLE = 8, 16
 EMPTY = "-" * DIGITS
 RANGES, RANGE_ROWS = 4_096, 2_000
 
@@ -87,7 +87,7 @@ def fingerprint(text: Column, words: Column) -> Column:
     known = bound(words, listed)  # named once, or each row would carry a copy of the lexicon
 
     def parts(x: Column) -> Column:
-        whole = F.when(F.size(x["a"]) > 0, _hash(x["a"])).otherwise(F.upper(F.substring(F.sha2(text, 256), 1, DIGITS)))
+        whole = F.when(F.size(x["a"]) > 0, F.lpad(F.hex(F.xxhash64(x["a"])), WHOLE, "0")).otherwise(F.upper(F.sha2(text, 256)))
         families = F.transform(F.sequence(F.lit(0), F.lit(2 * GROUPS - 1)), lambda g: _subsets(F.when(g < GROUPS, x["a"]).otherwise(x["b"]), F.pmod(g, F.lit(GROUPS)) * LEVELS))
         return F.concat_ws(" ", whole, F.array_join(F.flatten(families), " "))
 
@@ -169,17 +169,22 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = (F.row_number().over(order) > 1) & ~F.lag("_id").over(order).eqNullSafe(F.col("_id"))
     stepped = printed.withColumn("_step", F.when(first, F.lag(F.struct("_text", "_print")).over(order)))
     carried = stepped.withColumn("_near", F.last("_step", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    both = with_lexicon(carried.join(heads, "_range", "left").withColumn("_next", F.coalesce("_near", "_head")), words)
-    edited = F.concat(F.expr("substring(_text, 1, length(_text) - int(length(_text) div 2))"), F.expr("substring(_next._text, 1, int(length(_text) div 2))"))
+    both = with_lexicon(carried.join(heads, "_range", "left"), words)
 
-    def told(x: Column) -> Column:
-        return F.struct(x["edited"].alias("edited"), x["print"].alias("print"), likeness(F.col("_print"), x["print"]).alias("near"))
+    def edits(following: Column) -> Column:
+        half = F.expr("int(length(_text) div 2)")
+        edited = F.concat(F.expr("substring(_text, 1, length(_text) - int(length(_text) div 2))"), F.substring(following["_text"], F.lit(1), half))
 
-    def printed_once(e: Column) -> Column:
-        return bound(F.struct(e.alias("edited"), fingerprint(e, F.col("_lexicon")).alias("print")), told)
+        def told(x: Column) -> Column:
+            return F.struct(x["edited"].alias("edited"), x["print"].alias("print"), likeness(F.col("_print"), x["print"]).alias("near"), likeness(F.col("_print"), following["_print"]).alias("near_next"))
 
-    done = both.select("_id", F.length("_text").cast("long").alias("n_chars"), "_print", bound(edited, printed_once).alias("_e"), likeness(F.col("_print"), F.col("_next._print")).alias("near_next"))
+        def printed_once(e: Column) -> Column:
+            return bound(F.struct(e.alias("edited"), fingerprint(e, F.col("_lexicon")).alias("print")), told)
+
+        return bound(edited, printed_once)
+
+    done = both.select("_id", F.length("_text").cast("long").alias("n_chars"), "_print", bound(F.coalesce("_near", "_head"), edits).alias("_e"))
     return done.select(
         F.col("_id").alias(id_col), "n_chars", F.col("_e.edited").alias("edited"), F.col("_print").alias("fingerprint"),
-        F.col("_e.print").alias("edited_fingerprint"), F.col("_e.near").alias("near_edited"), "near_next",
+        F.col("_e.print").alias("edited_fingerprint"), F.col("_e.near").alias("near_edited"), F.col("_e.near_next").alias("near_next"),
     )

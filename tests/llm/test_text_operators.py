@@ -247,6 +247,14 @@ def test_document_frequencies_are_of_single_terms(spark):
     assert all(t & (len(buckets) - 1) == i for i, b in enumerate(buckets) for t in b)
 
 
+def test_only_equal_texts_without_lexicon_terms_are_alike(spark):
+    docs = spark.range(1_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("only"), F.col("id").cast("string")).alias("text"))
+    prints = fingerprints.fingerprints(docs)
+    assert prints.select("fingerprint").distinct().count() == 1_000
+    known = fingerprints.fingerprints(docs, band=(0.0, 1.0)).select(F.split("fingerprint", " ").alias("h")).collect()
+    assert len({r["h"][0] for r in known}) == 1_000 and all(len(r["h"][0]) >= 16 and min(map(len, r["h"][1:])) >= 8 for r in known)
+
+
 def test_fingerprints_of_repeated_and_missing_ids(spark):
     got = fingerprints.compare_edits(brute.frame(spark)).collect()
     assert len(got) == len(brute.AWKWARD)
