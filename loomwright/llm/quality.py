@@ -1,7 +1,7 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
-A text's UTF-8 bytes are cut into chunks of CHUNK bytes, each OVERLAP bytes into the one before, so that every filter sees
-every place of the whole document. Bytes are embedded, learned filters of WIDTH bytes slide over a chunk by STRIDE, and each
+A text's UTF-8 bytes are cut into chunks of CHUNK bytes, each OVERLAP bytes into the one before, so that every byte
+lies in some window of every filter; windows begin only at even places of the document (STRIDE). Bytes are embedded, learned filters of WIDTH bytes slide over a chunk by STRIDE, and each
 filter's largest response is kept. Over a document's chunks these are pooled by maximum, mean and minimum, and one logistic
 unit combines them into the probability of label 1.
 
