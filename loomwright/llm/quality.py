@@ -5,13 +5,15 @@ lies in some window of every filter; windows begin only at even places of the do
 filter's largest response is kept. Over a document's chunks these are pooled by maximum, mean and minimum, and one logistic
 unit combines them into the probability of label 1.
 
-Fitting takes about TRAIN_ROWS labelled rows, chosen by hash, whole texts, in one task of that fixed size; only the network
-comes back. Scoring runs in Arrow batches, cut by bytes, over all documents.
+Fitting takes at most TRAIN_ROWS labelled rows, chosen by hash, of texts up to TRAIN_BYTES bytes, in one task of that bounded
+size; only the network comes back. Scoring covers all documents whole: only texts go through Python, in Arrow batches that
+are cut by bytes, and a very long text is chunked and scored by itself.
 
 Cases: a null text is empty; an empty text has the score of an all-padding chunk; labels that are null, or whose document is
 missing, teach nothing, and a document with several labels counts once for each; with labels of one kind only, or none,
-the score is the smoothed share of label 1; repeated rows each get their score; an empty table gives an empty
-result; other columns do not matter.
+the score is the smoothed share of label 1; equal texts, and so repeated rows, have equal scores; where two filters or
+places respond alike, either gives the same score; an empty table gives an empty result; other columns, whatever their
+names, do not matter.
 """
 
 from __future__ import annotations
@@ -22,14 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
-
 CHUNK, OVERLAP = 512, 32
 EMBED, WIDTH, STRIDE, FILTERS = 6, 8, 2, 24
-TRAIN_ROWS = 6_000
+TRAIN_ROWS, TRAIN_BYTES = 6_000, 1 << 17
 #: At least so many passes and so many steps, so that a few hundred labels are learned as well.
 EPOCHS, STEPS, BATCH_CHUNKS, RATE = 10, 900, 256, 0.01
 THRESHOLD = 0.7
@@ -60,7 +61,6 @@ class Network:
         self.bias = np.zeros(FILTERS, np.float32)
         self.out = np.zeros(3 * FILTERS, np.float32)
         self.out_bias = np.zeros(1, np.float32)
-        self.shift, self.scale = np.zeros(3 * FILTERS, np.float32), np.ones(3 * FILTERS, np.float32)
 
     def windows(self, chunks: np.ndarray) -> np.ndarray:
         e = self.embed[chunks].reshape(len(chunks), CHUNK * EMBED)
@@ -156,14 +156,14 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", seed: int = 7) -> Network | Share:
-    """Fit on about TRAIN_ROWS of labels; labels: the rows that may be learned from."""
-    known = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
+    """Fit on TRAIN_ROWS of labels at most; labels: the rows that may be learned from."""
+    known = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).distinct()
     n = known.count()
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
     chosen = known.filter(draw < min(1.0, TRAIN_ROWS / max(n, 1)))
-    texts = docs.select(F.col(id_col).alias("_id"), F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "UTF-8").alias("_text"))
-    # about TRAIN_ROWS ids, whatever the size of labels
-    sample = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text")
+    texts = docs.select(F.col(id_col).alias("_id"), F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "UTF-8").alias("_text")).filter(F.octet_length("_text") <= TRAIN_BYTES)
+    # about TRAIN_ROWS ids, whatever the size of labels; an id that many rows have is cut by the order
+    sample = texts.join(F.broadcast(chosen), "_id").orderBy(F.xxhash64(F.lit(seed), "_id", "_text", "_label"), "_id", "_label").limit(TRAIN_ROWS).select("_id", "_label", "_text")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((x["_id"], x["_label"], x["_text"]) for b in batches for x in b.to_pylist())
@@ -171,31 +171,27 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         made = Network().fit([x[2] for x in rows], y) if len(set(y.tolist())) > 1 else Share(y)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made)], pa.binary())], ["model"])
 
-    made = sample.repartition(1).mapInArrow(fit, "model binary").collect()
+    made = sample.coalesce(1).mapInArrow(fit, "model binary").collect()
     return pickle.loads(bytes(made[0]["model"])) if made else Share(np.zeros(0))
 
 
-def score(docs: DataFrame, model: Network | Share, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """One row for each document: id, score; carry: all its columns and, last, the score, under a name that they leave free."""
-    kept = docs.columns if carry else [id_col]
-    rows = docs.select(*kept, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(fresh(docs, "_text")))
-    name = fresh(docs, "_score") if carry else "score"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()
-            out, at = [], 0
-            while at < len(texts):
-                to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to]) <= CALL_BYTES):
-                    size += len(texts[to])
-                    to += 1
-                out.append(model.score(texts[at:to]))
-                at = to
-            scores = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores, pa.float64())], [*kept, name])
-
-    from pyspark.sql.types import DoubleType, StructType
-
-    schema = StructType([*(rows.schema[c] for c in kept)]).add(name, DoubleType())
-    return rows.mapInArrow(run, schema)
+def score_column(text: Column, model: Network | Share) -> Column:
+    """The score of a text. Only texts go through Python, in Arrow batches that are cut by bytes."""
+
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        out, at = [], 0
+        while at < len(texts):
+            done = sizes[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(sizes, done + CALL_BYTES, "right")))
+            out.append(model.score(texts.slice(at, to - at).to_pylist()))
+            at = to
+        return pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
+
+    return run(F.encode(F.coalesce(text.cast("string"), F.lit("")), "UTF-8"))
+
+
+def score(docs: DataFrame, model: Network | Share, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each document: id, score."""
+    return docs.select(F.col(id_col), score_column(F.col(text_col), model).alias("score"))

@@ -245,6 +245,49 @@ def test_gradient_is_the_slope_of_the_loss():
         assert (up - down) / (2 * step) == pytest.approx(g[name][at], rel=0.15, abs=3e-4)
 
 
+def _convolved(net, text: bytes) -> float:
+    """The probability by plain loops over chunks, places, filters and bytes."""
+    hop = quality.CHUNK - quality.OVERLAP
+    chunks, at = [text[: quality.CHUNK]], 0
+    while at + quality.CHUNK < len(text):
+        at += hop
+        chunks.append(text[at : at + quality.CHUNK])
+    tops = []
+    for c in chunks:
+        values = [*c, *[quality.PAD] * (quality.CHUNK - len(c))]
+        top = []
+        for f in range(quality.FILTERS):
+            best = -math.inf
+            for place in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STRIDE):
+                r = 0.0
+                for k in range(quality.WIDTH):
+                    e = net.embed[values[place + k]]
+                    r += sum(float(e[d]) * float(net.filters[k * quality.EMBED + d, f]) for d in range(quality.EMBED))
+                best = max(best, r)
+            top.append(math.tanh(best + float(net.bias[f])))
+        tops.append(top)
+    z = float(net.out_bias[0])
+    for f in range(quality.FILTERS):
+        own = [t[f] for t in tops]
+        for part, value in enumerate((max(own), sum(own) / len(own), min(own))):
+            z += value * float(net.out[part * quality.FILTERS + f])
+    return 1 / (1 + math.exp(-z))
+
+
+def test_score_is_that_of_plain_loops():
+    r = np.random.default_rng(5)
+    net = quality.Network(2)
+    net.out[:], net.bias[:] = r.normal(0, 0.5, len(net.out)), r.normal(0, 0.2, quality.FILTERS)
+    texts = [b"", b"a short one", bytes(r.integers(0, 256, 513).tolist()), b"abc " * 300]
+    assert net.score(texts).tolist() == pytest.approx([_convolved(net, t) for t in texts], rel=1e-4)
+
+
+def test_one_id_with_many_labels_does_not_swell_the_sample(spark):
+    docs = spark.createDataFrame([(i % 3, f"text {i}", None) for i in range(60)], "doc_id long, text string, x string")
+    labels = spark.createDataFrame([(0, 1)] * 500 + [(1, 0)], "doc_id long, quality int")
+    assert quality.train(docs, labels).score([b"text"]).shape == (1,)
+
+
 def test_quality_of_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
@@ -257,8 +300,8 @@ def test_quality_of_awkward_rows(spark):
     docs = brute.frame(spark)
     labels = spark.createDataFrame([(1, 1), (5, 1), (9, 0), (14, 0), (2, None), (77, 1), (5, 1)], "doc_id long, quality int")
     model = quality.train(docs, labels)
-    got = quality.score(docs, model, carry=True)
-    assert got.columns == [*docs.columns, "_score_"] and got.count() == len(brute.AWKWARD)
+    got = docs.withColumn("own", quality.score_column(F.col("text"), model))
+    assert got.columns == [*docs.columns, "own"] and got.count() == len(brute.AWKWARD)
     assert all(0 <= r["score"] <= 1 for r in quality.score(docs, model).collect())
     assert quality.score(docs.limit(0), model).count() == 0
     assert quality.train(docs, labels.limit(0)).score([b"a"]).tolist() == [0.5]
