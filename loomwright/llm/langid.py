@@ -6,22 +6,21 @@ over the same sum) and is coded one byte shallower, at last evenly among 256. A
 passed over to the next shorter one at no cost. The statistics are frozen after training, so a text's code length is the
 exact sum of its bytes' costs; the language with the shortest code wins, and the score is its share of the probability.
 
-Fitting takes about TRAIN_ROWS labelled rows of each language, chosen by hash, whole texts; of their contexts of ORDER bytes the MAX_CONTEXTS
-most frequent are kept (and so of each shorter order), so the model has a fixed bound. All else covers every text whole.
+Fitting takes about TRAIN_ROWS distinct labelled texts of each language, chosen by hash, of up to TRAIN_BYTES bytes; every context
+of that sample is kept, whatever the bytes and languages are. All else covers every text whole.
 
-As costs depend on the last ORDER bytes only, a table from those bytes to the longest kept context and one from context and byte
-to the costs in all languages score a batch by two lookups for each byte. Bytes are kept as SYMBOLS classes: the most frequent
-ones alone, all others together. A text is read as if ORDER line feeds came before it.
+Costs are held for LANES languages at a time: a row for each gram (a context and its next byte) that one of them has, and a row of
+escapes for each context. A gram that none has costs the escapes of its context and what the shorter gram costs. Rows are
+found in a hash table, one look for most bytes. A text is read as if ORDER line feeds came before it.
 
 Cases: a text that is null or has no letter is und with score 0; ties go to the first language in order; without any
-labelled text every text is und; repeated rows each get the result; an empty table gives an empty result; other columns
-do not matter.
+labelled text every text is und; equal texts, and so repeated rows, get one result; a very long text is scored whole, in
+windows; an empty table gives an empty result; other columns do not matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ORDER = 3
-SYMBOL_BITS = 7
-SYMBOLS = 1 << SYMBOL_BITS
-TRAIN_ROWS = 2_000
-MAX_CONTEXTS = 16_384
-#: Costs in the table of each order, over contexts, bytes and languages: with many languages fewer contexts are kept.
-MAX_CELLS = 1 << 22
-MAX_LANGUAGES = 200
-SLICE, WINDOW = 256, 1 << 19
+TRAIN_ROWS, TRAIN_BYTES = 2_000, 1 << 17
+LANES = 16
+SLICE, WINDOW = 256, 1 << 18
 UNKNOWN = "und"
 
 
@@ -49,112 +43,138 @@ def _joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(x for p in parts for x in (pad, p)), np.uint8), starts
 
 
-def _grams(symbols: np.ndarray) -> np.ndarray:
-    """For each place from ORDER on, the ORDER symbols before it and its own, packed."""
-    g = np.zeros(max(0, len(symbols) - ORDER), np.int64)
+def _pads(n: int, starts: np.ndarray) -> np.ndarray:
+    out = np.zeros(n, bool)
+    for k in range(ORDER):
+        out[starts[:-1] + k] = True
+    return out
+
+
+def _grams(data: np.ndarray) -> np.ndarray:
+    """For each place from ORDER on, the ORDER bytes before it and its own, packed."""
+    g = np.zeros(max(0, len(data) - ORDER), np.int64)
     for k in range(ORDER + 1):
-        g = (g << SYMBOL_BITS) | symbols[k : len(symbols) - ORDER + k]
+        g = (g << 8) | data[k : len(data) - ORDER + k]
     return g
 
 
+class Rows:
+    """From distinct keys to their places, by open addressing."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.place = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        left, at = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = keys[left[free]]
+            won = self.keys[at] == keys[left]
+            self.place[at[won]] = left[won]
+            left, at = left[~won], (at[~won] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 for those that there are not."""
+        at = self._slot(keys)
+        out = self.place[at]
+        left = np.flatnonzero(self.keys[at] != keys)
+        at = at[left]
+        while len(left):
+            there = self.keys[at]
+            out[left] = np.where(there == keys[left], self.place[at], -1)
+            on = (there != keys[left]) & (there != -1)
+            left, at = left[on], (at[on] + 1) & self.mask
+        return out
+
+
+class Costs:
+    """Costs in bits of the grams of a few languages; language, gram, count: their statistics, languages from 0 to n - 1."""
+
+    def __init__(self, language: np.ndarray, gram: np.ndarray, count: np.ndarray, n: int):
+        lower = None
+        grams, contexts, costs, escapes = [], [], [], []
+        for order in range(ORDER + 1):
+            own = gram & ((1 << 8 * (order + 1)) - 1)
+            names, at = (np.arange(256), own) if order == 0 else np.unique(own, return_inverse=True)
+            heads, head = np.unique(names >> 8, return_inverse=True)
+            c = np.zeros((len(names), n))
+            np.add.at(c, (at, language), count)
+            total, distinct = np.zeros((len(heads), n)), np.zeros((len(heads), n))
+            np.add.at(total, head, c)
+            np.add.at(distinct, head, c > 0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                escape = np.where(total > 0, np.log2((total + distinct) / distinct), 0.0)
+                seen = np.log2((total + distinct)[head] / c)
+            below = 8.0 if lower is None else lower[np.searchsorted(known, names & ((1 << 8 * order) - 1))]
+            lower, known = np.where(c > 0, seen, escape[head] + below), names
+            if order == 0:
+                self.plain = lower.astype(np.float32)
+            else:
+                grams.append(names | order << 32)
+                contexts.append(heads | order << 32)
+                costs.append(lower.astype(np.float32))
+                escapes.append(escape.astype(np.float32))
+        self.grams, self.contexts = Rows(np.concatenate(grams)), Rows(np.concatenate(contexts))
+        self.costs, self.escapes = np.concatenate(costs), np.concatenate(escapes)
+
+    def bits(self, gram: np.ndarray) -> np.ndarray:
+        """The cost of each gram's last byte in each language."""
+        out = np.zeros((len(gram), self.plain.shape[1]), np.float32)
+        left = np.arange(len(gram))
+        for order in range(ORDER, 0, -1):
+            g = gram[left] & ((1 << 8 * (order + 1)) - 1)
+            row = self.grams.find(g | order << 32)
+            hit = row >= 0
+            out[left[hit]] += self.costs[row[hit]]
+            left, g = left[~hit], g[~hit]
+            row = self.contexts.find(g >> 8 | order << 32)
+            out[left[row >= 0]] += self.escapes[row[row >= 0]]
+        out[left] += self.plain[gram[left] & 255]
+        return out
+
+
 class Model:
-    """Frozen statistics: languages, the class of each byte, and counts of (language, packed ORDER symbols and the next)."""
+    """Frozen statistics: languages, and counts of (language, packed ORDER bytes and the next)."""
 
-    def __init__(self, languages: list[str], classes: np.ndarray, language: np.ndarray, gram: np.ndarray, count: np.ndarray):
-        self.languages, self.classes = languages, classes
-        self.language, self.gram, self.count = language, gram, count
+    def __init__(self, languages: list[str], language: np.ndarray, gram: np.ndarray, count: np.ndarray):
+        self.languages, self.language, self.gram, self.count = languages, language, gram, count
+        self._costs: list[Costs] | None = None
 
     @staticmethod
-    def fit(rows: list[tuple[str, int, int, int]]) -> Model:
-        """rows: language, ORDER bytes before packed by 8 bits, byte, count."""
-        languages = sorted({r[0] for r in rows})
-        if len(languages) > MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    def fit(lang: Sequence[str], before: np.ndarray, byte: np.ndarray, count: np.ndarray) -> Model:
+        """Columns: language, the ORDER bytes before packed by 8 bits, byte, count."""
+        languages = sorted(set(lang))
         index = {x: i for i, x in enumerate(languages)}
-        lang = np.array([index[r[0]] for r in rows], np.int64)
-        before, byte, count = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
-        seen = np.bincount(byte, count, 256)
-        seen[10] = max(seen[10], 1)  # line feeds stand before every text
-        classes = np.full(256, SYMBOLS - 1, np.int64)
-        alone = np.argsort(-seen, kind="stable")[: SYMBOLS - 1]
-        classes[alone[seen[alone] > 0]] = np.arange(SYMBOLS - 1)[seen[alone] > 0]
-        gram = np.zeros_like(before)
-        for k in range(ORDER):
-            gram = (gram << SYMBOL_BITS) | classes[(before >> 8 * (ORDER - 1 - k)) & 255]
-        return Model(languages, classes.astype(np.uint8), lang, (gram << SYMBOL_BITS) | classes[byte], count)
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """From ORDER packed symbols to a state; from state and symbol to the cost in bits in each language."""
-        context, symbol = self.gram >> SYMBOL_BITS, self.gram & (SYMBOLS - 1)
-        deep, where = np.unique(context, return_inverse=True)
-        weight = np.bincount(where, self.count, len(deep))
-        n_lang = len(self.languages)
-        limit = min(MAX_CONTEXTS, max(1, MAX_CELLS // (SYMBOLS * n_lang)))
-        kept = [deep[np.lexsort((deep, -weight))[:limit]]]
-        for order in range(ORDER - 1, 0, -1):  # of each order the most frequent, and what longer ones end in
-            mask = (1 << SYMBOL_BITS * order) - 1
-            names, where = np.unique(deep & mask, return_inverse=True)
-            total = np.bincount(where, weight, len(names))
-            kept.insert(0, np.union1d(names[np.lexsort((names, -total))[:limit]], kept[0] & mask))
-        kept.insert(0, np.zeros(1, np.int64))
-        state = np.zeros(SYMBOLS**ORDER, np.int32)
-        costs = np.full((1, SYMBOLS, n_lang), 2.0**-8, np.float32)
-        shallow = np.zeros(1, np.int64)  # contexts of the order before, as packed symbols, each at its row of costs
-        known = np.zeros(1, np.int64)
-        for order in range(ORDER + 1):
-            own = context & ((1 << SYMBOL_BITS * order) - 1)
-            names = np.unique(kept[order])
-            rows = np.searchsorted(names, own)
-            rows[rows == len(names)] = 0
-            ok = names[rows] == own if len(names) else np.zeros(len(own), bool)
-            c = np.zeros((len(names), SYMBOLS, n_lang))
-            np.add.at(c, (rows[ok], symbol[ok], self.language[ok]), self.count[ok])
-            total, distinct = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
-            under = names & ((1 << SYMBOL_BITS * max(0, order - 1)) - 1)
-            lower = costs[known[np.searchsorted(shallow, under)]] if order else np.broadcast_to(costs[0], (len(names), SYMBOLS, n_lang))
-            with np.errstate(invalid="ignore", divide="ignore"):
-                seen = c > 0
-                c /= total + distinct
-                np.multiply(distinct / (total + distinct), lower, out=c, where=~seen)
-                np.copyto(c, lower, where=total == 0)
-            first = len(costs)
-            costs = np.concatenate([costs, c.astype(np.float32)])
-            shallow, known = names, first + np.arange(len(names))
-            if order == 0:
-                state[:] = first
-            else:
-                view = state.reshape(-1, 1 << SYMBOL_BITS * order)  # all that end in the same symbols
-                view[:, names] = known
-        return state, (-np.log2(costs)).astype(np.float32).reshape(-1, n_lang)
+        return Model(languages, np.array([index[x] for x in lang], np.int64), np.asarray(before, np.int64) << 8 | np.asarray(byte, np.int64), np.asarray(count, np.int64))
+
+    def costs(self) -> list[Costs]:
+        if self._costs is None:
+            own = [(self.language // LANES == i) for i in range(-(-len(self.languages) // LANES))]
+            self._costs = [Costs(self.language[x] % LANES, self.gram[x], self.count[x], min(LANES, len(self.languages) - i * LANES)) for i, x in enumerate(own)]
+        return self._costs
 
     def bits(self, texts: pa.Array) -> np.ndarray:
         """The code length of each text in each language."""
-        state, cost = _tables(self)
         data, starts = _joined(texts)
-        symbols = self.classes[data].astype(np.int64)
         total = np.zeros((len(texts), len(self.languages)))
-        pads = np.zeros(len(data) + 1, bool)
-        for k in range(ORDER):
-            pads[starts[:-1] + k] = True
+        pads = _pads(len(data) + 1, starts)
         for at in range(ORDER, len(data), WINDOW):
             to = min(len(data), at + WINDOW)
-            s = symbols[at - ORDER : to]
-            g = _grams(s)
-            each = cost[(state[g >> SYMBOL_BITS].astype(np.int64) << SYMBOL_BITS) | (g & (SYMBOLS - 1))]
-            each[pads[at:to]] = 0
+            gram = _grams(data[at - ORDER : to])
             first = np.searchsorted(starts, at, "right") - 1
             last = np.searchsorted(starts, to, "left")
             cuts = np.maximum(starts[first:last], at) - at
-            total[first : first + len(cuts)] += np.add.reduceat(each, cuts, axis=0, dtype=np.float64)
+            for i, costs in enumerate(self.costs()):
+                each = costs.bits(gram)
+                each[pads[at:to]] = 0
+                total[first : first + len(cuts), i * LANES : (i + 1) * LANES] += np.add.reduceat(each, cuts, axis=0, dtype=np.float64)
         return total
 
 
-@lru_cache(maxsize=2)
-def _tables(model: Model):
-    return model.tables()
-
-
-_by_key: dict[str, Model] = {}
+_last: dict[int, Model] = {}
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -162,32 +182,27 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: int = 5) -> Model | None:
-    """Fit on about TRAIN_ROWS rows of each language; docs: the rows that may be learned from."""
-    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
-    sizes = {r["_lang"]: r["count"] for r in rows.groupBy("_lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    """Fit on about TRAIN_ROWS texts of each language; docs: the rows that may be learned from."""
+    spark = docs.sparkSession
+    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).cast("string").alias("_lang"))
+    rows = rows.filter(F.octet_length("_text") <= TRAIN_BYTES)
+    sizes = [(r["_lang"], min(1.0, TRAIN_ROWS / r["count"])) for r in rows.groupBy("_lang").count().collect()]
     if not sizes:
         return None
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    share = F.coalesce(*(F.when(F.col("_lang") == k, F.lit(min(1.0, TRAIN_ROWS / n))) for k, n in sizes.items()))
-    sample = rows.filter(draw < share).select("_lang", "_text")
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("_id").cast("string"), "_text"), F.lit(1 << 30)) / float(1 << 30)
+    shares = F.broadcast(spark.createDataFrame(sizes, "_lang string, _share double"))  # a row for each language
+    sample = rows.join(shares, "_lang").filter(draw < F.col("_share")).select("_lang", "_text").dropDuplicates()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lang in b.column(0).unique().to_pylist():
                 data, starts = _joined(b.column(1).filter(pc.equal(b.column(0), lang)))
-                d = data.astype(np.int64)
-                pads = np.zeros(len(d), bool)
-                for k in range(ORDER):
-                    pads[starts[:-1] + k] = True
-                g = np.zeros(max(0, len(d) - ORDER), np.int64)
-                for k in range(ORDER + 1):
-                    g = (g << 8) | d[k : len(d) - ORDER + k]
-                gram, n = np.unique(g[~pads[ORDER:]], return_counts=True)
+                gram, n = np.unique(_grams(data)[~_pads(len(data), starts)[ORDER:]], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram >> 8), pa.array(gram & 255), pa.array(n.astype(np.int64))], ["lang", "before", "byte", "n"])
 
     counted = sample.mapInArrow(count, "lang string, before long, byte long, n long").groupBy("lang", "before", "byte").agg(F.sum("n").alias("n"))
-    found = [tuple(r) for r in counted.collect()]  # bounded by the bytes of the sample
-    return Model.fit(sorted(found)) if found else None
+    found = counted.toArrow()  # bounded by the bytes of the sample
+    return Model.fit(found["lang"].to_pylist(), *(found[c].to_numpy() for c in ("before", "byte", "n"))) if found.num_rows else None
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -195,11 +210,14 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     if model is None:
         return rows.select(F.col("_id").alias(id_col), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    state = (model.languages, model.classes, model.language, model.gram, model.count)
-    key = f"{hash((tuple(model.languages), model.gram.tobytes(), model.count.tobytes()))}"
+    state = (model.languages, model.language, model.gram, model.count)
+    key = hash((tuple(model.languages), model.gram.tobytes(), model.count.tobytes()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = _by_key.get(key) or _by_key.setdefault(key, Model(*state))
+        if key not in _last:  # a worker keeps the tables of one model for its next task
+            _last.clear()
+            _last[key] = Model(*state)
+        m = _last[key]
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 b = batch.slice(at, SLICE)

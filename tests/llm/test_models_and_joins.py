@@ -140,51 +140,77 @@ def test_nearest_of_nothing_and_of_few(spark):
 # language ID
 
 
-def test_code_lengths_are_exact():
-    import pyarrow as pa
-
-    texts = {"en": "the cat sat on the mat and the dog", "fr": "le chat est sur le tapis et le chien é"}
+def _counted(texts):
     counts = Counter()
     for lang, t in texts.items():
-        b = b"\n\n\n" + t.encode()
+        b = b"\n\n\n" + t
         for i in range(3, len(b)):
             counts[(lang, b[i - 3] << 16 | b[i - 2] << 8 | b[i - 1], b[i])] += 1
-    model = langid.Model.fit(sorted((*k, n) for k, n in counts.items()))
-
-    def bits(text, lang):
-        trees = {}
-        for (la, before, byte), n in counts.items():
-            if la == lang:
-                for k in range(4):
-                    context = before.to_bytes(3, "big")[3 - k :]
-                    trees.setdefault(context, Counter())[byte] += n
-        b, total = b"\n\n\n" + text.encode(), 0.0
-        for i in range(3, len(b)):
-            p = 1.0
-            for k in (3, 2, 1, 0):
-                c = trees.get(b[i - k : i] if k else b"")
-                if c is None:
-                    continue
-                n, d = sum(c.values()), len(c)
-                if b[i] in c:
-                    p *= c[b[i]] / (n + d)
-                    break
-                p *= d / (n + d)
-            else:
-                p /= 256
-            total -= math.log2(p)
-        return total
-
-    asked = ["the cat", "", "le chien noir ÿ", "zzz the\n"]
+    return counts
+
+
+def _model(counts):
+    return langid.Model.fit(*(list(c) for c in zip(*((*k, n) for k, n in sorted(counts.items())), strict=True)))
+
+
+def _trees(counts, lang):
+    trees = {}
+    for (la, before, byte), n in counts.items():
+        if la == lang:
+            for k in range(4):
+                trees.setdefault(before.to_bytes(3, "big")[3 - k :], Counter())[byte] += n
+    return trees
+
+
+def _chance(trees, before, byte):
+    p = 1.0
+    for k in (3, 2, 1, 0):
+        c = trees.get(before[3 - k :])
+        if c is None:
+            continue
+        n, d = sum(c.values()), len(c)
+        if byte in c:
+            return p * c[byte] / (n + d)
+        p *= d / (n + d)
+    return p / 256
+
+
+def test_code_lengths_are_exact():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    texts = {"en": b"the cat sat on the mat and the dog", "fr": "le chat est sur le tapis et le chien é".encode()}
+    texts["ja"] = "日本語の文章はここにあります。".encode()
+    texts["ru"] = "кошка сидит на ковре, собака лежит".encode()
+    texts["zz"] = "".join(map(chr, [*range(1, 0x250), *rng.integers(0x400, 0x20000, 600)])).encode("utf-8", "ignore").replace(b"\xed", b"")
+    texts["all"] = bytes(range(256)) * 2 + bytes(rng.integers(0, 256, 4000).tolist())
+    counts = _counted(texts)
+    assert len({k[2] for k in counts}) >= 250
+    model = _model(counts)
+    trees = [_trees(counts, la) for la in model.languages]
+    asked = ["the cat", "", "le chien noir ÿ", "zzz the\n", "日本の猫", "собака\u0800\U00012345"]
     got = model.bits(pa.array(asked))
     for i, t in enumerate(asked):
-        assert got[i] == pytest.approx([bits(t, "en"), bits(t, "fr")], rel=1e-5, abs=1e-4)
+        b = b"\n\n\n" + t.encode()
+        want = [-sum(math.log2(_chance(tree, b[k - 3 : k], b[k])) for k in range(3, len(b))) for tree in trees]
+        assert got[i] == pytest.approx(want, rel=1e-5, abs=1e-4)
+
+
+def test_chances_after_a_context_add_up_to_one_at_most(monkeypatch):
+    monkeypatch.setattr(langid, "LANES", 2)
+    rng = np.random.default_rng(3)
+    counts = _counted({f"l{i}": bytes(rng.integers(0, 240, 900).tolist()) for i in range(5)})
+    model = _model(counts)
+    for before in (0, 0x0A0A0A, *[k[1] for k in list(counts)[:20]]):
+        gram = np.int64(before) << 8 | np.arange(256)
+        total = np.concatenate([np.exp2(-c.bits(gram).astype(float)).sum(0) for c in model.costs()])
+        assert len(total) == 5 and (total <= 1 + 1e-4).all() and (total > 0.5).all()
 
 
 def test_windows_do_not_change_code_lengths(monkeypatch):
     import pyarrow as pa
 
-    model = langid.Model.fit([("en", 0, 97, 3), ("fr", 5, 98, 2)])
+    model = _model({("en", 0, 97): 3, ("fr", 5, 98): 2})
     texts = pa.array(["ab" * 50, "", "b", "a" * 33])
     whole = model.bits(texts)
     monkeypatch.setattr(langid, "WINDOW", 7)
