@@ -26,14 +26,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{folder}/{sc.applicationId}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a written file, where a bound on the rows is known.
+FILE_ROWS = 100_000
+
+
+def saved(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Cut the lineage: write df as Parquet into the shared folder and read it back.
 
-    The table outlives a lost executor, and every later read sees the same rows.
+    The table outlives a lost executor, and every later read sees the same rows. rows: a bound on its slim rows, if one is known;
+    the table then has a file for each FILE_ROWS of them, not one for each partition of the last shuffle.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,3 +56,26 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+#: A key of more rows than HOT_ROWS is split in salted_join; tables of more rows than BROADCAST_ROWS are not broadcast.
+HOT_ROWS, BROADCAST_ROWS = 100_000, 50_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, a written or tiny table, marked for broadcast if its rows number at most BROADCAST_ROWS."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def salted_join(rows: DataFrame, facts: DataFrame, keys: list[str], spread: Column) -> DataFrame:
+    """rows left join facts on keys, of which facts has each once. The rows of a key that more than HOT_ROWS have are dealt by
+    spread to several tasks, and the key's fact is copied to each."""
+    salt, salts = fresh(rows, "_salt"), fresh(rows, "_salts")
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(salts)).filter(F.col(salts) > HOT_ROWS)
+    hot = saved(counted.withColumn(salts, F.ceil(F.col(salts) / HOT_ROWS)), "hot-keys")
+    if hot.limit(1).count() == 0:
+        return rows.join(facts, keys, "left")
+    number = F.coalesce(salts, F.lit(1).cast("long"))
+    left = rows.join(small(hot), keys, "left").withColumn(salt, F.pmod(F.xxhash64(spread), number)).drop(salts)
+    right = facts.join(small(hot), keys, "left").withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), number - 1))).drop(salts)
+    return left.join(right, [*keys, salt], "left").drop(salt)

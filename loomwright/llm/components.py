@@ -9,13 +9,14 @@ from .common import saved
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root for every node of edges (a, b: longs); root is the least node reachable.
+    """node, root for every node of edges (a, b: longs; a written table); root is the least node reachable.
 
     A round takes each node's least label among its neighbours' and its own, then follows the label's own label, so paths
     shrink by more than half; rounds end when no label changes.
     """
-    both = saved(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).distinct(), "cc-edges")
-    labels = saved(both.groupBy(F.col("x").alias("node")).agg(F.least(F.first("x"), F.min("y")).alias("root")), "cc-labels")
+    rows = 2 * edges.count()
+    both = saved(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).distinct(), "cc-edges", rows)
+    labels = saved(both.groupBy(F.col("x").alias("node")).agg(F.least(F.first("x"), F.min("y")).alias("root")), "cc-labels", rows)
     while True:
         of = labels.select(F.col("node").alias("y"), F.col("root").alias("r"))
         near = both.join(of, "y").groupBy(F.col("x").alias("node")).agg(F.min("r").alias("m"))
@@ -23,6 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
         new = saved(
             labels.join(jump, "root").join(near, "node").select("node", F.least("root", "j", "m").alias("root"), (F.least("root", "j", "m") < F.col("root")).alias("moved")),
             "cc-labels",
+            rows,
         )
         labels = new.select("node", "root")
         if not new.filter("moved").limit(1).count():

@@ -23,6 +23,7 @@ take part and a group's id is its smallest that is not null; an empty table give
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import fresh, saved, small
 from .components import components
 from .shingles import shingle_sets
 
@@ -42,7 +43,10 @@ BLOCK, PARTNERS, LIGHT = 1 << 17, 1 << 19, 256
 MANY_GROUPS = 64
 #: A filter of this many bits, whatever the input, tells which documents are read again; others may pass, none is missed.
 FILTER_BITS = 1 << 24
-FLUSH = 1 << 22
+#: Shingle keys that a task holds before it sends them: some 60 MB with their sort.
+FLUSH = 1 << 20
+#: Sizes of one band differ by less than this factor.
+SIZE_BAND = 1.25
 KEY_SHIFT = np.uint64(20)
 
 
@@ -59,8 +63,14 @@ def _class(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64))
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """_k1, _k2: 128 bits that rows with one id and one text share."""
+    own = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (id_col, text_col)]
+    return [F.xxhash64(F.lit(i), F.col(id_col).isNull(), *own).alias(f"_k{i}") for i in (1, 2)]
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    return docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"), *more)
 
 
 def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -70,15 +80,17 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
 
 
 def sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_id, n (size of the set), cls (hash of the set) of every document."""
-    rows = _rows(docs, id_col, text_col)
+    """_id, n (size of the set), cls (hash of the set), _k1 and _k2 (row_key) of every document."""
+    rows = _rows(docs, id_col, text_col, *row_key(id_col, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _parts(batches):
             found = shingle_sets(b.column(1))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([_class(s) for s in found], pa.int64())], ["_id", "n", "cls"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([_class(s) for s in found], pa.int64()), b.column(2), b.column(3)], ["_id", "n", "cls", "_k1", "_k2"]
+            )
 
-    return rows.mapInArrow(run, f"_id {dict(rows.dtypes)['_id']}, n long, cls long")
+    return rows.mapInArrow(run, f"_id {dict(rows.dtypes)['_id']}, n long, cls long, _k1 long, _k2 long")
 
 
 def _first_postings(docs: DataFrame, id_col: str, text_col: str, slack: float) -> DataFrame:
@@ -175,6 +187,9 @@ class Tile:
     def __init__(self, cls: np.ndarray, group: np.ndarray, arrays: list[np.ndarray]):
         self.cls, self.group, self.arrays = cls, group.copy(), arrays
         self.joined: dict[int, int] = {}
+        self.members: dict[int, list[int]] = {}
+        for i, g in enumerate(group.tolist()):
+            self.members.setdefault(g, []).append(i)
         self.n = np.array([len(a) for a in arrays], np.int64)
         widths = np.array([_width(int(n)) for n in self.n])
         self.bands = {int(w): np.flatnonzero(widths == w) for w in np.unique(widths)}
@@ -184,7 +199,7 @@ class Tile:
         """Left classes that link with s, one of each group that is not joined with its own yet."""
         n, out = len(s), []
         width = _width(n)
-        group = self.joined.get(group, group)
+        group = self._find(group)
         for w, own in self.bands.items():
             if not width // 4 <= w <= width * 4:
                 continue
@@ -208,11 +223,23 @@ class Tile:
                 if 100 * both >= 80 * (n + len(a) - both):
                     out.append(int(i))
                     self._join(int(self.group[i]), group)
+                    group = self._find(group)
         return out
 
-    def _join(self, old: int, new: int) -> None:
-        self.group[self.group == old] = new
-        self.joined |= {k: new for k, v in self.joined.items() if v == old} | {old: new}
+    def _find(self, group: int) -> int:
+        while (up := self.joined.get(group, group)) != group:
+            self.joined[group] = self.joined.get(up, up)
+            group = up
+        return group
+
+    def _join(self, a: int, b: int) -> None:
+        """The smaller group's left classes get the larger one's number."""
+        few, many = sorted((self._find(a), self._find(b)), key=lambda g: len(self.members.get(g, ())))
+        if few != many:
+            own = self.members.pop(few, [])
+            self.group[own] = many
+            self.members.setdefault(many, []).extend(own)
+            self.joined[few] = many
 
 
 def _compare(table: pa.Table) -> pa.Table:
@@ -251,31 +278,44 @@ def _count(table: pa.Table) -> pa.Table:
             continue
         t = Tile(cls[mine], cls[mine], [array(i) for i in mine])
         for i in asked:
-            t.group, t.joined = cls[mine].copy(), {}  # every class is a group of its own
+            t.group, t.joined, t.members = cls[mine].copy(), {}, {}  # every class is a group of its own
             out.append(int(cls[i]))
             n.append(int(docs[mine][t.linked(cls[i], cls[i], array(i))].sum()))
     return pa.table({"cls": pa.array(out, pa.int64()), "links": pa.array(n, pa.int64())})
 
 
+def _cut(side: DataFrame, limit: int) -> DataFrame:
+    """side with _block: 0 in a tile of up to limit shingles; a larger tile is banded by size, from a histogram, and each band is
+    dealt by hash into as many blocks as its shingles need. So no task ever meets all classes of a tile."""
+    weight = F.greatest("n", F.lit(LIGHT))
+    sized = side.withColumn("_band", F.floor(F.log(F.col("n")) / math.log(SIZE_BAND)).cast("long"))
+    bands = sized.groupBy("tile", "_band").agg(F.sum(weight).alias("_w"))
+    large = bands.groupBy("tile").agg(F.sum("_w").alias("_all")).filter(F.col("_all") > limit).select("tile")
+    parts = saved(bands.join(large, "tile").select("tile", "_band", F.ceil(F.col("_w") / limit).alias("_parts")), "join-blocks")
+    block = F.col("_band") * (1 << 32) + F.pmod(F.xxhash64("cls"), F.col("_parts")) + 1
+    return sized.join(small(parts), ["tile", "_band"], "left").withColumn("_block", F.coalesce(block, F.lit(0).cast("long"))).drop("_band", "_parts")
+
+
 def compare(left: DataFrame, right: DataFrame, signatures: DataFrame, task=_compare, schema: str = "a long, b long") -> DataFrame:
-    """Links (a, b) between the left and the right classes of each tile; both sides have tile, cls, grp, n.
+    """Links (a, b) between the left and the right classes of each tile; both sides have tile, cls, grp, n. A written table.
 
-    A tile's left classes are cut by size into blocks of BLOCK shingles and its right ones into blocks of PARTNERS; every left
+    A tile's left classes are cut into blocks of about BLOCK shingles and its right ones into blocks of PARTNERS; every left
     block meets the right classes whose size can match.
     """
     weight = F.greatest("n", F.lit(LIGHT))
-    before = F.sum(weight).over(Window.partitionBy("tile").orderBy("n", "cls").rowsBetween(Window.unboundedPreceding, 0)) - weight
-    left = left.distinct().withColumn("_l", F.floor(before / BLOCK))
-    right = right.distinct().withColumn("_r", F.floor(before / PARTNERS))
+    left, right = _cut(left.distinct(), BLOCK).withColumnRenamed("_block", "_l"), _cut(right.distinct(), PARTNERS).withColumnRenamed("_block", "_r")
     spans = left.groupBy("tile", "_l").agg((F.min("n") * 80).alias("_from"), (F.max("n") * 100).alias("_to"))
-    sent = right.join(spans, "tile").filter((F.col("n") * 100 >= F.col("_from")) & (F.col("n") * 80 <= F.col("_to")))
-    blocks = sent.select("tile", "_l", "_r").distinct()
-    sides = [("tile", "_l", "_r", F.lit(True).alias("left"), "cls", "grp", "n"), ("tile", "_l", "_r", F.lit(False).alias("left"), "cls", "grp", "n")]
-    asked = saved(left.join(blocks, ["tile", "_l"]).select(*sides[0]).unionByName(sent.select(*sides[1])), "join-tiles")
-    n = asked.agg(F.coalesce(F.sum(weight), F.lit(0))).collect()[0][0]
+    theirs = right.groupBy("tile", "_r").agg((F.max("n") * 100).alias("_high"), (F.min("n") * 80).alias("_low"))
+    blocks = spans.join(theirs, "tile").filter("_high >= _from and _low <= _to").drop("_high", "_low")
+    columns = ("tile", "_l", "_r", "left", "cls", "grp", "n")
+    mine = left.join(blocks.drop("_from", "_to"), ["tile", "_l"]).withColumn("left", F.lit(True))
+    sent = right.join(blocks, ["tile", "_r"]).filter("n * 100 >= _from and n * 80 <= _to").withColumn("left", F.lit(False))
+    asked = saved(mine.select(*columns).unionByName(sent.select(*columns)), "join-tiles")
+    n, rows = asked.agg(F.coalesce(F.sum(weight), F.lit(0)), F.count_if(~F.col("left"))).collect()[0]
     tasks = asked.select(F.xxhash64("tile", "_l", "_r").alias("tile"), "left", "cls", "grp").withColumn("_task", F.pmod("tile", F.lit(max(1, -(-n // PARTNERS)))))
     full = tasks.join(signatures.select("cls", "keys").dropDuplicates(["cls"]), "cls")
-    return full.groupBy("_task").applyInArrow(task, schema)
+    found = full.groupBy("_task").applyInArrow(task, schema)
+    return saved(found.distinct() if task is _compare else found, "join-links", rows)
 
 
 def _rare(signatures: DataFrame) -> DataFrame:
@@ -292,7 +332,7 @@ def _rare(signatures: DataFrame) -> DataFrame:
 
 def _still_apart(rare: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Left and right sides of tiles for the groups that meet in a shingle and are not joined yet."""
-    placed = saved(rare.join(groups, "cls", "left").withColumn("grp", F.coalesce("root", "cls")).drop("root"), "join-placed")
+    placed = saved(rare.join(groups, "cls", "left").withColumn("grp", F.coalesce("root", "cls")).drop("root"), "join-placed", rare.count())
     meets = placed.select("key", "grp").distinct()
     many = meets.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     few = meets.join(many.filter(F.col("m") <= MANY_GROUPS).select("key"), "key")
@@ -314,41 +354,56 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack
     link, enough to join every group."""
     found = saved(sets(docs, id_col, text_col), "join-sets")
     classes = found.filter("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("_id").alias("rep"))
-    by_key = Window.partitionBy("key")
+    by_key = Window.partitionBy("key")  # a task sends two rows of a key at most
     posted = _first_postings(docs, id_col, text_col, slack).withColumn("_low", F.min("cls").over(by_key)).withColumn("_high", F.max("cls").over(by_key))
     shared = posted.filter("known > 0 or _low <> _high").groupBy("cls").agg(F.sum(F.greatest("known", F.lit(1))).alias("shared"))
-    left = saved(shared.join(classes, "cls").filter(F.col("shared") >= 1 + F.floor(F.col("n") * slack)).select(F.col("rep").alias("_id")), "join-left")
+    left = saved(shared.join(classes, "cls").filter(F.col("shared") >= 1 + F.floor(F.col("n") * slack)).select(F.col("rep").alias("_id")), "join-left", found.count())
     signatures = saved(_signatures(docs, id_col, text_col, left), "join-signatures")
-    rare = saved(_rare(signatures), "join-rare")
+    rare = saved(_rare(signatures), "join-rare", signatures.agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0])
     hubs = rare.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("hub"), F.max("cls").alias("last")).filter("hub.cls <> last")
     stars = rare.join(hubs, "key").filter("cls <> hub.cls and 100 * least(n, hub.n) >= 80 * greatest(n, hub.n)")
     tile = F.col("hub.cls").cast("string").alias("tile")
-    one = saved(
-        compare(
-            stars.select(tile, F.col("hub.cls").alias("cls"), F.col("hub.cls").alias("grp"), F.col("hub.n").alias("n")),
-            stars.select(tile, "cls", F.col("cls").alias("grp"), "n"),
-            signatures,
-        ).distinct(),
-        "join-links",
+    one = compare(
+        stars.select(tile, F.col("hub.cls").alias("cls"), F.col("hub.cls").alias("grp"), F.col("hub.n").alias("n")),
+        stars.select(tile, "cls", F.col("cls").alias("grp"), "n"),
+        signatures,
     )
     groups = components(one).select(F.col("node").alias("cls"), "root")
-    two = saved(compare(*_still_apart(rare, groups), signatures).distinct(), "join-links")
+    two = compare(*_still_apart(rare, groups), signatures)
     return found, classes, one.unionByName(two)
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack: float = SLACK) -> DataFrame:
-    """One row for each document: id, n_shingles, component_id, the smallest id that links reach from it."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, slack: float) -> DataFrame:
+    """The rows of sets with component, the smallest id of the group, and root, a class that names the group."""
     found, classes, pairs = links(docs, id_col, text_col, slack)
     roots = components(pairs)
     joined = roots.join(classes, F.col("node") == F.col("cls")).select("cls", "root", "rep")
     least = joined.groupBy("root").agg(F.min("rep").alias("component"))
-    named = classes.join(joined.join(least, "root").select("cls", "component"), "cls", "left").select("cls", F.coalesce("component", "rep").alias("component"))
+    named = classes.join(joined.join(least, "root").select("cls", "root", "component"), "cls", "left").select("cls", F.coalesce("component", "rep").alias("component"), F.coalesce("root", "cls").alias("root"))
     # documents without shingles belong to no class; a random key spreads them
-    keyed = found.withColumn("cls", F.when(F.col("n") > 0, F.col("cls")).otherwise(F.xxhash64("_id")))
-    out = keyed.join(named, "cls", "left")
+    keyed = found.withColumn("cls", F.when(F.col("n") > 0, F.col("cls")).otherwise(F.xxhash64("_id", "_k1")))
+    return keyed.join(named, "cls", "left")
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack: float = SLACK) -> DataFrame:
+    """One row for each document: id, n_shingles, component_id, the smallest id that links reach from it."""
+    out = _grouped(docs, id_col, text_col, slack)
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_id")).alias("component_id"))
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack: float = SLACK) -> DataFrame:
+    """docs with one row of each group: that with the smallest id, null last; of rows with one id and different texts, one; of
+    repeated rows, one. Rows without words all stay."""
+    least = F.min(F.struct(F.col("_id").isNull().alias("null"), F.col("_id"), F.col("_k1"), F.col("_k2"))).alias("least")
+    kept = _grouped(docs, id_col, text_col, slack).filter("n > 0").groupBy("root").agg(least).select("least._k1", "least._k2")
+    k1, k2, n = fresh(docs, "_k1"), fresh(docs, "_k2"), fresh(docs, "_n")
+    blank = ~F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.filter(~blank).withColumns(dict(zip((k1, k2), row_key(id_col, text_col), strict=True)))
+    same = Window.partitionBy(k1, k2).orderBy(k1)
+    one = keyed.join(kept.toDF(k1, k2), [k1, k2], "left_semi").withColumn(n, F.row_number().over(same)).filter(F.col(n) == 1)
+    return one.select(*docs.columns).unionByName(docs.filter(blank))
+
+
 def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack: float = SLACK) -> DataFrame:
     """One row for each document: id, links, the number of other documents that it links with (copies of its set included)."""
     found, classes, pairs = links(docs, id_col, text_col, slack)

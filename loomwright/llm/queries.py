@@ -159,19 +159,19 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN least_ ON x = w.doc_id
 
 def _kind_sql(order: int, kind: str, pattern: str, group: int, least: int) -> str:
     p = pattern.replace("'", "''")
-    return f"""SELECT doc_id, owner, {order} AS o, '{kind}' AS kind, i, gap, m, v, {least} AS least_ FROM (SELECT doc_id, source AS owner, unnest(string_split_regex(t, '{p}')) AS gap,
+    return f"""SELECT doc_id, owner, copy, {order} AS o, '{kind}' AS kind, i, gap, m, v, {least} AS least_ FROM (SELECT doc_id, source AS owner, unnest(string_split_regex(t, '{p}')) AS gap,
     unnest(range(len(string_split_regex(t, '{p}')))) AS i, unnest(regexp_extract_all(t, '{p}', 0)) AS m, unnest(regexp_extract_all(t, '{p}', {group})) AS v FROM d WHERE regexp_matches(t, '{p}'))"""
 
 
 SQL["op5_secret_scan"] = f"""
-WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, md5(coalesce(text, '')) AS copy FROM documents),
 found AS ({" UNION ALL ".join(_kind_sql(i, *k) for i, k in enumerate([*secret_scan.BASE, *secret_scan.ADDED]))}),
 placed AS (
   SELECT *, CAST(sum(length(gap)) OVER z + coalesce(sum(length(m)) OVER z, 0) - coalesce(length(m), 0) AS BIGINT) AS s, length(m) AS size
   FROM found WINDOW z AS (PARTITION BY doc_id, o ORDER BY i)
 ), good AS (SELECT * FROM placed WHERE m IS NOT NULL AND length(v) >= least_),
-owners AS (SELECT sha256(v) AS h, count(DISTINCT owner) AS n FROM good GROUP BY 1),
-kept AS (SELECT good.*, kind || ':' || CAST(s AS VARCHAR) || ':' || CAST(s + size AS VARCHAR) AS said FROM good JOIN owners ON h = sha256(v) WHERE o < {len(secret_scan.BASE)} OR n <= {secret_scan.MAX_OWNERS}),
+owners AS (SELECT sha256(v) AS h, count(DISTINCT owner) AS n, least(count(DISTINCT doc_id), count(DISTINCT copy)) AS r FROM good GROUP BY 1),
+kept AS (SELECT good.*, kind || ':' || CAST(s AS VARCHAR) || ':' || CAST(s + size AS VARCHAR) AS said FROM good JOIN owners ON h = sha256(v) WHERE o < {len(secret_scan.BASE)} OR n <= {secret_scan.MAX_OWNERS} OR r <= {secret_scan.MAX_REPOS}),
 told AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS b, count(*) FILTER (kind = 'hex') AS c,
          string_agg(said, ',' ORDER BY s, o) FILTER (o < {len(secret_scan.BASE)}) AS base, string_agg(said, ',' ORDER BY s, o) AS spans

@@ -40,6 +40,14 @@ def test_one_document_of_each_group_stays(spark):
     assert {r["doc_id"] for r in P.near_duplicates(spark, whole, "").collect()} == least
 
 
+def test_rows_with_one_id_or_none_are_told_apart_by_text(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, long), (7, f"{long} more"), (7, "quite another text of six words"), (None, "copy without an id at all"), (None, "copy without an id at all"), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], r["text"]) for r in P.near_duplicates(spark, docs, "").collect())
+    assert got == Counter([rows[0], rows[2], rows[3], rows[5], rows[6]])
+
+
 def test_secrets_are_masked_and_lengths_follow(spark):
     docs = brute.frame(spark)
     got = P.secrets(spark, docs, "")

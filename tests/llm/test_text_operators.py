@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from loomwright.llm import fingerprints, mixing, packing, secret_scan, shingles, token_counts, url_filter
+from loomwright.llm import common, fingerprints, mixing, packing, secret_scan, shingles, token_counts, url_filter
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -71,14 +71,32 @@ def test_base_spans_of_awkward_texts(spark):
 
 
 def test_ownership_tells_copied_examples_from_live_values(spark):
-    copied, own = "ghp_" + "Ab1" * 12, "ghp_" + "Zx9" * 12
-    rows = [(i, f"see {copied} here", "en", f"s{i}") for i in range(5)] + [(9, f"{own} and {copied}", "en", "s9"), (10, own, "en", "s9")]
-    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan(brute.frame(spark, rows)).collect()}
-    assert [got[i] for i in range(5)] == [[]] * 5
-    assert [(x["kind"], x["start"], x["end"], x["owners"]) for x in got[9]] == [("hosted", 0, 40, 1)]
-    assert len(got[10]) == 1
-    masked = {r["doc_id"]: r["text"] for r in secret_scan.mask(brute.frame(spark, rows)).collect()}
-    assert masked[0] == rows[0][1] and masked[9] == f"<secret> and {copied}"
+    copied, own, leaked, local = ("ghp_" + x * 12 for x in ("Ab1", "Zx9", "Lk7", "Lo3"))
+    rows = [(i, f"see {copied} here, {i}", "en", f"s{i}") for i in range(12)] + [(90, f"{own} and {copied}", "en", "s9"), (91, own, "en", "s9")]
+    # one text in many repositories of many owners: a leak that was copied; many repositories of one owner: no example either
+    rows += [(100 + i, f"oops {leaked}", "en", f"s{i}") for i in range(12)] + [(200 + i, f"{local} {i}", "en", "s1") for i in range(12)]
+    # three owners, but few repositories
+    few = "ghp_" + "Fe4" * 12
+    rows += [(300 + i, f"{few} {i}", "en", f"s{i}") for i in range(3)]
+    docs = brute.frame(spark, rows)
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan(docs).collect()}
+    assert [got[i] for i in range(12)] == [[]] * 12
+    assert [(x["kind"], x["start"], x["end"], x["owners"], x["repos"]) for x in got[90]] == [("hosted", 0, 40, 1, 2)]
+    assert [(x["owners"], x["repos"]) for x in got[100]] == [(12, 1)] and [(x["owners"], x["repos"]) for x in got[205]] == [(1, 12)]
+    assert [(x["owners"], x["repos"]) for x in got[301]] == [(3, 3)]
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.mask(docs).collect()}
+    assert masked[0] == "see <example> here, 0" and masked[90] == "<secret> and <example>" and masked[104] == "oops <secret>"
+
+
+def test_a_set_that_a_third_of_the_rows_have_is_split(spark, monkeypatch):
+    rows = [(i, "password = hunter2secret", "en", f"s{i % 4}") for i in range(60)] + [(100 + i, f"token: abcdef{i}", "en", "s") for i in range(60)] + [(None, "clean", "en", None)]
+    docs = brute.frame(spark, rows)
+    want = sorted(map(str, secret_scan.scan(docs).collect()))
+    masked = sorted(map(str, secret_scan.mask(docs).collect()))
+    monkeypatch.setattr(common, "HOT_ROWS", 7)
+    assert sorted(map(str, secret_scan.scan(docs).collect())) == want and sorted(map(str, secret_scan.mask(docs).collect())) == masked
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, secret_scan.scan(docs).collect())) == want
 
 
 def test_mask_keeps_every_row_and_column(spark):
