@@ -8,46 +8,46 @@ from __future__ import annotations
 
 import public_tokenizers
 from loomwright.llm import mixing, ngram_join, packing, quality, secret_scan
-from loomwright.llm.common import fresh, saved, table
-from pyspark.sql import DataFrame, SparkSession, Window
+from loomwright.llm.common import saved, table
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the classifier scores below its threshold. It learns from the labels that are not held out."""
+    """Drops the documents that the classifier scores below its threshold. It learns from the labels that are not held out.
+
+    A null text is scored as an empty one; rows with null in other columns, and repeated rows, are judged by their texts alone;
+    without labels the smoothed share of good ones, 0.5, is below the threshold; an empty table gives an empty result.
+    """
     model = quality.train(docs, table(spark, sf_dir, "labels").filter(~quality.held_out()))
-    scored = quality.score(docs, model, carry=True)
-    return scored.filter(F.col(scored.columns[-1]) >= quality.THRESHOLD).select(*docs.columns)
+    return docs.filter(quality.score_column(F.col("text"), model) >= quality.THRESHOLD)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps, of each group of linked documents, the one with the smallest doc_id; documents without words all stay.
+    """Keeps, of each group of linked documents, the one with the smallest doc_id, null last; documents without words all stay.
 
-    Of rows that share an id and a text one stays. Rows with a null id are kept.
+    Of rows that share an id and a text one stays, also where the id is null; rows that share an id but are not linked are told
+    apart by their texts. An empty table gives an empty result.
     """
-    kept = ngram_join.groups(docs).filter("component_id = doc_id").select("doc_id").distinct()
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang")
-    place = fresh(docs, "_n")
-    known = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn(place, F.row_number().over(same)).filter(F.col(place) == 1)
-    return known.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    return ngram_join.representatives(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces every secret by a mark; n_chars follows the text."""
+    """Replaces every secret by a mark; n_chars follows the text. A null text stays null, and an empty table empty."""
     masked = secret_scan.mask(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document as often as the mix does; one that it does not take goes. Documents without words stay, once: they use
-    none of the budget."""
+    none of the budget. Null ids and sources take part; an empty table gives an empty mix."""
     mixed = mixing.mix(docs, carry=True).withColumn("_times", F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("int"))
     copies = mixed.filter("_times > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return copies.select(*(F.col(f"_row.{c}").alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences of at most 1024 tokens."""
+    """The pieces of all documents with their places in sequences of at most 1024 tokens. A null text is empty: one end token."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
