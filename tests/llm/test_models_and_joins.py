@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from loomwright.llm import ann, components, langid, ngram_join, quality
+from loomwright.llm import ann, common, components, langid, ngram_join, quality
 from pyspark.sql import functions as F
 
 from . import brute
@@ -108,7 +108,7 @@ def test_nearest_against_brute_force(spark):
 
 
 def test_recall_over_several_shards(spark, monkeypatch, sf):
-    monkeypatch.setattr(ann, "SHARD_ROWS", 150)
+    monkeypatch.setattr(ann, "SHARD_CELLS", 150 * 64)
     monkeypatch.setattr(ann, "BLOCK_QUERIES", 7)
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
     rows = df.collect()
@@ -131,6 +131,34 @@ def test_forest_ascends_to_enough_candidates():
     assert all(len(c) == 500 for c in ann.Forest(x).candidates(x[:3], 1e9))
 
 
+def test_recall_of_many_vectors_by_a_part_of_them():
+    n, k = 20_000, 21
+    x = np.random.default_rng(4).normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[100:200] = x[:100] + np.random.default_rng(5).normal(0, 0.01, (100, 64))
+    asked = np.arange(0, n, 400)
+    share, hits = [], 0
+    for q, near in zip(asked, ann.Forest(x).candidates(x[asked], ann.TREES + ann.REACH * k + ann.EFFORT * n, k), strict=True):
+        share.append(len(near) / n)
+        want = np.argsort(-(x @ x[q]), kind="stable")[:k]
+        hits += len(np.intersect1d(want, near))
+    assert max(share) < 0.5 and hits / (k * len(asked)) >= 0.9
+
+
+def test_vectors_of_each_length_are_searched(spark, monkeypatch):
+    rows = [(i, [1.0, float(i)]) for i in range(0, 50)] + [(100 + i, [1.0, float(i), 2.0]) for i in range(0, 30)] + [(1000 + 20 * i, [3.0, 4.0]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, ann.nearest(df, lambda i: i % 20 == 0).collect()))
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    assert sorted(map(tuple, ann.nearest(df, lambda i: i % 20 == 0).collect())) == got
+    want = []
+    for q, v in rows:
+        if q % 20 == 0:
+            near = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in rows if i != q and len(w) == len(v))[:20]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(near)]
+    assert got == sorted(want)
+
+
 def test_nearest_of_nothing_and_of_few(spark):
     _, df = vectors(spark, 5)
     assert ann.nearest(df.limit(0), lambda i: i % 20 == 0).count() == 0
