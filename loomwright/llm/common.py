@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but the six ASCII white-space characters.
@@ -79,3 +79,17 @@ def salted_join(rows: DataFrame, facts: DataFrame, keys: list[str], spread: Colu
     left = rows.join(small(hot), keys, "left").withColumn(salt, F.pmod(F.xxhash64(spread), number)).drop(salts)
     right = facts.join(small(hot), keys, "left").withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), number - 1))).drop(salts)
     return left.join(right, [*keys, salt], "left").drop(salt)
+
+
+def offsets(counts: DataFrame, key: str, bucket: str, value: str, name: str) -> DataFrame:
+    """key, bucket and name, the sum of value over the key's buckets before. counts has a row for each key and bucket (from 0).
+
+    Sums are made within spans of 1,024 buckets and over the spans, so no task orders all buckets of a key.
+    """
+    spanned = counts.withColumn("_span", F.shiftright(bucket, 10))
+    inside = Window.partitionBy(key, "_span").orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    spans = spanned.groupBy(key, "_span").agg(F.sum(value).alias("_all"))
+    over = Window.partitionBy(key).orderBy("_span").rowsBetween(Window.unboundedPreceding, 0)
+    first = spans.select(key, "_span", (F.sum("_all").over(over) - F.col("_all")).alias("_first"))
+    within = spanned.withColumn("_in", F.sum(value).over(inside) - F.col(value))
+    return within.join(first, [key, "_span"]).select(key, bucket, (F.col("_first") + F.col("_in")).alias(name))
