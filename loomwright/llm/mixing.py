@@ -5,11 +5,13 @@ time is the number of its source's words up to its end, divided by the source's
 in order of finish time until the total budget is spent.
 
 Prefix sums are made in buckets of about BUCKET_ROWS rows whose number follows the row count, so neither a hot source nor
-the global order ever meets in one task; only totals per bucket are summed in sequence.
+the global order ever meets in one task; only totals per bucket are summed in sequence. The place where the budget ends is found
+by histograms of CELLS cells, each of which refines the cell before in which the budget ends, until so few copies are left that
+they can be put in order.
 
-Cases: a null or empty text has size 0 and is taken 0 words; a null source is a source of its own, ordered last; repeated
-rows are rows of their own, and among equal ones it does not matter which is taken; an empty table gives an empty mix; other
-columns, whatever their names, do not matter.
+Cases: a null or empty text has size 0 and is taken 0 words; a null source is a source of its own, ordered last; null and
+repeated ids are shuffled by their texts; repeated rows are rows of their own, and among equal ones it does not matter which is
+taken; a very long text counts whole; an empty table gives an empty mix; other columns, whatever their names, do not matter.
 """
 
 from __future__ import annotations
@@ -20,11 +22,12 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, word_count
+from .common import offsets, saved, word_count
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 BUCKET_ROWS = 2_000
+CELLS = 4_096
 #: The plan holds one entry for each source on the driver; more sources than this are refused.
 MAX_SOURCES = 100_000
 
@@ -59,13 +62,13 @@ def shares(totals: list[tuple[str | None, int, int]], weights=WEIGHTS, max_epoch
     return [Share(s, n, rows, t) for (s, n, rows), t in zip(totals, target, strict=True)]
 
 
-def _finish(df: DataFrame, plan: DataFrame, offsets: DataFrame) -> DataFrame:
+def _finish(df: DataFrame, plan: DataFrame, before: DataFrame) -> DataFrame:
     """Adds _cum, the words of the source up to the end of the row in its shuffled order, and the source's plan."""
     in_bucket = Window.partitionBy("_source", "_bucket").orderBy("_tie", "_id", "_text_hash", "_size").rowsBetween(Window.unboundedPreceding, 0)
     return (
         _bucketed(df, plan)
         .withColumn("_in", F.sum("_size").over(in_bucket))
-        .join(offsets, ["_source", "_bucket"])
+        .join(before, ["_source", "_bucket"])
         .withColumn("_cum", F.col("_in") + F.col("_before"))
         .drop("_before", "_in")
     )
@@ -91,7 +94,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("_source"),
         word_count(F.col(text_col)).alias("_size"),
         # 60 bits of a hash that other engines have too
-        F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 256), 1, 15), 16, 10).cast("long").alias("_tie"),
+        F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(F.col(text_col), F.lit("")))), 256), 1, 15), 16, 10).cast("long").alias("_tie"),
         F.xxhash64(F.col(text_col)).alias("_text_hash"),
         *([F.struct(*(docs[c] for c in docs.columns)).alias("_row")] if carry else []),
     )
@@ -105,16 +108,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         [("" if x.source is None else f"={x.source}", x.size, x.target, max(1, math.ceil(x.rows / BUCKET_ROWS))) for x in found],
         "_source string, _source_size long, _target double, _buckets long",
     )
-    offsets = saved(
-        _bucketed(slim, plan)
-        .groupBy("_source", "_bucket")
-        .agg(F.sum("_size").alias("_n"))
-        .select("_source", "_bucket", (F.sum("_n").over(Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before")),
-        "mix-offsets",
-    )
-    budget, rows = sum(x.size for x in found), sum(x.rows for x in found)
-    last = _cutoff(_finish(slim, plan, offsets), budget, max(1, math.ceil(rows / BUCKET_ROWS)), max_epochs)
-    placed = _finish(keyed if carry else slim, plan, offsets)
+    sums = _bucketed(slim, plan).groupBy("_source", "_bucket").agg(F.sum("_size").alias("_n"))
+    rows = sum(x.rows for x in found)
+    before = saved(offsets(sums, "_source", "_bucket", "_n", "_before"), "mix-offsets", rows // BUCKET_ROWS + len(found))
+    last = _cutoff(_finish(slim, plan, before), rows, sum(x.size for x in found), max_epochs)
+    placed = _finish(keyed if carry else slim, plan, before)
     copies = sum((F.coalesce(_key(e) <= _literal(last), F.lit(False)).cast("long") for e in range(max_epochs)), F.lit(0).cast("long")) if last else F.lit(0).cast("long")
     return placed.select(
         F.col("_id").alias(id_col),
@@ -135,16 +133,26 @@ def _literal(last) -> F.Column:
     return F.struct(F.lit(last["f"]).cast("double").alias("f"), F.lit(last["t"]).cast("long").alias("t"), F.lit(last["i"]).cast("string").alias("i"), F.lit(last["h"]).cast("long").alias("h"), F.lit(last["e"]).cast("int").alias("e"))
 
 
-def _cutoff(placed: DataFrame, budget: int, buckets: int, max_epochs: int):
-    """The key of the last copy that still fits the budget. Finish times are summed by range first: one range is sorted."""
-    copies = placed.filter("_size > 0").select("_size", F.explode(F.array(*(_key(e) for e in range(max_epochs)))).alias("k")).withColumn("r", F.least(F.floor(F.col("k.f") * buckets), F.lit(4 * buckets)).cast("long"))
-    ranges = copies.groupBy("r").agg(F.sum("_size").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
-    at = ranges.filter(F.col("before") <= budget).orderBy(F.desc("r")).limit(1).collect()
-    if not at:
-        return None
-    r, before = at[0]["r"], at[0]["before"]
-    within = copies.filter(F.col("r") == r).withColumn("cum", F.sum("_size").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)) + before)
-    found = within.filter(F.col("cum") <= budget).agg(F.max("k").alias("k")).collect()[0]["k"]
-    if found is not None:
-        return found
-    return copies.filter(F.col("r") < r).agg(F.max("k").alias("k")).collect()[0]["k"]
+def _cutoff(placed: DataFrame, rows: int, budget: int, max_epochs: int):
+    """The key of the last copy that still fits the budget."""
+    passes = saved(placed.filter("_size > 0").select("_size", F.explode(F.array(*(_key(e) for e in range(max_epochs)))).alias("k")).filter("k.f is not null"), "mix-copies", max_epochs * rows)
+    left, spent = passes, 0
+    for part in ("k.f", "k.t"):  # copies of one finish time are told apart by their hashes
+        while True:
+            n, low, high = left.agg(F.count(F.lit(1)), F.min(part), F.max(part)).collect()[0]
+            if n <= BUCKET_ROWS or low == high:
+                break
+            cell = F.least(F.floor((F.col(part) - low) / (high - low) * CELLS), F.lit(CELLS - 1))
+            cells = left.groupBy(cell.alias("c")).agg(F.sum("_size").alias("n"), F.min(part).alias("low"), F.max(part).alias("high")).orderBy("c").collect()
+            for c in cells:
+                if spent + c["n"] > budget:
+                    break
+                spent += c["n"]
+            else:  # all fit
+                return passes.agg(F.max("k").alias("k")).collect()[0]["k"]
+            left = left.filter(F.col(part).between(c["low"], c["high"]))
+    order = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)  # few copies, or repeated rows
+    reached = left.withColumn("_spent", F.sum("_size").over(order) + spent).agg(F.max(F.when(F.col("_spent") <= budget, F.col("k"))).alias("fits"), F.min("k").alias("first")).collect()[0]
+    if reached["fits"] is not None or reached["first"] is None:
+        return reached["fits"]
+    return passes.filter(F.col("k") < _literal(reached["first"])).agg(F.max("k").alias("k")).collect()[0]["k"]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import offsets, saved
 
 CAPACITY = 1024
 END_ID = 2
@@ -167,17 +167,15 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row for each piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
-    cut = saved(pieces(docs, tokenizer, id_col, text_col, capacity, end_id), "pack-pieces")
+    # a number of its own for each piece, so that neither repeated nor null ids share a bucket
+    cut = saved(pieces(docs, tokenizer, id_col, text_col, capacity, end_id).withColumn("_row", F.monotonically_increasing_id()), "pack-pieces")
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most capacity rows
     runs = spark.createDataFrame([(*x,) for x in plan(histogram, capacity)], "length long, _first long, _count long, _each long, _sequence long, _offset long")
     buckets = spark.createDataFrame([(n, -(-c // BUCKET_ROWS)) for n, c in histogram.items()], "length long, _buckets long")
-    spread = cut.join(F.broadcast(buckets), "length").withColumn("_bucket", F.pmod(F.xxhash64(F.col("_id").cast("string"), "piece"), F.col("_buckets")))
-    before = (
-        spread.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .select("length", "_bucket", (F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
-    )
+    spread = cut.join(F.broadcast(buckets), "length").withColumn("_bucket", F.pmod(F.xxhash64("_row"), F.col("_buckets")))
+    before = offsets(spread.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n")), "length", "_bucket", "_n", "_before")
     ranked = (
-        spread.withColumn("_in", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("_id", "piece", "start", "ids_crc32")))
+        spread.withColumn("_in", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("_row")))
         .join(before, ["length", "_bucket"])
         .withColumn("_rank", F.col("_before") + F.col("_in") - 1)
     )

@@ -108,7 +108,7 @@ FROM cut c LEFT JOIN fits f ON c.host = f.host AND c.path = f.path
 SQL["op1_mixing"] = """
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(sha256('17:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS tie
+         CAST('0x' || substr(sha256('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS tie
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS n, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS w FROM d GROUP BY source

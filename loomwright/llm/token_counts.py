@@ -1,7 +1,7 @@
 """Token counts: batches encoded in Arrow functions that return lengths only.
 
-The rows of an Arrow batch are cut into pieces and dealt into encoder calls of about CALL_BYTES each, so one very long text
-neither waits for nor swells a batch. Texts over SPLIT_BYTES are cut at safe boundaries, where no token can span: for
+The rows of an Arrow batch are cut into pieces and dealt into encoder calls of about CALL_BYTES bytes of UTF-8 each, so one very
+long text neither waits for nor swells a batch. Texts over SPLIT_BYTES are cut at safe boundaries, where no token can span: for
 tokenizers that drop white space, before a space. A tokenizer without such boundaries gets whole texts.
 
 Cases: a null text counts as empty: 0 tokens; repeated rows each get their count; an empty table gives an empty result; other
@@ -49,14 +49,28 @@ def load(path: str):
 
 
 def cut(text: str, size: int = SPLIT_BYTES) -> list[str]:
-    """Pieces of about size characters, each but the first beginning with a space; a run without spaces stays whole."""
-    if len(text) <= size:
+    """Pieces of about size bytes, each but the first beginning with a space; a run without spaces stays whole."""
+    data = text.encode()
+    if len(data) <= size:
         return [text]
     out, at = [], 0
-    while len(text) - at > size and (to := text.find(" ", at + size)) >= 0:
-        out.append(text[at:to])
+    while len(data) - at > size and (to := data.find(b" ", at + size)) >= 0:
+        out.append(data[at:to].decode())
         at = to
-    return [*out, text[at:]]
+    return [*out, data[at:].decode()]
+
+
+def calls(sizes: list[int], most: int = CALL_BYTES) -> list[tuple[int, int]]:
+    """Runs of pieces, from and to, of at most so many bytes; a piece over that is a run of its own."""
+    out, at = [], 0
+    while at < len(sizes):
+        to, held = at, 0
+        while to < len(sizes) and (to == at or held + sizes[to] <= most):
+            held += sizes[to]
+            to += 1
+        out.append((at, to))
+        at = to
+    return out
 
 
 def counts(texts: list[str], path: str) -> np.ndarray:
@@ -66,14 +80,9 @@ def counts(texts: list[str], path: str) -> np.ndarray:
         own = cut(t) if safe else [t]
         pieces += own
         rows += [i] * len(own)
-    total, at = np.zeros(len(texts), np.int64), 0
-    while at < len(pieces):
-        to, size = at, 0
-        while to < len(pieces) and (to == at or size + len(pieces[to]) <= CALL_BYTES):
-            size += len(pieces[to])
-            to += 1
+    total = np.zeros(len(texts), np.int64)
+    for at, to in calls([len(p.encode()) for p in pieces]):
         np.add.at(total, rows[at:to], encode(pieces[at:to]))
-        at = to
     return total
 
 

@@ -4,7 +4,8 @@ A URL is expanded into its host suffixes, cut at dots, times its path prefixes o
 is looked up by the first SHORT hex digits of its SHA-256; the full digest then confirms the hit, and the longest rule wins
 (between rules of one length the greater string, and for one string block before allow).
 
-Distinct (host, path) pairs are judged, so a page copied a million times is expanded once. The rules are broadcast only
+Distinct (host, path) pairs are judged, so a page copied a million times is expanded once; its rows are dealt to several tasks
+when they get the verdict. The rules are broadcast only
 while they number at most BROADCAST_RULES; beyond that the join shuffles both sides.
 
 Cases: a null URL, or one without ://, has an empty host and path and no rule; repeated rows each get the verdict; an empty
@@ -16,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import salted_join
+
 SHORT = 8
 BROADCAST_RULES = 50_000
 #: The rules of the query, as (verdict, host and path).
@@ -63,7 +66,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     known = rules.select("rule", "verdict", F.sha2("rule", 256).alias("_full")).withColumn("_short", F.substring("_full", 1, SHORT))
     hit = asked.join(F.broadcast(known) if n_rules <= BROADCAST_RULES else known, "_short").filter(F.col("_digest") == F.col("_full"))
     best = hit.groupBy("_host", "_path").agg(F.max(F.struct(F.length("rule").alias("n"), "rule", F.col("verdict").alias("v"))).alias("_best"))
-    return split.join(best, ["_host", "_path"], "left").select(
+    return salted_join(split, best, ["_host", "_path"], F.struct("_id")).select(
         F.col("_id").alias(id_col), F.col("_host").alias("host"), F.col("_path").alias("path"),
         F.col("_best.rule").alias("rule"), F.coalesce(F.col("_best.v"), F.lit(default)).alias("verdict"),
     )

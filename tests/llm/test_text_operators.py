@@ -1,5 +1,7 @@
 import hashlib
+import math
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
@@ -7,6 +9,8 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
+import xxhash
 from loomwright.llm import common, fingerprints, mixing, packing, secret_scan, shingles, token_counts, url_filter
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -53,6 +57,29 @@ def test_mix_takes_what_the_queue_takes(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
 
 
+def test_mix_is_that_of_a_plain_queue(spark, monkeypatch):
+    rows = [(i, "w " * (1 + i * 11 % 17) + str(i), "en", "abcd"[i % 7 % 4]) for i in range(300)] + [(None, f"no id {i}", "en", "a") for i in range(40)] + [(999, "v " * 5000, "en", "b")]
+    docs = brute.frame(spark, rows)
+    for name, value in (("BUCKET_ROWS", 6), ("CELLS", 3)):
+        monkeypatch.setattr(mixing, name, value)
+    got = Counter((r["doc_id"], r["size"], r["copies"]) for r in mixing.mix(docs).collect())
+    size = [len(brute.words(r[1])) for r in rows]
+    tie = [int(hashlib.sha256(f"17:{'' if i is None else i}:{hashlib.md5(t.encode()).hexdigest()}".encode()).hexdigest()[:15], 16) for i, t, *_ in rows]
+    plan = {x.source: x for x in mixing.shares([(s, sum(n for n, r in zip(size, rows, strict=True) if r[3] == s), 1) for s in "abcd"])}
+    queue = []
+    for s, x in plan.items():
+        cum = 0
+        for i in sorted((i for i, r in enumerate(rows) if r[3] == s), key=lambda i: tie[i]):
+            cum += size[i]
+            queue += [((e * x.size + cum) / x.target, tie[i], e, i) for e in range(3)]
+    spent, copies = 0, Counter()
+    for *_, i in sorted(queue):
+        if (spent := spent + size[i]) > sum(size):
+            break
+        copies[i] += 1
+    assert got == Counter((r[0], size[i], copies[i]) for i, r in enumerate(rows))
+
+
 def test_mix_of_awkward_rows_and_of_none(spark):
     got = mixing.mix(brute.frame(spark)).collect()
     assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((r[0], len(brute.words(r[1]))) for r in brute.AWKWARD)
@@ -132,6 +159,16 @@ def test_token_counts_of_pieces(spark):
     assert token_counts.count_tokens(brute.frame(spark, []).limit(0), path).count() == 0
 
 
+def test_calls_are_balanced_by_bytes():
+    text = "日本 語の " * 500
+    pieces = token_counts.cut(text, 200)
+    assert "".join(pieces) == text and all(len(p.encode()) <= 220 for p in pieces)
+    sizes = [len(p.encode()) for p in pieces] + [5_000, 10]
+    runs = token_counts.calls(sizes, 1_000)
+    assert [i for a, b in runs for i in range(a, b)] == list(range(len(sizes)))
+    assert all(sum(sizes[a:b]) <= 1_000 or b == a + 1 for a, b in runs) and len(runs) <= sum(sizes) // 500 + 2
+
+
 # packing
 
 
@@ -250,6 +287,70 @@ def test_edits_and_likeness(spark):
     assert sum(got[i]["near_edited"] for i in range(60)) > sum(got[i]["near_next"] for i in range(60)) * 0.5
 
 
+def _xx(value, seed=42):
+    return xxhash.xxh64_intdigest(value, seed=seed)
+
+
+def _signed(x):
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
+def _long(x, seed=42):
+    return _xx(struct.pack("<q", x), seed)
+
+
+def _all(xs):
+    h = 42
+    for x in xs:
+        h = _long(x, h)
+    return h
+
+
+def _terms(text):
+    return {_signed(_xx(w.encode())) for w in regex.split(r"[^\p{L}\p{N}]+", (text or "").lower()) if w}
+
+
+def _plain_print(text, lexicon):
+    """I-Match term by term: the whole lexicon, then twice GROUPS families of nested random subsets of it."""
+    text = text or ""
+    own = sorted(_terms(text) & lexicon)
+    out = ["%016X" % _all(own) if own else hashlib.sha256(text.encode()).hexdigest().upper()]
+    for family in (own, sorted(_signed(_long(t)) for t in own)):
+        for g in range(fingerprints.GROUPS):
+            for level in range(fingerprints.LEVELS):
+                kept = [t for t in family if not any(t >> (g * fingerprints.LEVELS + b) & 1 for b in range(level + 1))]
+                out.append("%08X" % (_all(kept) & 0xFFFFFFFF) if kept else "--------")
+    return " ".join(out)
+
+
+def _plain_likeness(a, b):
+    pairs = [(x, y) for x, y in zip(a.split(" "), b.split(" "), strict=True) if x != "-" * 8 or y != "-" * 8]
+    return sum(x == y for x, y in pairs) / len(pairs)
+
+
+@pytest.mark.parametrize("most", [4_000_000, 0])
+def test_fingerprints_are_those_of_plain_i_match(spark, monkeypatch, most):
+    monkeypatch.setattr(fingerprints, "LEXICON_TERMS", most)
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 40)
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
+    rows += [(7, "one more text of a known id", "en", "a"), (7, "and yet another of it", "en", "a")] + [(None, f"no id {i % 2} at all", "en", "a") for i in range(6)]
+    df = Counter(t for r in rows for t in _terms(r[1]))
+    log_n = math.log(len(rows))
+    lexicon = {t for t, n in df.items() if 0.2 <= (log_n - math.log(n)) / log_n <= 0.8}
+    ids = sorted({r[0] for r in rows if r[0] is not None}, reverse=True) + [None]
+    first = {i: min((t for j, t, *_ in rows if j == i), key=lambda t: _signed(_xx(t.encode()))) for i in ids}
+    follow = {i: first[ids[(k + 1) % len(ids)]] for k, i in enumerate(ids)}
+    want = Counter()
+    for i, t, *_ in rows:
+        edited = t[: len(t) - len(t) // 2] + follow[i][: len(t) // 2]
+        a, b, c = (_plain_print(x, lexicon) for x in (t, edited, follow[i]))
+        want[(i, edited, a, b, round(_plain_likeness(a, b), 9), round(_plain_likeness(a, c), 9))] += 1
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("_key", F.lit("clash")).withColumn("_lexicon", F.lit(1))
+    got = fingerprints.compare_edits(docs).collect()
+    assert Counter((r["doc_id"], r["edited"], r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in got) == want
+
+
 def test_document_frequencies_are_of_single_terms(spark):
     # two words that share the lower 22 bits of their hashes, each in one text; the ten texts of a group share ten terms
     word = F.concat(F.lit("u"), F.col("id").cast("string"))
@@ -260,7 +361,7 @@ def test_document_frequencies_are_of_single_terms(spark):
     docs = brute.frame(spark, rows)
     prints = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(docs).collect()}
     assert prints[3] == prints[4] != prints[14] == prints[15]
-    buckets = fingerprints.lexicon(docs, band=(0.0, 1.0)).collect()[0]["_lexicon"]
+    buckets = fingerprints.lexicon(docs, band=(0.0, 1.0)).row.collect()[0]["_lexicon"]
     assert sum(map(len, buckets)) == 32 and len(buckets) == 8
     assert all(t & (len(buckets) - 1) == i for i, b in enumerate(buckets) for t in b)
 
