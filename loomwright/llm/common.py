@@ -17,10 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a new local one only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; a new local one only where that is unset and Spark runs in
+    one process."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="loomwright-")
         sc.setCheckpointDir(folder)
     return f"{folder}/{sc.applicationId}"

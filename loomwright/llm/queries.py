@@ -159,7 +159,7 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN least_ ON x = w.doc_id
 
 def _kind_sql(order: int, kind: str, pattern: str, group: int, least: int) -> str:
     p = pattern.replace("'", "''")
-    return f"""SELECT doc_id, owner, copy, {order} AS o, '{kind}' AS kind, i, gap, m, v, {least} AS least_ FROM (SELECT doc_id, source AS owner, unnest(string_split_regex(t, '{p}')) AS gap,
+    return f"""SELECT doc_id, owner, copy, {order} AS o, '{kind}' AS kind, i, gap, m, v, {least} AS least_ FROM (SELECT doc_id, copy, source AS owner, unnest(string_split_regex(t, '{p}')) AS gap,
     unnest(range(len(string_split_regex(t, '{p}')))) AS i, unnest(regexp_extract_all(t, '{p}', 0)) AS m, unnest(regexp_extract_all(t, '{p}', {group})) AS v FROM d WHERE regexp_matches(t, '{p}'))"""
 
 
