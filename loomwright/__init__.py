@@ -1 +1 @@
-"""Spark-native engine for distillation datasets."""
+"""Spark-native engine for teacher-labelled corpora."""

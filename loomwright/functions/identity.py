@@ -1,4 +1,4 @@
-"""Identity of a distilled record."""
+"""Identity of a teacher record."""
 
 from __future__ import annotations
 

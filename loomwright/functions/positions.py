@@ -66,7 +66,7 @@ def merged(windows: Column) -> Column:
 
 
 def windows(mask: Column, radius: int) -> Column:
-    """Merged windows of radius around the positions that are on.
+    """Merged windows of radius around the positions that are on: start, end and how many of them are in it.
 
     A position begins a window if none before it is near enough to share one, and ends one likewise, so the k-th beginning
     and the k-th end are one window: no fold over the positions is needed.
@@ -77,9 +77,14 @@ def windows(mask: Column, radius: int) -> Column:
 
     def joined(x: Column) -> Column:
         on, n = x["on"], x["n"]
-        ends = F.filter(on, lambda p, i: F.coalesce(far(p, F.get(on, i + 1)), F.lit(True)))
-        begins = F.filter(on, lambda p, i: (i == 0) | far(F.get(on, i - 1), p))
-        return F.zip_with(begins, ends, lambda s, e: F.struct(F.greatest(s - radius, F.lit(0)).alias("start"), F.least(e + radius, n - 1).alias("end")))
+        numbers = F.sequence(F.lit(0), F.size(on) - 1)  # windows are runs of these
+        ends = F.filter(numbers, lambda i: F.coalesce(far(F.get(on, i), F.get(on, i + 1)), F.lit(True)))
+        begins = F.filter(numbers, lambda i: (i == 0) | far(F.get(on, i - 1), F.get(on, i)))
+
+        def window(b: Column, e: Column) -> Column:
+            return F.struct(F.greatest(F.get(on, b) - radius, F.lit(0)).alias("start"), F.least(F.get(on, e) + radius, n - 1).alias("end"), (e - b + 1).alias("count"))
+
+        return F.when(F.size(on) > 0, F.zip_with(begins, ends, window)).when(on.isNotNull(), F.array().cast("array<struct<start:int,end:int,count:int>>"))
 
     return bound(bound(mask, lambda m: F.struct(selected(m).alias("on"), F.size(m).alias("n"))), joined)
 

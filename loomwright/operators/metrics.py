@@ -1,4 +1,4 @@
-"""Quality metrics, summaries and comparisons of distilled records: one scan and one aggregation each."""
+"""Quality metrics, summaries and comparisons of teacher records: one scan and one aggregation each."""
 
 from __future__ import annotations
 
@@ -67,7 +67,7 @@ def selection_summary(records: DataFrame) -> DataFrame:
     )
 
 
-def dataset_summary(records: DataFrame) -> DataFrame:
+def record_summary(records: DataFrame) -> DataFrame:
     """One row: records, by stage and by teacher, mean chunk length and entropy, versions."""
     pairs = records.groupBy("stage_name", "teacher_name", "schema_version").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("byte_end") - F.col("byte_start")).alias("bytes"), F.sum("entropy").alias("e"), F.count("entropy").alias("en"))
     # a few rows, one for each stage, teacher and version
@@ -79,7 +79,7 @@ def dataset_summary(records: DataFrame) -> DataFrame:
 
 
 def summary_facts(records: DataFrame) -> DataFrame:
-    """The summary as rows (fact, value), to compare two datasets."""
+    """The summary as rows (fact, value), to compare two tables."""
     total = records.agg(F.count(F.lit(1)).cast("double").alias("records"), F.avg(F.col("byte_end") - F.col("byte_start")).alias("avg_chunk_length"), F.avg("entropy").alias("avg_entropy"))
     facts = [total.select(F.explode(F.array(*(F.struct(F.lit(c).alias("fact"), F.col(c).alias("value")) for c in total.columns))).alias("f")).select("f.*")]
     for key in ("stage_name", "teacher_name"):

@@ -1,4 +1,4 @@
-"""Distilled records: first-seen dedup, new rows only, shard numbers, policies of selected positions."""
+"""Teacher records: first-seen dedup, new rows only, shard numbers, policies of selected positions."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import positions
 from ..functions.identity import signature
+from ..functions.lineage import saved
 
 POSITION_FIELDS = ("top_k_ids", "top_k_logprobs", "per_token_entropy", "per_token_top1_gap", "per_token_token_ids", "per_token_valid_mask")
 
@@ -26,14 +27,14 @@ def new_only(records: DataFrame, existing: DataFrame, windows: bool = False) ->
 
 
 def numbered(records: DataFrame, order: Sequence[str], name: str = "ordinal") -> DataFrame:
-    """Ordinals from 0 in a total order: rows are ranked within ranges of the first key, and the ranges' sizes are added up."""
-    parts = max(1, records.sparkSession.sparkContext.defaultParallelism)
-    spread = records.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    spread = spread.persist()
-    sizes = spread.groupBy("_part").count()
+    """Ordinals from 0 in a total order. Rows are sorted within ranges and written with their place in the range, so the numbers
+    stay when an executor is lost; a range's first number is the sum of the sizes of those before."""
+    spread = records.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    placed = saved(spread, "numbered").withColumn("_part", F.shiftright("_place", 33)).withColumn("_rank", F.col("_place").bitwiseAND((1 << 33) - 1))
+    # a row for each range
+    sizes = placed.groupBy("_part").count()
     before = sizes.select("_part", (F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("count")).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return spread.withColumn("_rank", rank).join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.col("_rank")).cast("long")).drop("_part", "_rank", "_before")
+    return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_rank")).drop("_part", "_place", "_rank", "_before")
 
 
 def sharded(records: DataFrame, size: int, order: Sequence[str], filled: int = 0) -> DataFrame:
@@ -79,8 +80,7 @@ def apply_policy(records: DataFrame, mode: str, entropy: float | None = None, ga
 
     def cut(w: Column) -> Column:
         start, end = w["start"], w["end"]
-        inside = F.size(F.filter(F.col("_on"), lambda i: i.between(start, end)))
-        return F.struct(start.alias("selected_window_start"), end.alias("selected_window_end"), inside.alias("selected_position_count"), *(positions.sliced(F.col(c), start, end).alias(c) for c in fields))
+        return F.struct(start.alias("selected_window_start"), end.alias("selected_window_end"), w["count"].alias("selected_position_count"), *(positions.sliced(F.col(c), start, end).alias(c) for c in fields))
 
     # the fields are cut before the rows multiply, so no row carries more than its window
     kept = [c for c in rows.columns if c not in (*fields, "_mask", "_on")]

@@ -1,8 +1,8 @@
 """Sampling, allocation and ratio mixes. Shuffles order rows by a seeded hash, so a draw is the same on any cluster.
 
 A small draw is a top-k by hash (TakeOrdered). A large one, and every draw within groups, counts rows by the first digits of
-the hash, finds on the driver (in a table of a fixed size for each group) where the quota ends, and ranks only the rows that
-share those digits; so no group is ever sorted in one task.
+the hash, finds on the driver (in a table of a fixed size for each group) where the quota ends, goes on with the next digits of
+the rows that share those, and ranks only the last SMALL; so no group is ever sorted in one task.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from ..functions.text import draw_order
 
 RECORD_KEY = ("doc_id", "chunk_index", "byte_start")
 SMALL = 10_000
-DIGITS = 3
+DIGITS, MOST_DIGITS = 3, 12
 
 
 def allocate(total: int, ratios: Sequence[float]) -> list[int]:
@@ -40,32 +40,43 @@ def allocate_groups(total: int, percentages: dict[str, float]) -> dict[str, int]
     return out
 
 
-def lowest_within(df: DataFrame, group: Sequence[str], quotas: dict[tuple, int], order: Column, key: Sequence[str]) -> DataFrame:
+def lowest_within(df: DataFrame, group: Sequence[str], quotas: dict[tuple, int], order: Column, key: Sequence[str | Column]) -> DataFrame:
     """Of each group the first rows in order (a hex string), ties by key; quotas: how many, for groups not named none."""
     spark = df.sparkSession
-    keyed = df.withColumn("_order", order).withColumn("_digits", F.substring("_order", 1, DIGITS))
-    counted: dict[tuple, list[tuple[str, int]]] = {}
-    for r in keyed.groupBy(*group, "_digits").count().collect():
-        counted.setdefault(tuple(r[c] for c in group), []).append((r["_digits"], r["count"]))
-    ends = []
-    for g, counts in counted.items():
-        left = quotas.get(g, 0)
-        for digits, n in sorted(counts):
-            if n > left:
-                ends.append((*g, digits, left))
-                break
-            left -= n
-        else:
-            ends.append((*g, "~", 0))
+    keyed = df.withColumn("_order", order)
     kinds = dict(keyed.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in group) + ", _end string, _left int"
     same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)]
-    table = spark.createDataFrame(ends, schema).toDF(*(f"_g{i}" for i in range(len(group))), "_end", "_left")
-    placed = keyed.join(F.broadcast(table), same)
-    rank = F.row_number().over(Window.partitionBy(*group, "_digits").orderBy("_order", *key))
-    whole = placed.filter("_digits < _end")
+
+    def ended(ends: dict[tuple, tuple[str, int]]) -> DataFrame:
+        """Rows with _end, the first digits of the rows among which the group's quota ends, and _left, how many of those are taken."""
+        table = spark.createDataFrame([(*g, *e) for g, e in ends.items()], schema).toDF(*(f"_g{i}" for i in range(len(group))), "_end", "_left")
+        return keyed.join(F.broadcast(table), same)  # a row for each group that has a quota
+
+    ends = {g: ("", n) for g, n in quotas.items() if n > 0}
+    if not ends:
+        return df.limit(0)
+    for at in range(0, MOST_DIGITS, DIGITS):
+        near = ended(ends).filter(F.col("_order").startswith(F.col("_end"))).withColumn("_digits", F.substring("_order", 1, at + DIGITS))
+        counted: dict[tuple, list[tuple[str, int]]] = {}
+        for r in near.groupBy(*group, "_digits").count().collect():
+            counted.setdefault(tuple(r[c] for c in group), []).append((r["_digits"], r["count"]))
+        most = 0
+        for g, counts in counted.items():
+            left = ends[g][1]
+            for digits, n in sorted(counts):
+                if n > left:
+                    ends[g], most = (digits, left), max(most, n)
+                    break
+                left -= n
+            else:
+                ends[g] = ("~", 0)
+        if most <= SMALL:
+            break
+    placed = ended(ends).withColumn("_digits", F.when(F.col("_end") == "~", "").otherwise(F.expr("substring(_order, 1, length(_end))")))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("_order", *key))
     edge = placed.filter("_digits = _end and _left > 0").withColumn("_rank", rank).filter("_rank <= _left").drop("_rank")
-    return whole.unionByName(edge).select(*df.columns)
+    return placed.filter("_digits < _end").unionByName(edge).select(*df.columns)
 
 
 def subsample(df: DataFrame, k: int, seed: int, key: Sequence[str] = RECORD_KEY) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import hash_bucket
-from .sampling import subsample
+from .sampling import lowest_within, subsample
 
 BUCKETS = 10_000
 
@@ -51,7 +51,11 @@ def with_long_documents(rows: DataFrame, eval_fraction: float, seed: int, min_by
     if not target:
         return split
     able = lengths.filter((F.col("split") == "train") & (F.col("n") >= min_bytes))
-    chosen = able.orderBy(F.desc("n"), F.desc(id_col)).limit(target) if strategy == "prefer_long_docs" else subsample(able, target, seed + 909, (id_col,))
+    if strategy == "prefer_long_docs":
+        longest = F.lpad(F.hex(F.lit((1 << 47) - 1) - F.col("n")), 12, "0")
+        chosen = lowest_within(able.withColumn("_all", F.lit(0)), ["_all"], {(0,): target}, longest, [F.desc(id_col)])
+    else:
+        chosen = subsample(able, target, seed + 909, (id_col,))
     return _labelled(split, chosen, "eval_longdoc", id_col)
 
 

@@ -1,4 +1,4 @@
-"""Builds: source caches, mixtures and distilled datasets, with manifests and resume."""
+"""Builds: source caches, mixtures and teacher records, with manifests and resume."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.lineage import saved
 from ..operators import chunking, corpus, metrics, sampling, splits
 from ..sources import files, readers, sinks
 from . import stages, teachers
@@ -41,7 +42,7 @@ def extract(spark: SparkSession, root: str, source: Source, refresh: bool = Fals
     parts, counts = [], {}
     for ours, theirs in sorted(source.split_mapping.items()):
         try:
-            rows = read(source, theirs) if read else readers.upstream(spark, f"{source.dataset}/{theirs}" if theirs else source.dataset, source.source_type)
+            rows = read(source, theirs) if read else readers.upstream(spark, f"{source.location}/{theirs}" if theirs else source.location, source.source_type)
         except Exception as e:
             raise RuntimeError(f"source {source.source_name}, split {theirs}: {e}") from e
         order = [source.order_field] if source.order_field else [c for c, k in rows.dtypes if not k.startswith(("array", "map", "struct"))]
@@ -72,7 +73,7 @@ def build_mixture(spark: SparkSession, config: Corpus, out: str) -> dict[str, An
     return manifest
 
 
-# Distilled datasets
+# Teacher records
 
 
 def initial_resume(config: Pipeline) -> dict[str, Any]:
@@ -139,8 +140,10 @@ def run(spark: SparkSession, config: Pipeline, docs: DataFrame | None = None) ->
     if not config.output.dry_run:
         for s in enabled:
             c = getattr(config, s)
-            if c.teacher_name != "byte_bigram" and (bad := teachers.create(c.teacher_name, **c.teacher_settings).check()):
-                raise RuntimeError(f"{s}: {c.teacher_name}: {bad}")
+            used = [(m["teacher_name"], m.get("settings", {})) for m in c.teacher_mixture or ()] or [(c.teacher_name, c.teacher_settings)]
+            for name, settings in used:
+                if name != "byte_bigram" and (bad := teachers.create(name, **settings).check()):
+                    raise RuntimeError(f"{s}: {name}: {bad}")
     t = clock()
     b = config.stage_b
     chunks = chunking.chunk(docs, config.data.chunk_bytes, config.data.overlap_bytes, context=b.context_window, stride=b.stride)
@@ -166,7 +169,8 @@ def run(spark: SparkSession, config: Pipeline, docs: DataFrame | None = None) ->
                 made = _stage(kind, config, teachers.create("dry_run"), rows) if kind != "stage_a" else stages.stage_a(rows, teachers.create("dry_run"), c.top_k)
             elif c.teacher_mixture:
                 total = rows.count()
-                outputs = [(_stage(kind, config, make_teacher(m["teacher_name"], m.get("settings", {}), docs), rows), m["ratio"]) for m in c.teacher_mixture]
+                # written first, so each teacher sees each record once, however often the draw reads its output
+                outputs = [(saved(_stage(kind, config, make_teacher(m["teacher_name"], m.get("settings", {}), docs), rows), f"teacher-{j}"), m["ratio"]) for j, m in enumerate(c.teacher_mixture)]
                 made = sampling.teacher_mixture(outputs, total, d.seed + 101 * (i + 1))
             else:
                 made = _stage(kind, config, make_teacher(c.teacher_name, c.teacher_settings, docs), rows)

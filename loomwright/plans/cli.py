@@ -30,7 +30,7 @@ def rows(df, limit: int = 1000) -> list[dict]:
 
 
 def cmd_build(a) -> None:
-    """Build a distilled dataset, or merge datasets by ratio."""
+    """Build teacher records, or merge tables of them by ratio."""
     spark = session()
     if a.merge_inputs:
         parts = [readers.wire_records(spark, p) for p in a.merge_inputs]
@@ -77,13 +77,13 @@ def cmd_inspect_corpus(a) -> None:
 
 
 def cmd_inspect(a) -> None:
-    """Summary, quality and a sample of a dataset."""
+    """Summary, quality and a sample of a table of records."""
     spark = session()
     df = readers.records(spark, a.path)
     if a.stage:
         df = df.filter(F.col("stage_name") == a.stage)
     out = {
-        "shards": rows(readers.shard_counts(spark, a.path)), "summary": rows(metrics.dataset_summary(df))[0], "quality": build.quality_report(spark, df, a.path if a.export else None),
+        "shards": rows(readers.shard_counts(spark, a.path)), "summary": rows(metrics.record_summary(df))[0], "quality": build.quality_report(spark, df, a.path if a.export else None),
         "fields": rows(metrics.presence(df, ("top_k_ids", "per_token_entropy", "per_token_top1_gap", "per_token_valid_mask", "structured_output")))[0], "manifest": files.read_json(spark, f"{a.path}/{sinks.MANIFEST}"),
     }
     if a.samples:
@@ -95,7 +95,7 @@ def cmd_inspect(a) -> None:
 
 
 def cmd_compare(a) -> None:
-    """Compare two datasets."""
+    """Compare two tables of records."""
     spark = session()
     found = rows(metrics.compare(readers.records(spark, a.left), readers.records(spark, a.right)).orderBy("fact"))
     show(found)
@@ -103,7 +103,7 @@ def cmd_compare(a) -> None:
 
 
 def cmd_merge(a) -> None:
-    """Merge shards of several datasets."""
+    """Merge shards of several folders."""
     show(sinks.merge_shards(session(), a.inputs, a.output, a.max_records_per_shard))
 
 
@@ -133,7 +133,7 @@ def cmd_tokens(a) -> None:
 
 
 def cmd_parity(a) -> None:
-    """Whether two datasets have one shape."""
+    """Whether two tables of records have one shape."""
     spark = session()
     found = rows(metrics.parity(readers.records(spark, a.left), readers.records(spark, a.right)).orderBy("check"))
     show(found)

@@ -216,7 +216,7 @@ def fingerprints(config: Pipeline) -> dict[str, str]:
 class Source:
     source_name: str = setting("", required=True)
     source_type: str = setting("parquet", one_of("parquet", "json", "csv", "orc", "huggingface"))
-    dataset: str = setting("", required=True)
+    location: str = setting("", required=True)
     config_name: str | None = setting(None)
     text_field: str = setting("text", required=True)
     order_field: str | None = setting(None)
@@ -263,7 +263,7 @@ class Corpus:
 def source(values: dict[str, Any]) -> Source:
     """A source; hf_dataset, hf_config and the three split keys are read as well."""
     v = dict(values)
-    v.setdefault("dataset", v.pop("hf_dataset", ""))
+    v.setdefault("location", v.pop("hf_dataset", ""))
     v.setdefault("config_name", v.pop("hf_config", None))
     splits = dict(v.get("split_mapping") or {})
     for ours in ("train", "eval", "validation"):

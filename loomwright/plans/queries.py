@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codec, completions, positions, prompts, signals, text
 from ..functions.identity import identity, signature
+from ..functions.lineage import shared_dir
 from ..operators import chunking, corpus, metrics, records, sampling, splits
 from ..sources import readers
 from . import stages, teachers
@@ -157,6 +158,14 @@ def split_longdoc(spark, sf):
     return splits.with_long_documents(rows, 0.1, 42, 4096, 0.05).select("doc_id", "split")
 
 
+@query("split_random_longdoc", f"""WITH {RANKED}, e AS (SELECT *, rn <= round_even(total * 0.1, 0) AS is_eval FROM r),
+q AS (SELECT *, row_number() OVER (PARTITION BY NOT is_eval AND n >= 4096 ORDER BY sha256('951:' || doc_id), doc_id) AS lr FROM e)
+SELECT doc_id, CASE WHEN is_eval THEN 'eval' WHEN n >= 4096 AND lr <= round_even(total * 0.05, 0) THEN 'eval_longdoc' ELSE 'train' END AS split FROM q""")
+def split_random_longdoc(spark, sf):
+    rows = docs(spark, sf).withColumn("byte_end", F.octet_length("text").cast("long"))
+    return splits.with_long_documents(rows, 0.1, 42, 4096, 0.05, "random_docs").select("doc_id", "split")
+
+
 HASHED = "sha256(concat_ws(':', '{seed}', doc_id, CAST(k AS VARCHAR), CAST(s AS VARCHAR)))"
 
 
@@ -173,19 +182,24 @@ def subsample_k(spark, sf):
     return key(sampling.subsample(chunks(spark, sf), 100, 42))
 
 
+@query("subsample_large", f"WITH {chunk_sql(64, 0)} SELECT doc_id, k AS chunk_index FROM c ORDER BY {HASHED.format(seed=5)}, doc_id, k, s LIMIT 12000")
+def subsample_large(spark, sf):
+    return key(sampling.subsample(chunking.chunk(docs(spark, sf), 64, 0), 12_000, 5))
+
+
 @query("sample_first_n", f"WITH {chunk_sql(4096, 256)} SELECT doc_id, k AS chunk_index FROM c ORDER BY doc_id, k, s, e LIMIT 50")
 def sample_first_n(spark, sf):
     return key(sampling.first_rows(chunks(spark, sf), 50))
 
 
-@query("ratio_merge", f"""WITH {chunk_sql(4096, 256, 'p', "(FROM documents WHERE lang = 'en')")}, {chunk_sql(4096, 256, 'q', "(FROM documents WHERE lang <> 'en')")},
+@query("ratio_merge", f"""WITH {chunk_sql(4096, 256, 'p', "(FROM documents WHERE lang = 'en')")}, {chunk_sql(4096, 256, 'q', "(FROM documents WHERE lang IS DISTINCT FROM 'en')")},
 n AS (SELECT (SELECT count(*) FROM p) AS np, (SELECT count(*) FROM q) AS nq), f AS (SELECT *, (np + nq) * 1 / 4.0 AS tp, (np + nq) * 3 / 4.0 AS tq FROM n),
 a AS (SELECT *, floor(tp) + CASE WHEN floor(tp) + floor(tq) < np + nq AND tp - floor(tp) > tq - floor(tq) THEN 1 ELSE 0 END AS ap FROM f), b AS (SELECT *, np + nq - ap AS aq FROM a),
 pr AS (SELECT doc_id, k, row_number() OVER (ORDER BY {HASHED.format(seed=8)}, doc_id, k, s) AS rn FROM p), qr AS (SELECT doc_id, k, row_number() OVER (ORDER BY {HASHED.format(seed=9)}, doc_id, k, s) AS rn FROM q)
 SELECT doc_id, k AS chunk_index FROM pr, b WHERE rn <= ap UNION ALL SELECT doc_id, k FROM qr, b WHERE rn <= aq""")
 def ratio_merge(spark, sf):
     d = docs(spark, sf)
-    return key(sampling.merge_by_ratio([(chunking.chunk(d.filter("lang = 'en'")), 1.0), (chunking.chunk(d.filter("lang <> 'en'")), 3.0)], 7))
+    return key(sampling.merge_by_ratio([(chunking.chunk(d.filter("lang = 'en'")), 1.0), (chunking.chunk(d.filter("not lang <=> 'en'")), 3.0)], 7))
 
 
 def dummies(spark, sf, name: str, k: int) -> DataFrame:
@@ -508,10 +522,10 @@ def selection_summary(spark, sf):
     return s.withColumns({c: r6(c) for c in ("average_selected_window_length", "average_selected_position_count", "selection_filtered_record_proportion")})
 
 
-@query("dataset_summary", f"""WITH {RECORD_SQL} SELECT count(*) AS record_count, (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT stage_name AS v FROM rec)) AS stages, (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT teacher_name AS v FROM rec WHERE teacher_name IS NOT NULL)) AS teachers,
+@query("record_summary", f"""WITH {RECORD_SQL} SELECT count(*) AS record_count, (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT stage_name AS v FROM rec)) AS stages, (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT teacher_name AS v FROM rec WHERE teacher_name IS NOT NULL)) AS teachers,
   round(avg(e - s), 6) AS avg_chunk_length, round(avg(entropy), 6) AS avg_entropy, '1.0' AS versions FROM rec""")
-def dataset_summary(spark, sf):
-    s = metrics.dataset_summary(recorded(spark, sf))
+def record_summary(spark, sf):
+    s = metrics.record_summary(recorded(spark, sf))
     return s.select("record_count", *(F.array_join(c, ",").alias(c) for c in ("stages", "teachers")), r6("avg_chunk_length").alias("avg_chunk_length"), r6("avg_entropy").alias("avg_entropy"), F.array_join("versions", ",").alias("versions"))
 
 
@@ -520,9 +534,9 @@ def _facts_sql(where: str) -> str:
 UNION ALL SELECT 'stage_name:' || stage_name, count(*) FROM rec WHERE {where} GROUP BY stage_name UNION ALL SELECT 'teacher_name:' || coalesce(teacher_name, 'missing'), count(*) FROM rec WHERE {where} GROUP BY coalesce(teacher_name, 'missing')"""
 
 
-@query("dataset_compare", f"""WITH {RECORD_SQL}, l AS ({_facts_sql('true')}), r AS ({_facts_sql("stage_name <> 'stage_c'")})
+@query("record_compare", f"""WITH {RECORD_SQL}, l AS ({_facts_sql('true')}), r AS ({_facts_sql("stage_name <> 'stage_c'")})
 SELECT coalesce(l.fact, r.fact) AS fact, round(l.v, 6) AS left_value, round(r.v, 6) AS right_value, CASE WHEN l.v IS NULL OR r.v IS NULL THEN l.v IS DISTINCT FROM r.v ELSE abs(l.v - r.v) > 1e-9 END AS differs FROM l FULL JOIN r ON l.fact = r.fact""")
-def dataset_compare(spark, sf):
+def record_compare(spark, sf):
     r = recorded(spark, sf)
     return metrics.compare(r, r.filter("stage_name <> 'stage_c'")).withColumns({"left_value": r6("left_value"), "right_value": r6("right_value")})
 
@@ -588,13 +602,36 @@ def jsonl_roundtrip(spark, sf):
 
     from ..sources import sinks
 
-    folder = f"{_shared(spark)}/jsonl-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/jsonl-{uuid.uuid4().hex}"
     rows = recorded(spark, sf).filter("teacher_name is not null").withColumn("split", F.lit("train"))
     sinks.write_records(rows, folder, "train", size=500)
     back = readers.records(spark, folder)
     return back.select(identity().alias("identity"), F.octet_length("raw_bytes").cast("long").alias("n_bytes"), F.size(F.flatten("top_k_ids")).cast("long").alias("n_ids"), F.round("entropy", 9).alias("entropy")).withColumn("n_ids", F.when(F.col("n_ids") >= 0, F.col("n_ids")))
 
 
+@query("build_and_resume", f"""WITH {RANKED}, {chunk_sql(4096, 256)}
+SELECT c.doc_id, k AS chunk_index, e - s AS n_bytes, stage_name, CASE WHEN rn <= round_even(total_docs * 0.1, 0) THEN 'eval' ELSE 'train' END AS split
+FROM c, (VALUES ('stage_a')) AS stages(stage_name), (SELECT doc_id AS id, rn, count(*) OVER () AS total_docs FROM r WHERE n > 0) WHERE c.doc_id = id""")
+def build_and_resume(spark, sf):
+    """A build of stage A, and the same again, resumed: every record is written once."""
+    import uuid
+
+    from . import build, config
+
+    folder = f"{shared_dir(spark)}/build-{uuid.uuid4().hex}"
+
+    def run():
+        teacher = {"teacher_name": "dummy", "top_k": 2}
+        sections = {"data": {"input_path": sf, "eval_fraction": 0.1, "seed": 42}, "input": {}, "output": {"output_dir": folder, "resume": True, "max_records_per_shard": 500, "stop_after_stage": "stage_a"}}
+        return build.run(spark, config.pipeline(sections | {"stage_a": teacher, "stage_b": teacher, "stage_c": teacher}), docs(spark, sf))
+
+    run()
+    if run()["output_records"]:
+        raise AssertionError("a resumed run wrote records again")
+    back = readers.records(spark, folder)
+    return back.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.octet_length("raw_bytes").cast("long").alias("n_bytes"), "stage_name", "split")
+
+
 @query("text_preview", """SELECT doc_id, CASE WHEN length(p) > 80 THEN left(p, 80) || '...' ELSE p END AS preview FROM (SELECT CAST(doc_id AS VARCHAR) AS doc_id, replace(text, chr(10), '\\n') AS p FROM documents)""")
 def text_preview(spark, sf):
     return docs(spark, sf).select("doc_id", text.preview(F.col("text"), 80).alias("preview"))
@@ -669,19 +706,8 @@ def stream_append(spark, sf):
 
     from ..streaming.append import stream_events
 
-    folder = f"{_shared(spark)}/stream-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = spark.read.parquet(f"{sf}/events.parquet").schema.simpleString()[7:-1].replace(":", " ")
     for _ in range(2):  # the second run, from a new checkpoint, sends every row again
         stream_events(spark, f"{sf}/events.parque[t]", schema, f"{folder}/table", f"{folder}/checkpoint-{uuid.uuid4().hex}").awaitTermination()
     return spark.read.parquet(f"{folder}/table").select("event_id", "event_type", r6("value").alias("value"))
-
-
-def _shared(spark) -> str:
-    import tempfile
-
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="loomwright-")
-        sc.setCheckpointDir(folder)
-    return f"{folder}/{sc.applicationId}"

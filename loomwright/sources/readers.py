@@ -15,7 +15,7 @@ from . import files
 
 SCHEMA_VERSION = "1.0"
 PACKED = T.StructType([T.StructField("encoding", T.StringType()), T.StructField("dtype", T.StringType()), T.StructField("shape", T.ArrayType(T.IntegerType())), T.StructField("data_b64", T.StringType())])
-#: The fields of a distilled record on the wire, with their types, in order.
+#: The fields of a teacher record on the wire, with their types, in order.
 WIRE = schema(
     "schema_version string, doc_id string, chunk_index int, byte_start long, byte_end long, raw_bytes_b64 string, split string, teacher_name string, stage_name string, mode string, "
     "target_doc_id string, target_chunk_index int, target_byte_start long, target_byte_end long, teacher_window_byte_start long, teacher_window_byte_end long, "
@@ -49,7 +49,7 @@ def documents(table: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def upstream(spark: SparkSession, path: str, kind: str = "parquet", ddl: str | None = None) -> DataFrame:
-    """Rows of an upstream dataset."""
+    """Rows of an upstream table."""
     reader = spark.read.schema(ddl) if ddl else spark.read
     return reader.format(kind).load(path)
 

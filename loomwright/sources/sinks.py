@@ -152,11 +152,7 @@ def write_cache(docs: DataFrame, root: str, source: str, manifest: dict) -> None
     """Cached documents of a source, replaced whole: root/documents/source_name=/split=, and its manifest."""
     spark = docs.sparkSession
     out = docs.withColumn("source_name", F.lit(source))
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.write.mode("overwrite").partitionBy("source_name", "split").parquet(f"{root}/documents")
-    finally:
-        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_name", "split").parquet(f"{root}/documents")
     files.write_json(spark, f"{root}/manifests/{source}.json", manifest | {"created_at": now()})
 
 
@@ -166,7 +162,7 @@ def write_failures(failed: DataFrame, root: str) -> None:
 
 
 def merge_shards(spark: SparkSession, inputs: list[str], folder: str, size: int = 0) -> dict[str, list[str]]:
-    """Shards <prefix>-ddddd.jsonl of several datasets into one, lines as they are, one group for each prefix."""
+    """Shards <prefix>-ddddd.jsonl of several folders into one, lines as they are, one group for each prefix."""
     files.delete(spark, folder)
     found = [lines(spark, p).withColumn("_input", F.lit(i)) for i, p in enumerate(inputs)]
     rows = found[0]

@@ -1,4 +1,4 @@
-"""A file stream of documents into a dataset: each record once, whatever is sent again."""
+"""A file stream of documents into a table: each record once, whatever is sent again."""
 
 from __future__ import annotations
 

@@ -132,7 +132,7 @@ def test_capabilities_are_required():
 def test_caches_and_mixtures(spark, tmp_path):
     for name in ("one", "two"):
         spark.range(40).select("id", F.concat(F.lit(name), "id").alias("text")).write.parquet(f"{tmp_path}/{name}/train")
-    source = lambda name, **more: {"source_name": name, "dataset": f"{tmp_path}/{name}", "text_field": "text", "order_field": "id", "train_split": "train", "eval_split": "train", "group_size": 4} | more
+    source = lambda name, **more: {"source_name": name, "location": f"{tmp_path}/{name}", "text_field": "text", "order_field": "id", "train_split": "train", "eval_split": "train", "group_size": 4} | more
     values = {
         "source_extraction": {"cache_dir": f"{tmp_path}/cache", "datasets": [source("one"), source("two")]},
         "mixture_build": {"target_documents": 6, "depletion_policy": "rebalance", "groups": [{"group_name": "a", "percentage": 50, "dataset_names": ["one"]}, {"group_name": "b", "percentage": 50, "dataset_names": ["two"]}]},

@@ -1,4 +1,5 @@
 import pytest
+from loomwright.functions import lineage
 from loomwright.operators import chunking, corpus, metrics, records, sampling, splits
 from pyspark.sql import functions as F
 
@@ -185,3 +186,32 @@ def test_comparison_of_datasets(spark):
     assert metrics.compare(r, r).filter("differs").count() == 0
     facts = {x["fact"] for x in metrics.compare(r, r.limit(1)).filter("differs").collect()}
     assert {"records", "avg_chunk_length", "stage_name:s2", "teacher_name:missing"} <= facts
+
+
+def test_ordinals_are_written_and_stay(spark):
+    rows = spark.range(5_000).select(F.md5(F.col("id").cast("string")).alias("k"), "id")
+    got = records.numbered(rows, ["k", "id"])
+    want = sorted((r["k"], r["id"]) for r in rows.collect())
+    for df in (got, got.repartition(7), got.filter("ordinal >= 0")):  # each reads the written places again
+        assert [(r["k"], r["id"]) for r in df.orderBy("ordinal").collect()] == want
+    assert [r["ordinal"] for r in got.orderBy("ordinal").collect()] == list(range(5_000))
+    assert records.numbered(rows.limit(0), ["k"]).count() == 0
+
+
+def test_draws_go_on_to_the_digits_that_matter(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "SMALL", 2)
+    monkeypatch.setattr(sampling, "DIGITS", 1)
+    rows = spark.range(3_000).select("id", (F.col("id") % 3).alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    got = sampling.lowest_within(rows, ["g"], {(0,): 10, (1,): 999, (2,): 5_000}, F.col("h"), ["id"])
+    all_ = [(r["g"], r["h"], r["id"]) for r in rows.collect()]
+    want = [x for g, n in ((0, 10), (1, 999), (2, 5_000)) for x in sorted(a for a in all_ if a[0] == g)[:n]]
+    assert sorted((r["g"], r["h"], r["id"]) for r in got.collect()) == sorted(want)
+    assert sampling.lowest_within(rows, ["g"], {}, F.col("h"), ["id"]).count() == 0
+
+
+def test_shared_folder_is_never_a_local_one_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    far = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://x", getCheckpointDir=lambda: None, applicationId="a"), conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(RuntimeError):
+        lineage.shared_dir(far)
