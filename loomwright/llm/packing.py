@@ -87,7 +87,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Run]:
 
 @cache
 def _encoder(path: str):
-    """Texts to arrays of ids. Plain texts go to a faster encoder of the same vocabulary, whose ids are the same."""
+    """Texts to arrays of ids, those of tokenizers. Texts of plain characters go to a faster encoder of the same vocabulary, whose
+    ids are the same (README has the figures, a test compares random texts); where its file is missing, none do."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 

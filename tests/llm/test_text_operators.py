@@ -172,6 +172,17 @@ def test_calls_are_balanced_by_bytes():
 # packing
 
 
+def test_ids_are_those_of_the_library_whatever_the_encoder():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, encode = Tokenizer.from_file(path), packing._encoder(path)
+    rng = np.random.default_rng(12)
+    plain = [chr(c) for c in [*range(0x20, 0x7F), 9, 10, 13, *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x180)]] + list("€‘’“”–—…¿¡«»") + [" "] * 60 + ["'s", "'ll", "the", "ing", "\r\n", "   ", "12"]
+    odd = ["\x0b", "\x85", "\xa0", "\u2028", "日本", "🎉", "e\u0301", "²", "\x00", "<|endoftext|>", "Ǆ", "א"]
+    texts = ["".join(rng.choice(plain, rng.integers(0, 120))) for _ in range(1_500)] + ["".join(rng.choice(plain + odd * 8, rng.integers(0, 120))) for _ in range(500)]
+    for t, ids in zip(texts, encode(texts), strict=True):
+        assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_plan_is_best_fit_over_counts():
     rng = np.random.default_rng(1)
     for _ in range(30):
