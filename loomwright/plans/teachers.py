@@ -60,6 +60,10 @@ class Teacher:
     def topk(self, data: list[bytes], k: int) -> list[Output]:
         raise NotImplementedError
 
+    def arrays(self, data: list[bytes], k: int) -> list[pa.Array] | None:
+        """The fields of Output as Arrow arrays, for teachers that can make them without a Python object for each number."""
+        return None
+
     def structured(self, prompts: list[str], options: list[dict[str, Any]]) -> list[str]:
         raise NotImplementedError
 
@@ -177,6 +181,24 @@ class ByteBigram(Teacher):
             out.append(Output([rows[b] for b in own], [lps[b] for b in own], float(e.mean()) if len(x) else 0.0, e.tolist(), self.gap[x].tolist(), own, (self.found[x] > 0).tolist(), tokens=len(d)))
         return out
 
+    def arrays(self, data, k=32):
+        parts = [np.frombuffer(d, np.uint8)[:-1] for d in data]
+        x = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+        ends = np.cumsum([0, *map(len, parts)])
+        width = np.minimum(self.found, k)[x]
+        inside = np.arange(k) < width[:, None]
+        order = self.order[:, :k]
+        rows = pa.array(np.append(0, np.cumsum(width)), pa.int32())
+        whole = pa.array(ends, pa.int32())
+        listed = lambda values: pa.ListArray.from_arrays(whole, pa.array(values))
+        nested = lambda values: pa.ListArray.from_arrays(whole, pa.ListArray.from_arrays(rows, pa.array(values)))
+        e = self.entropy[x]
+        means = [float(e[a:b].mean()) if b > a else 0.0 for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        return [
+            nested(order[x][inside]), nested(np.take_along_axis(self.logp, order, 1)[x][inside]), pa.array(means, pa.float64()), listed(e), listed(self.gap[x]), listed(x.astype(np.int64)), listed(self.found[x] > 0),
+            pa.nulls(len(data), pa.list_(pa.float64())), pa.array([len(d) for d in data], pa.int64()),
+        ]
+
     def structured(self, prompts, options):
         out = []
         for p, o in zip(prompts, options, strict=True):

@@ -177,3 +177,18 @@ def test_every_query_runs(spark, sf, name):
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert sum(r["chunks"] for r in rows) == 254
+
+
+def test_arrays_of_the_byte_teacher_are_its_outputs():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    teacher = teachers.ByteBigram(np.where(rng.random((256, 256)) < 0.03, rng.integers(1, 50, (256, 256)), 0).astype(np.int64).tobytes())
+    teacher.open()
+    data = [b"", b"a", b"some text", bytes(range(256)), rng.integers(0, 256, 500, dtype=np.uint8).tobytes()]
+    for k in (1, 4, 32):
+        got = [c.to_pylist() for c in teacher.arrays(data, k)]
+        for i, o in enumerate(teacher.topk(data, k)):
+            want = [o.ids, o.logprobs, o.entropy, o.per_token_entropy, o.per_token_top1_gap, o.per_token_token_ids, o.per_token_valid_mask, None, o.tokens]
+            assert [c[i] for c in got] == want
+    assert [len(c) for c in teacher.arrays([], 3)] == [0] * 9
