@@ -6,7 +6,6 @@ their neighbours and no shuffle, whatever the stride.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,11 +79,12 @@ def reassemble(chunks: DataFrame) -> DataFrame:
 
 def text_chunks(docs: DataFrame, size: int, overlap: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The older form: chunks as text, the bytes of cut characters left out."""
-    @F.pandas_udf("string")
-    def cut(data: pd.Series) -> pd.Series:
-        return data.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    return chunk(docs, size, overlap, id_col, text_col).select("doc_id", "chunk_index", cut("raw_bytes").alias("text"))
+    raw = F.col("raw_bytes")
+    # a cut character leaves up to three of its bytes at either end
+    before = F.length(F.regexp_extract(F.hex(F.substring(raw, 1, 3)), "^((?:[89AB].)*)", 1)) / 2
+    after = F.length(F.regexp_extract(F.hex(F.substring(raw, -3, 3)), "^(?:..)*?([CD].|E.(?:[89AB].)?|F.(?:[89AB].){0,2})$", 1)) / 2
+    whole = F.substring(raw, (before + 1).cast("int"), (F.octet_length(raw) - before - after).cast("int"))
+    return chunk(docs, size, overlap, id_col, text_col).select("doc_id", "chunk_index", whole.cast("string").alias("text"))
 
 
 WINDOW_POLICIES = ("left_biased", "right_biased", "center_target")

@@ -55,6 +55,15 @@ def chunk_sql(size: int, overlap: int, name: str = "c", where: str = "documents"
 BYTES = "unhex(substr(x, 2 * s + 1, 2 * (e - s)))"
 
 
+def whole_sql(h: str, mark: str) -> str:
+    """Of hex digits cut out of UTF-8 text: characters cut at either end become mark (in hex), once for each stray byte or stump."""
+    head, tail = f"regexp_extract({h}, '^((?:[89AB].)*)', 1)", f"regexp_extract({h}, '^(?:..)*?((?:[CD].|E.(?:[89AB].)?|F.(?:[89AB].){{0,2}})?)$', 1)"
+    return f"unhex(repeat('{mark}', length({head}) // 2) || substr({h}, length({head}) + 1, length({h}) - length({head}) - length({tail})) || CASE WHEN {tail} <> '' THEN '{mark}' ELSE '' END)"
+
+
+REPLACED = "EFBFBD"  # U+FFFD in UTF-8
+
+
 @query("doc_ingest", """
 SELECT sha256(source || '/' || CAST(doc_id AS VARCHAR) || '.txt') AS doc_id, source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS source_path,
   CAST(octet_length(encode(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)))) AS BIGINT) AS n_bytes,
@@ -95,11 +104,18 @@ def long_context_windows(spark, sf):
     return w.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.col("window_byte_start").alias("window_start"), F.col("window_byte_end").alias("window_end"), F.col("target_start_in_window").alias("target_start"), F.col("target_end_in_window").alias("target_end"), F.md5("window_raw_bytes").alias("window_md5"))
 
 
+def cut_sql(most: int, where: str) -> str:
+    """CTEs of cut windows; where: the start of the cut window, from ts, te (target in the window) and m (its bytes)."""
+    return f"""{window_sql(512, 2048, 4)}, t AS (SELECT doc_id, k, x, a, b, s, e, s - a AS ts, e - a AS te, b - a AS m FROM v),
+u AS (SELECT *, CASE WHEN m <= {most} THEN 0 ELSE {where} END AS p FROM t), q AS (SELECT *, CASE WHEN m <= {most} THEN m ELSE p + {most} END AS r FROM u)"""
+
+
+CENTRED = "least(greatest(ts + (te - ts) // 2 - 500, 0), m - 1000)"  # of 1000 bytes
+CUT_HEX = "substr(x, 2 * (a + p) + 1, 2 * (r - p))"
+
+
 def truncate_sql(most: int, where: str) -> str:
-    """where: the start of the cut window, from ts, te (target in the window) and m (its bytes)."""
-    return f"""WITH {window_sql(512, 2048, 4)}, t AS (SELECT doc_id, k, x, a, s - a AS ts, e - a AS te, b - a AS m FROM v),
-u AS (SELECT *, CASE WHEN m <= {most} THEN 0 ELSE {where} END AS p FROM t), q AS (SELECT *, CASE WHEN m <= {most} THEN m ELSE p + {most} END AS r FROM u)
-SELECT doc_id, k AS chunk_index, r - p AS final_bytes, ts - p AS target_start, te - p AS target_end, m > {most} AS truncated, md5(unhex(substr(x, 2 * (a + p) + 1, 2 * (r - p)))) AS input_md5 FROM q"""
+    return f"""WITH {cut_sql(most, where)} SELECT doc_id, k AS chunk_index, r - p AS final_bytes, ts - p AS target_start, te - p AS target_end, m > {most} AS truncated, md5(unhex(substr(x, 2 * (a + p) + 1, 2 * (r - p)))) AS input_md5 FROM q"""
 
 
 def truncated(spark, sf, most: int, policy: str, target: str = "preserve_full") -> DataFrame:
@@ -433,6 +449,30 @@ for _name in prompts.names():
     query(f"prompt_{_name}", f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(p) AS prompt_md5, CAST(octet_length(encode(p)) AS BIGINT) AS n_bytes FROM (SELECT doc_id, {_sql} AS p FROM documents WHERE text <> '')")(_prompted)
 
 
+@query("stage_b_records", f"""WITH {cut_sql(1000, CENTRED)} SELECT doc_id, k AS chunk_index, s AS target_byte_start, e AS target_byte_end, a AS window_start, b AS window_end, ts - p AS target_start, te - p AS target_end,
+  r - p AS n_bytes, CAST(1 AS BIGINT) AS tokens, '0,1,2' AS ids, 0.3 AS entropy, md5({whole_sql(CUT_HEX, REPLACED)}) AS text_md5, 'stage_b|dummy|long_context' AS made_by FROM q""")
+def stage_b_records(spark, sf):
+    out = stages.stage_b(chunking.chunk(docs(spark, sf), 512, 0, context=2048, stride=4), teachers.Dummy(), 1000, 3).filter("error is null")
+    offset = lambda c: F.col(f"{c}_offset_within_window").alias(c)
+    return out.select(
+        "doc_id", F.col("target_chunk_index").cast("long").alias("chunk_index"), "target_byte_start", "target_byte_end", F.col("teacher_window_byte_start").alias("window_start"), F.col("teacher_window_byte_end").alias("window_end"),
+        offset("target_start"), offset("target_end"), F.col("teacher_input_byte_length").alias("n_bytes"), F.col("teacher_input_token_length").alias("tokens"), listed(F.col("top_k_ids")[0]).alias("ids"),
+        r6("entropy").alias("entropy"), F.md5("long_context_text").alias("text_md5"), F.concat_ws("|", "stage_name", "teacher_name", "mode").alias("made_by"),
+    )
+
+
+_asked = "'" + prompts.WORDING["summarize_chunk"].replace("{0}", "40").replace("'", "''").replace("{doc}", "' || doc_id || '").replace("{chunk}", "' || CAST(k AS VARCHAR) || '").replace("{text}", f"' || decode({whole_sql('h', REPLACED)}) || '") + "'"
+
+
+@query("stage_c_records", f"""WITH {chunk_sql(4096, 256)}, h AS (SELECT *, substr(x, 2 * s + 1, 2 * (e - s)) AS h FROM c)
+SELECT doc_id, k AS chunk_index, 'summarize_chunk' AS task_type, md5({_asked}) AS prompt_md5, 'dummy_completion_0' AS completion_text, 'deterministic=true,max_words=40,template_name=summarize_chunk' AS metadata, true AS whole FROM h""")
+def stage_c_records(spark, sf):
+    out = stages.stage_c(chunks(spark, sf), teachers.Dummy(), "summarize_chunk", {"max_words": 40}).filter("error is null")
+    o = F.col("structured_output")
+    metadata = F.array_join(F.array_sort(F.transform(F.map_entries(o["teacher_metadata"]), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
+    return out.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), o["task_type"].alias("task_type"), F.md5(o["prompt_text"]).alias("prompt_md5"), o["completion_text"].alias("completion_text"), metadata.alias("metadata"), stages.is_whole(out).alias("whole"))
+
+
 # Records: chunks with made-up but reproducible stages, teachers and values
 
 RECORD_SQL = f"""{chunk_sql(4096, 256)}, rec AS (SELECT doc_id, k, s, e, b, CASE b % 3 WHEN 0 THEN 'stage_a' WHEN 1 THEN 'stage_b' ELSE 'stage_c' END AS stage_name, CASE WHEN b % 11 = 0 THEN NULL WHEN b % 2 = 0 THEN 'dummy' ELSE 'byte_bigram' END AS teacher_name,
@@ -596,14 +636,14 @@ def codec_roundtrip(spark, sf):
 # Storage, previews, checks
 
 
-@query("jsonl_roundtrip", f"""WITH {RECORD_SQL}, y AS (SELECT *, entropy AS x FROM rec) SELECT {IDENTITY_SQL} AS identity, e - s AS n_bytes, CAST(width * 3 AS BIGINT) AS n_ids, CASE WHEN x IS NULL THEN NULL WHEN x = 0 THEN 0.0 ELSE round({HALF_SQL}, 9) END AS entropy FROM y WHERE teacher_name IS NOT NULL""")
+@query("jsonl_roundtrip", f"""WITH {RECORD_SQL}, y AS (SELECT * REPLACE (coalesce(teacher_name, 'none') AS teacher_name), entropy AS x FROM rec) SELECT {IDENTITY_SQL} AS identity, e - s AS n_bytes, CAST(width * 3 AS BIGINT) AS n_ids, CASE WHEN x IS NULL THEN NULL WHEN x = 0 THEN 0.0 ELSE round({HALF_SQL}, 9) END AS entropy FROM y""")
 def jsonl_roundtrip(spark, sf):
     import uuid
 
     from ..sources import sinks
 
     folder = f"{shared_dir(spark)}/jsonl-{uuid.uuid4().hex}"
-    rows = recorded(spark, sf).filter("teacher_name is not null").withColumn("split", F.lit("train"))
+    rows = recorded(spark, sf).withColumns({"split": F.lit("train"), "teacher_name": F.coalesce("teacher_name", F.lit("none"))})  # a line must name its teacher
     sinks.write_records(rows, folder, "train", size=500)
     back = readers.records(spark, folder)
     return back.select(identity().alias("identity"), F.octet_length("raw_bytes").cast("long").alias("n_bytes"), F.size(F.flatten("top_k_ids")).cast("long").alias("n_ids"), F.round("entropy", 9).alias("entropy")).withColumn("n_ids", F.when(F.col("n_ids") >= 0, F.col("n_ids")))
@@ -642,40 +682,52 @@ def field_presence(spark, sf):
     return metrics.presence(recorded(spark, sf), ("entropy", "top_k_ids", "selected_position_mask", "selection_policy"))
 
 
-@query("output_checks", f"""WITH {RECORD_SQL} SELECT doc_id, k AS chunk_index, CASE WHEN width IS NULL THEN CASE WHEN entropy IS NULL THEN 'entropy is not a finite number of 0 or more' END
-  WHEN width = 4 THEN 'an id is outside the vocabulary' END AS problem FROM (SELECT * FROM rec WHERE entropy IS NOT NULL)""")
+@query("output_checks", f"""WITH {RECORD_SQL} SELECT doc_id, k AS chunk_index, CASE WHEN entropy IS NULL THEN 'entropy is not a finite number of 0 or more'
+  WHEN width = 4 THEN 'an id is outside the vocabulary' END AS problem FROM rec""")
 def output_checks(spark, sf):
-    r = recorded(spark, sf).filter("entropy is not null")
+    r = recorded(spark, sf)
     found = signals.problem(F.col("top_k_ids"), F.col("top_k_logprobs"), F.col("entropy"), None, 4)
     return r.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), found.alias("problem"))
 
 
-@query("chunk_text_legacy")
+@query("chunk_text_legacy", f"""WITH {chunk_sql(512, 64)}, h AS (SELECT *, substr(x, 2 * s + 1, 2 * (e - s)) AS h FROM c) SELECT doc_id, k AS chunk_index, md5({whole_sql('h', '')}) AS text_md5 FROM h""")
 def chunk_text_legacy(spark, sf):
-    return chunking.text_chunks(docs(spark, sf), 512, 64).select("doc_id", "chunk_index", F.md5("text").alias("text_md5"))
+    return chunking.text_chunks(docs(spark, sf), 512, 64).select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.md5("text").alias("text_md5"))
 
 
-@query("context_text")
+@query("context_text", f"WITH {cut_sql(1000, CENTRED)} SELECT doc_id, k AS chunk_index, md5({whole_sql(CUT_HEX, REPLACED)}) AS text_md5 FROM q")
 def context_text(spark, sf):
     t = chunking.truncate(chunking.chunk(docs(spark, sf), 512, 0, context=2048, stride=4), 1000)
-    return t.select("doc_id", "chunk_index", F.md5(text.lossy(F.col("teacher_input_bytes"))).alias("text_md5"))
+    return t.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.md5(text.lossy(F.col("teacher_input_bytes"))).alias("text_md5"))
 
 
 # Responses, failures, streams
 
-BODIES = [
-    (1, '{"choices":[{"logprobs":{"prompt_token_ids":[11,22,33],"top_logprobs":[null,{"22":-0.2,"7":-0.5},{"33":-0.3,"9":-0.6}]}}],"n_tokens":3}'),
-    (2, '{"choices":[{"logprobs":{"top_logprobs":[{"the":-0.1}]}}],"tokens":[1,2]}'),
-    (3, "[5,6,7,8]"),
-    (4, '{"choices":[{"logprobs":{"top_logprobs":[{"1":-2.0,"2":-1.0,"3":-3.0}]}}],"count":9}'),
-]
+# A response for each vector, in four shapes by vec_id: two positions after a null and a number of tokens; a position without
+# numeric keys and a list of tokens; the list alone; one position and a count. Numbers come from the vector's components.
+
+COMPLETION_SQL = """WITH v AS (SELECT vec_id, vec_id % 4 AS kind, list_transform(embedding, lambda y: CAST(floor(abs(CAST(y AS DOUBLE)) * 1000) AS BIGINT)) AS m FROM embeddings),
+r AS (SELECT *, list_sort(list_transform(range(1, 9), lambda i: {'down': m[i], 'id': i})) AS one, list_sort(list_transform(range(9, 17), lambda i: {'down': m[i], 'id': i})) AS two FROM v)
+SELECT vec_id, CASE kind WHEN 0 THEN m[1] WHEN 3 THEN m[2] ELSE vec_id % 5 + 1 END AS tokens, CAST(CASE kind WHEN 0 THEN 2 WHEN 3 THEN 1 END AS BIGINT) AS n_rows,
+  CASE WHEN kind IN (0, 3) THEN one[1].id || ':' || -one[1].down || ',' || one[2].id || ':' || -one[2].down END || CASE WHEN kind = 0 THEN ';' || two[1].id || ':' || -two[1].down || ',' || two[2].id || ':' || -two[2].down ELSE '' END AS ids FROM r"""
 
 
-@query("completion_parse", """SELECT * FROM (VALUES (CAST(1 AS BIGINT), CAST(3 AS BIGINT), CAST(2 AS BIGINT), '22,7;33,9'), (2, 2, NULL, NULL), (3, 4, NULL, NULL), (4, 9, 1, '2,1')) AS t(id, tokens, n_rows, ids)""")
+@query("completion_parse", COMPLETION_SQL)
 def completion_parse(spark, sf):
-    b = spark.createDataFrame(BODIES, "id long, body string").withColumn("r", completions.top_rows(F.col("body"), 2))
-    ids = F.array_join(F.transform("r", lambda row: listed(F.transform(row, lambda p: p["id"]))), ";")
-    return b.select("id", completions.token_count(F.col("body")).cast("long").alias("tokens"), F.when(F.col("r").isNotNull(), F.size("r")).cast("long").alias("n_rows"), ids.alias("ids"))
+    m = F.transform("embedding", lambda y: F.floor(F.abs(y.cast("double")) * 1000).cast("long"))
+    v = _embedded(spark, sf).select("vec_id", (F.col("vec_id") % 4).alias("kind"), m.alias("m"))
+    position = lambda low: F.concat(F.lit("{"), F.array_join(F.transform(F.sequence(F.lit(low), F.lit(low + 7)), lambda i: F.concat(F.lit('"'), i, F.lit('":-'), F.col("m")[i - 1])), ","), F.lit("}"))
+    told = lambda tops, rest: F.concat(F.lit('{"choices":[{"logprobs":{"top_logprobs":['), tops, F.lit("]}}],"), rest, F.lit("}"))
+    tokens = F.concat(F.lit("["), F.array_join(F.sequence(F.lit(0).cast("long"), F.col("vec_id") % 5), ","), F.lit("]"))
+    body = (
+        F.when(F.col("kind") == 0, told(F.concat(F.lit("null,"), position(1), F.lit(","), position(9)), F.concat(F.lit('"n_tokens":'), F.col("m")[0])))
+        .when(F.col("kind") == 1, told(F.concat(position(1), F.lit(',{"the":-0.1}')), F.concat(F.lit('"tokens":'), tokens)))
+        .when(F.col("kind") == 2, tokens)
+        .otherwise(told(position(1), F.concat(F.lit('"count":'), F.col("m")[1])))
+    )
+    b = v.select("vec_id", body.alias("body")).withColumn("r", completions.top_rows(F.col("body"), 2))
+    ids = F.array_join(F.transform("r", lambda row: F.array_join(F.transform(row, lambda p: F.concat_ws(":", p["id"].cast("string"), p["logprob"].cast("long").cast("string"))), ",")), ";")
+    return b.select("vec_id", completions.token_count(F.col("body")).cast("long").alias("tokens"), F.when(F.col("r").isNotNull(), F.size("r")).cast("long").alias("n_rows"), ids.alias("ids"))
 
 
 @query("candidate_signals", """WITH v AS (SELECT vec_id, list_transform(list_sort(list_transform(embedding, lambda y: -abs(CAST(y AS DOUBLE))), 'DESC')[1:8], lambda y: y) AS l FROM embeddings),

@@ -1,5 +1,5 @@
 import pytest
-from loomwright.functions import lineage
+from loomwright.functions import completions, lineage
 from loomwright.operators import chunking, corpus, metrics, records, sampling, splits
 from pyspark.sql import functions as F
 
@@ -215,3 +215,27 @@ def test_shared_folder_is_never_a_local_one_on_a_cluster(spark):
     far = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://x", getCheckpointDir=lambda: None, applicationId="a"), conf=SimpleNamespace(get=lambda *_: None))
     with pytest.raises(RuntimeError):
         lineage.shared_dir(far)
+
+
+def test_text_chunks_leave_out_cut_characters(spark):
+    texts = ["", "a", "é", "€€€", "a😀b€cé" * 7, "� x �", "日本語テキスト"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for size, overlap in ((1, 0), (2, 1), (3, 0), (5, 2), (64, 8)):
+        got = {(r[0], r[1]): r[2] for r in chunking.text_chunks(docs, size, overlap).collect()}
+        for i, t in enumerate(texts):
+            data = t.encode()
+            starts = range(0, len(data), size - overlap)
+            assert [got[i, k] for k in range(len(starts))] == [data[s : s + size].decode("utf-8", "ignore") for s in starts]
+
+
+def test_completion_bodies(spark):
+    bodies = [
+        (1, '{"choices":[{"logprobs":{"prompt_token_ids":[11,22,33],"top_logprobs":[null,{"22":-0.2,"7":-0.5},{"33":-0.3,"9":-0.6}]}}],"n_tokens":3}'),
+        (2, '{"choices":[{"logprobs":{"top_logprobs":[{"the":-0.1}]}}],"tokens":[1,2]}'),
+        (3, "[5,6,7,8]"),
+        (4, '{"choices":[{"logprobs":{"top_logprobs":[{"1":-2.0,"2":-1.0,"3":-3.0}]}}],"count":9}'),
+    ]
+    body = F.col("body")
+    rows = spark.createDataFrame(bodies, "id int, body string").select("id", completions.token_count(body), completions.prompt_tokens(body), completions.top_rows(body, 2)).orderBy("id").collect()
+    assert [(r[1], r[2]) for r in rows] == [(3, [11, 22, 33]), (2, None), (4, None), (9, None)]
+    assert [r[3] and [[p["id"] for p in row] for row in r[3]] for r in rows] == [[[22, 7], [33, 9]], None, None, [[2, 1]]]
