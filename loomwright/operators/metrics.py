@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import signals
+from ..functions import positions, signals
 
 TOLERANCE = 1e-9
 
@@ -112,22 +112,56 @@ def policy_preview(masks: DataFrame, windows: str = "windows", mask: str = "mask
     )
 
 
-def parity(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Whether two teachers' records have one shape: a row for each check with both sides and PASS, WARN or FAIL."""
+#: Facts that only inform: models may differ in them.
+INFORMATIVE = ("token_length_count", "token_length_min", "token_length_max", "token_length_avg", "entropy_count", "entropy_min", "entropy_max", "entropy_avg", "width_avg")
+
+
+def parity_facts(records: DataFrame, selection: str = "none", entropy: float | None = None, gap: float | None = None, combine: str = "union", minimum: int | None = None) -> DataFrame:
+    """One row about the shape of a teacher's records, all doubles. Per-token fields that are plausible have an entry for each
+    row of candidates, where there are any. selectable: records for which the policy yields a mask or a window."""
+    rows = F.when(F.col("top_k_ids").isNotNull(), F.size("top_k_ids")).otherwise(0)
+    tokens, e = F.col("teacher_input_token_length"), F.col("entropy")
+    facts = {"records": F.count(F.lit(1)), "with_topk": F.count_if(F.col("top_k_ids").isNotNull() & F.col("top_k_logprobs").isNotNull())}
+    for name, c in (("token_length", tokens), ("entropy", e)):
+        facts |= {f"{name}_count": F.count(c), f"{name}_min": F.min(c), f"{name}_max": F.max(c), f"{name}_avg": F.avg(c)}
+    facts["width_avg"] = F.avg(_width())
+    for name in ("per_token_entropy", "per_token_top1_gap"):
+        there = F.col(name).isNotNull()
+        facts |= {f"{name}_present": F.count_if(there), f"{name}_plausible": F.count_if(there & ((rows == 0) | (F.size(name) == rows)))}
+    facts["invalid"] = F.count_if(signals.problem(F.col("top_k_ids"), F.col("top_k_logprobs"), e).isNotNull())
+    if selection != "none":
+        needed = [F.col(c) for c, threshold in (("per_token_entropy", entropy), ("per_token_top1_gap", gap)) if threshold is not None]
+        there = reduce(lambda x, y: x & y, (c.isNotNull() for c in needed), F.lit(True))
+        mask = F.when(there, positions.select(F.col("per_token_entropy"), F.col("per_token_top1_gap"), entropy, gap, combine, minimum))
+        facts["selectable"] = F.count_if(mask.isNotNull() if selection == "position_mask" else F.exists(mask, lambda on: on))
+    return records.agg(*(c.cast("double").alias(name) for name, c in facts.items()))
+
+
+def parity(left: DataFrame, right: DataFrame, selection: str = "none", **policy) -> DataFrame:
+    """Whether two teachers' records have one shape: a row for each check with both sides and PASS, WARN, FAIL or INFO.
+
+    FAIL: numbers of records differ, a per-token field is not plausible, an output is not valid. WARN: candidates are missing on
+    either side, a per-token field is present in unequal numbers, a policy selects nothing on either side.
+    """
 
     def side(records: DataFrame, name: str) -> DataFrame:
-        rows = F.size("top_k_ids")
-        facts = records.agg(
-            F.count(F.lit(1)).cast("double").alias("records"), F.count_if(F.col("top_k_ids").isNotNull()).cast("double").alias("with_topk"), F.avg(_width()).alias("avg_width"), F.avg(rows).alias("avg_rows"),
-            F.avg("entropy").alias("avg_entropy"), F.count_if(signals.problem(F.col("top_k_ids"), F.col("top_k_logprobs"), F.col("entropy")).isNotNull()).cast("double").alias("invalid"),
-        )
-        return facts.select(F.explode(F.array(*(F.struct(F.lit(c).alias("check"), F.col(c).alias(name)) for c in facts.columns))).alias("f")).select("f.*")
-
-    both = side(left, "left_value").join(F.broadcast(side(right, "right_value")), "check")
-    same = F.coalesce(F.abs(F.col("left_value") - F.col("right_value")) <= TOLERANCE, F.col("left_value").eqNullSafe(F.col("right_value")))
-    must = F.col("check").isin("records", "with_topk", "avg_width")
-    bad = (F.col("check") == "invalid") & ((F.col("left_value") > 0) | (F.col("right_value") > 0))
-    return both.withColumn("verdict", F.when(bad | (must & ~same), "FAIL").when(~same, "WARN").otherwise("PASS"))
+        facts = parity_facts(records, selection, **policy)
+        own = {f: F.col(f.replace("_plausible", "_present")) if f.endswith("_plausible") else F.col("records") for f in facts.columns}
+        return facts.select(F.inline(F.array(*(F.struct(F.lit(f).alias("check"), F.col(f).alias(f"{name}_value"), own[f].alias(f"_{name}_of")) for f in facts.columns))))
+
+    both = side(left, "left").join(F.broadcast(side(right, "right")), "check")  # a row for each fact
+    check, a, b = F.col("check"), F.col("left_value"), F.col("right_value")
+    whole = (a == F.col("_left_of")) & (b == F.col("_right_of"))
+    verdict = (
+        F.when(check.isin(*INFORMATIVE), "INFO")
+        .when(check == "records", F.when(a == b, "PASS").otherwise("FAIL"))
+        .when(check == "with_topk", F.when(whole, "PASS").otherwise("WARN"))
+        .when(check == "invalid", F.when((a == 0) & (b == 0), "PASS").otherwise("FAIL"))
+        .when(check == "selectable", F.when((a > 0) & (b > 0), "PASS").otherwise("WARN"))
+        .when(F.endswith(check, F.lit("_plausible")), F.when(whole, "PASS").otherwise("FAIL"))
+        .otherwise(F.when(a == b, "PASS").otherwise("WARN"))
+    )
+    return both.select("check", "left_value", "right_value", verdict.alias("verdict"))
 
 
 def presence(records: DataFrame, fields: tuple[str, ...]) -> DataFrame:

@@ -137,7 +137,7 @@ def cmd_parity(a) -> None:
     spark = session()
     found = rows(metrics.parity(readers.records(spark, a.left), readers.records(spark, a.right)).orderBy("check"))
     show(found)
-    print(max((r["verdict"] for r in found), key=["PASS", "WARN", "FAIL"].index, default="PASS"))
+    print(max((r["verdict"] for r in found), key=["INFO", "PASS", "WARN", "FAIL"].index, default="PASS"))
 
 
 def cmd_bench(a) -> None:

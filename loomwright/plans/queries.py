@@ -592,13 +592,42 @@ def token_cost(spark, sf):
     return t.withColumns({c: r6(c) for c in ("avg_bytes", "avg_tokens", "bytes_per_token", "near_limit_share")})
 
 
-@query("parity_summary", f"""WITH {RECORD_SQL}, x AS (SELECT count(*) AS n, count(width) AS t, avg(width) AS w, avg(CASE WHEN width IS NOT NULL THEN 3 END) AS r, avg(entropy) AS h, count(*) FILTER (entropy IS NULL) AS bad FROM rec),
-y AS (SELECT count(*) AS n, count(width) AS t, avg(width) AS w, avg(CASE WHEN width IS NOT NULL THEN 3 END) AS r, avg(entropy * 2) AS h, count(*) FILTER (entropy IS NULL) AS bad FROM rec)
-SELECT c AS "check", round(a, 6) AS left_value, round(b, 6) AS right_value, v AS verdict FROM (SELECT 'records' AS c, CAST(x.n AS DOUBLE) AS a, CAST(y.n AS DOUBLE) AS b, 'PASS' AS v FROM x, y UNION ALL SELECT 'with_topk', x.t, y.t, 'PASS' FROM x, y UNION ALL SELECT 'avg_width', x.w, y.w, 'PASS' FROM x, y
-  UNION ALL SELECT 'avg_rows', x.r, y.r, 'PASS' FROM x, y UNION ALL SELECT 'avg_entropy', x.h, y.h, 'WARN' FROM x, y UNION ALL SELECT 'invalid', x.bad, y.bad, CASE WHEN x.bad > 0 THEN 'FAIL' ELSE 'PASS' END FROM x, y)""")
+PARITY_LEFT = "SELECT *, width IS NOT NULL AS topk, CASE WHEN b % 3 <> 0 THEN b % 100 END AS tl, CASE WHEN b % 6 <> 0 THEN CASE WHEN b % 13 = 0 THEN 2 ELSE 3 END END AS ne, CASE WHEN b % 4 <> 0 THEN 3 END AS ng, b % 1000 >= 900 AS low FROM rec"
+
+
+def _parity_sql(records: str) -> str:
+    plausible = lambda n: f"count(*) FILTER ({n} IS NOT NULL AND (NOT topk OR {n} = 3))"
+    facts = {
+        "records": "count(*)", "with_topk": "count(*) FILTER (topk)", "token_length_count": "count(tl)", "token_length_min": "min(tl)", "token_length_max": "max(tl)", "token_length_avg": "avg(tl)",
+        "entropy_count": "count(entropy)", "entropy_min": "min(entropy)", "entropy_max": "max(entropy)", "entropy_avg": "avg(entropy)", "width_avg": "avg(width)",
+        "per_token_entropy_present": "count(ne)", "per_token_entropy_plausible": plausible("ne"), "per_token_top1_gap_present": "count(ng)", "per_token_top1_gap_plausible": plausible("ng"),
+        "invalid": "count(*) FILTER (entropy IS NULL)", "selectable": "count(*) FILTER (ne IS NOT NULL AND NOT low)",
+    }
+    return "SELECT unnest([" + ", ".join(f"{{'check': '{f}', 'v': CAST({c} AS DOUBLE)}}" for f, c in facts.items()) + f"], recursive := true) FROM ({records})"
+
+
+@query("token_lengths", f"WITH {chunk_sql(512, 64)}, t AS (SELECT doc_id, k, CAST(octet_length({whole_sql('substr(x, 2 * s + 1, 2 * (e - s))', REPLACED)}) AS BIGINT) AS n FROM c) SELECT doc_id, k AS chunk_index, n AS n_bytes, n AS n_tokens FROM t")
+def token_lengths(spark, sf):
+    """By the byte teacher, whose tokens are the bytes of what it reads."""
+    t = stages.token_lengths(chunking.chunk(docs(spark, sf), 512, 64), teachers.ByteBigram(), "raw_bytes")
+    return t.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.col("teacher_input_byte_length").alias("n_bytes"), F.col("teacher_input_token_length").alias("n_tokens"))
+
+
+@query("parity_summary", f"""WITH {RECORD_SQL}, x AS ({_parity_sql(PARITY_LEFT)}), y AS ({_parity_sql(f"SELECT * REPLACE (entropy * 2 AS entropy, CASE WHEN b % 12 <> 0 THEN ne END AS ne, CASE WHEN tl < 50 THEN tl END AS tl) FROM ({PARITY_LEFT})")}),
+z AS (SELECT x."check", x.v AS a, y.v AS b, (SELECT v FROM x WHERE "check" = 'per_token_entropy_present') AS pe, (SELECT v FROM y WHERE "check" = 'per_token_entropy_present') AS qe, (SELECT v FROM x WHERE "check" = 'per_token_top1_gap_present') AS pg,
+  (SELECT v FROM x WHERE "check" = 'records') AS n FROM x JOIN y ON x."check" = y."check")
+SELECT "check", round(a, 6) AS left_value, round(b, 6) AS right_value, CASE WHEN "check" LIKE 'token_length%' OR "check" LIKE 'entropy%' OR "check" = 'width_avg' THEN 'INFO' WHEN "check" = 'records' THEN 'PASS' WHEN "check" = 'with_topk' THEN CASE WHEN a = n AND b = n THEN 'PASS' ELSE 'WARN' END
+  WHEN "check" = 'invalid' THEN CASE WHEN a + b = 0 THEN 'PASS' ELSE 'FAIL' END WHEN "check" = 'selectable' THEN CASE WHEN a > 0 AND b > 0 THEN 'PASS' ELSE 'WARN' END WHEN "check" = 'per_token_entropy_plausible' THEN CASE WHEN a = pe AND b = qe THEN 'PASS' ELSE 'FAIL' END
+  WHEN "check" = 'per_token_top1_gap_plausible' THEN CASE WHEN a = pg AND b = pg THEN 'PASS' ELSE 'FAIL' END ELSE CASE WHEN a = b THEN 'PASS' ELSE 'WARN' END END AS verdict FROM z""")
 def parity_summary(spark, sf):
-    r = recorded(spark, sf)
-    return metrics.parity(r, r.withColumn("entropy", F.col("entropy") * 2)).withColumns({"left_value": r6("left_value"), "right_value": r6("right_value")})
+    b = F.col("b")
+    level = F.when(b % 1000 >= 900, 0.1).otherwise(0.5)
+    left = recorded(spark, sf).withColumns({
+        "teacher_input_token_length": F.when(b % 3 != 0, b % 100), "per_token_entropy": F.when(b % 6 != 0, F.array_repeat(level, F.when(b % 13 == 0, 2).otherwise(3))),
+        "per_token_top1_gap": F.when(b % 4 != 0, F.array_repeat(level, 3)),
+    })
+    right = left.withColumns({"entropy": F.col("entropy") * 2, "per_token_entropy": F.when(b % 12 != 0, F.col("per_token_entropy")), "teacher_input_token_length": F.when(F.col("teacher_input_token_length") < 50, F.col("teacher_input_token_length"))})
+    return metrics.parity(left, right, "selected_windows", entropy=0.4).withColumns({"left_value": r6("left_value"), "right_value": r6("right_value")})
 
 
 # Vectors

@@ -74,6 +74,27 @@ def infer(rows: DataFrame, teacher: Teacher, data: str, k: int) -> DataFrame:
     return rows.mapInArrow(run, made)
 
 
+def token_lengths(rows: DataFrame, teacher: Teacher, data: str) -> DataFrame:
+    """Adds teacher_input_byte_length and teacher_input_token_length of rows[data] as the teacher would read it, without inference."""
+    kept = [c for c in rows.columns if c not in ("teacher_input_byte_length", "teacher_input_token_length")]
+    rows = rows.select(*kept)
+    made = T.StructType([*(rows.schema[c] for c in kept)]).add("teacher_input_byte_length", "long").add("teacher_input_token_length", "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        teacher.open()
+        try:
+            for whole in batches:
+                for at in range(0, whole.num_rows, BATCH):
+                    b = whole.slice(at, BATCH)
+                    texts = [(x or b"").decode("utf-8", "replace") for x in b.column(kept.index(data)).to_pylist()]
+                    counts = [[len(t.encode()) for t in texts], teacher.token_lengths(texts)]
+                    yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, pa.int64()) for c in counts)], made.fieldNames())
+        finally:
+            teacher.close()
+
+    return rows.mapInArrow(run, made)
+
+
 def complete(rows: DataFrame, teacher: Teacher, prompt: str, options: dict[str, Any]) -> DataFrame:
     """Adds completion_text and error for rows[prompt]."""
     kept = [c for c in rows.columns if c not in ("completion_text", "error")]

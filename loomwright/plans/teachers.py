@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import json
 import math
+import time
+import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -17,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.completions import COUNTS, LISTS
+
 
 @dataclass(frozen=True)
 class Capabilities:
@@ -67,10 +71,18 @@ class Teacher:
     def structured(self, prompts: list[str], options: list[dict[str, Any]]) -> list[str]:
         raise NotImplementedError
 
+    def token_lengths(self, texts: list[str]) -> list[int]:
+        """Tokens of each text, as the teacher would read it; no inference."""
+        raise NotImplementedError(f"teacher {self.name} has no tokenizer")
+
     def check(self) -> str | None:
         """What stands against starting, None if nothing."""
         return None
 
+    def about(self) -> dict[str, Any]:
+        """What is known of the backend before a run, for the run's summary."""
+        return {"backend": self.backend}
+
 
 _registry: dict[str, tuple[Callable[..., Teacher], Capabilities, str]] = {}
 
@@ -104,6 +116,66 @@ def backend(name: str) -> str:
     return _registry[name][2]
 
 
+def accepts(name: str, setting: str) -> bool:
+    """Whether a teacher has a setting of that name."""
+    capabilities(name)
+    return setting in getattr(_registry[name][0], "__dataclass_fields__", {})
+
+
+class Runtime:
+    """What serves a model, apart from records: subclasses implement what their capabilities say."""
+
+    backend = "runtime"
+    capabilities = Capabilities()
+
+    def open(self) -> None:
+        pass
+
+    def close(self) -> None:
+        pass
+
+    def topk(self, data: list[bytes], k: int) -> list[Output]:
+        raise NotImplementedError
+
+    def structured(self, prompts: list[str], options: list[dict[str, Any]]) -> list[str]:
+        raise NotImplementedError
+
+    def token_lengths(self, texts: list[str]) -> list[int]:
+        raise NotImplementedError
+
+
+class Adapted(Teacher):
+    """A runtime as a teacher. What the runtime cannot do is refused before it is asked."""
+
+    def __init__(self, name: str, runtime: Runtime):
+        self.name, self.runtime, self.backend, self.capabilities = name, runtime, runtime.backend, runtime.capabilities
+
+    def _able(self, what: str) -> Runtime:
+        if not getattr(self.capabilities, what):
+            raise NotImplementedError(f"runtime {self.backend} does not support {what}")
+        return self.runtime
+
+    def open(self):
+        self.runtime.open()
+
+    def close(self):
+        self.runtime.close()
+
+    def topk(self, data, k):
+        return self._able("topk").topk(data, k)
+
+    def structured(self, prompts, options):
+        return self._able("structured").structured(prompts, options)
+
+    def token_lengths(self, texts):
+        return self._able("tokenizer").token_lengths(texts)
+
+
+def adapt(name: str, make: Callable[..., Runtime], can: Capabilities, backend: str = "runtime") -> None:
+    """Registers a runtime as a teacher."""
+    register(name, can, backend)(lambda **settings: Adapted(name, make(**settings)))
+
+
 def require(name: str, mode: str, signals: tuple[str, ...] = ()) -> None:
     """Fails before planning if a teacher cannot do what a stage asks."""
     can = capabilities(name)
@@ -199,6 +271,9 @@ class ByteBigram(Teacher):
             pa.nulls(len(data), pa.list_(pa.float64())), pa.array([len(d) for d in data], pa.int64()),
         ]
 
+    def token_lengths(self, texts):
+        return [len(t.encode("utf-8", "replace")) for t in texts]
+
     def structured(self, prompts, options):
         out = []
         for p, o in zip(prompts, options, strict=True):
@@ -275,88 +350,243 @@ def output_of(ids: list[list[int]], logprobs: list[list[float]], tokens: int | N
     return Output(ids, logprobs, sum(full) / len(full) if full else 0.0, each, [r[0] - r[1] if len(r) > 1 else 0.0 for r in logprobs], tokens=tokens, per_token_valid_mask=[bool(r) for r in logprobs])
 
 
+@register("tokenizer_file", Capabilities(topk=False, tokenizer=True))
+@dataclass
+class TokenizerFile(Teacher):
+    """Only a tokenizer: a vocabulary file that executors can read, for token costs without a model. Needs tokenizers there."""
+
+    path: str = ""
+    max_context: int | None = None
+    name = "tokenizer_file"
+
+    def open(self):
+        import tokenizers
+
+        self.tokenizer = tokenizers.Tokenizer.from_file(self.path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+
+    def token_lengths(self, texts):
+        counts = [len(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return counts if self.max_context is None else [min(n, self.max_context) for n in counts]
+
+
+#: Fixed values of completion servers: paths that tell about the server; paths and body keys that count tokens, in the order they
+#: are tried; and the names under which servers give a prompt's token ids and candidates, and facts about themselves.
+PROBES = ("/health", "/v1/models", "/props")
+TOKENIZE = ("/tokenize", "/v1/tokenize")
+TOKENIZE_KEYS = ("content", "text", "prompt")
+ID_FIELDS = ("prompt_token_ids", "token_ids", "tokens_ids")
+TOP_FIELDS = ("prompt_top_logprobs", "top_logprobs")
+ABOUT = {"version": ("version", "server_version", "llama_cpp_version"), "build": ("build", "build_info", "build_commit"), "context": ("n_ctx", "context_length", "max_context_length")}
+
+
+def _first(body: Any, names: tuple[str, ...]) -> Any:
+    return next((body[n] for n in names if body.get(n) is not None), None) if isinstance(body, dict) else None
+
+
+def count_of(body: Any) -> int | None:
+    """The number of tokens that an answer tells, see functions.completions."""
+    for n in COUNTS:
+        try:
+            return int(_first(body, (n,)))
+        except (TypeError, ValueError):
+            continue
+    found = body if isinstance(body, list) else next((body[n] for n in LISTS if isinstance(body, dict) and isinstance(body.get(n), list)), None)
+    return None if found is None else len(found)
+
+
 @register("llamacpp_server", Capabilities(structured=True, long_context=True, per_token_entropy=True, per_token_top1_gap=True, tokenizer=True), "llamacpp_server")
 @dataclass
 class CompletionServer(Teacher):
-    """A completion server reached by HTTP from every executor."""
+    """A completion server reached by HTTP from every executor. An answer of 5xx, or none, is asked for again, retries times."""
 
     base_url: str = "http://127.0.0.1:8080"
     timeout: float = 60.0
     max_tokens: int = 32
+    max_context: int = 2048
+    model: str | None = None
+    temperature: float = 0.0
+    retries: int = 2
+    pause: float = 0.5
     headers: dict[str, str] = field(default_factory=lambda: {"Content-Type": "application/json"})
     name = "llamacpp_server"
+    backend = "llamacpp_server"
 
-    def post(self, path: str, body: dict[str, Any]) -> Any:
-        request = urllib.request.Request(self.base_url.rstrip("/") + path, json.dumps(body).encode(), self.headers)
-        with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-            return json.loads(answer.read())
+    def ask(self, path: str, body: dict[str, Any] | None = None) -> Any:
+        """The answer's JSON, or its text where it is none; without a body by GET."""
+        request = urllib.request.Request(self.base_url.rstrip("/") + path, None if body is None else json.dumps(body).encode(), self.headers)
+        for left in range(self.retries, -1, -1):
+            try:
+                with urllib.request.urlopen(request, timeout=self.timeout) as answer:
+                    raw = answer.read()
+                break
+            except urllib.error.HTTPError as e:
+                if e.code < 500 or not left:
+                    raise
+            except OSError:
+                if not left:
+                    raise
+            time.sleep(self.pause * 2 ** (self.retries - left))
+        try:
+            return json.loads(raw)
+        except ValueError:
+            return raw.decode("utf-8", "replace")
+
+    def probes(self) -> tuple[dict[str, Any], dict[str, str]]:
+        """Of each probed path its answer, or why there is none."""
+        answers, failed = {}, {}
+        for path in PROBES:
+            try:
+                answers[path] = self.ask(path)
+            except (OSError, ValueError) as e:
+                failed[path] = str(e)
+        return answers, failed
+
+    def about(self):
+        answers, failed = self.probes()
+        told: dict[str, Any] = {"backend": self.backend, "base_url": self.base_url, "endpoints": list(answers), "unreachable": failed}
+        for fact, fields in ABOUT.items():
+            told[fact] = next((v for a in answers.values() if (v := _first(a, fields)) is not None), None)
+        models = answers.get("/v1/models")
+        told["model"] = (models.get("data", models) if isinstance(models, dict) else None) or answers.get("/props")
+        try:
+            self.token_lengths(["a"])
+            told["tokenizer"] = True
+        except NotImplementedError:
+            told["tokenizer"] = False
+        return told
 
     def check(self):
-        try:
-            with urllib.request.urlopen(self.base_url.rstrip("/") + "/health", timeout=self.timeout):
-                return None
-        except OSError as e:
-            return f"{self.base_url} does not answer: {e}"
+        if self.timeout <= 0 or self.max_context < 1 or not self.base_url:
+            return "base_url, timeout > 0 and max_context > 0 are needed"
+        answers, failed = self.probes()
+        return None if answers else f"{self.base_url} does not answer: {'; '.join(f'{p}: {e}' for p, e in failed.items())}"
+
+    def token_lengths(self, texts):
+        return [self._tokens(t) for t in texts]
+
+    def _tokens(self, text: str) -> int:
+        failed = []
+        for path in TOKENIZE:
+            for k in TOKENIZE_KEYS:
+                try:
+                    n = count_of(self.ask(path, {k: text}))
+                except (OSError, ValueError) as e:
+                    failed.append(f"{path}: {e}")
+                    continue
+                if n is not None:
+                    return max(0, min(n, self.max_context))
+                failed.append(f"{path}: no number of tokens in the answer to {k}")
+        raise NotImplementedError(f"{self.base_url} counts no tokens ({'; '.join(failed)})")
+
+    def _body(self, prompt: str, **more: Any) -> dict[str, Any]:
+        return {"prompt": prompt, "temperature": self.temperature} | ({"model": self.model} if self.model else {}) | more
 
     def topk(self, data, k=32):
         out = []
         for d in data:
-            body = self.post("/v1/completions", {"prompt": d.decode("utf-8", "replace"), "max_tokens": 0, "echo": True, "logprobs": k, "temperature": 0})
-            told = body["choices"][0]["logprobs"]
-            ids, lps = _rows_of(told["top_logprobs"], k)
-            out.append(output_of(ids, lps, len(told.get("prompt_token_ids") or told["top_logprobs"])))
+            answer = self.ask("/v1/completions", self._body(d.decode("utf-8", "replace"), max_tokens=0, echo=True, logprobs=k))
+            choices = _first(answer, ("choices",))
+            told = _first(choices[0], ("logprobs",)) if isinstance(choices, list) and choices else None
+            tokens, tops = _first(told, ID_FIELDS), _first(told, TOP_FIELDS)
+            if not isinstance(tokens, list) or not tokens or not isinstance(tops, list):
+                raise ValueError("the answer has no token ids or no candidates of the prompt")
+            ids, lps = _rows_of(tops, k)
+            if len(ids) >= len(tokens):
+                raise ValueError(f"the answer has candidates for {len(ids)} positions of {len(tokens)} tokens")
+            out.append(output_of(ids, lps, len(tokens)))
         return out
 
     def structured(self, prompts, options):
-        answers = [self.post("/v1/completions", {"prompt": p, "max_tokens": int(o.get("max_tokens", self.max_tokens)), "temperature": 0}) for p, o in zip(prompts, options, strict=True)]
+        answers = [self.ask("/v1/completions", self._body(p, max_tokens=int(o.get("max_tokens", self.max_tokens)))) for p, o in zip(prompts, options, strict=True)]
         return [a.get("content") or a["choices"][0]["text"] for a in answers]
 
 
+_loaded: dict[tuple, tuple[Any, Any]] = {}
+
+
 @register("hf_causal_lm", Capabilities(structured=True, long_context=True, hidden_summary=True, per_token_entropy=True, per_token_top1_gap=True, tokenizer=True), "hf")
 @dataclass
 class LocalModel(Teacher):
-    """A causal language model on the executor; needs torch and transformers there."""
+    """A causal language model on the executor; needs torch and transformers there. batch texts go through the model at once,
+    padded on the right with id 0 and masked; a worker loads a model once, whatever the number of its tasks."""
 
     model: str = "distilgpt2"
     max_context: int = 2048
     batch: int = 1
     dtype: str = "float16"
     device: str = "auto"
+    hidden: bool = False
+    pad_token_id: int | None = None
     name = "hf_causal_lm"
+    backend = "hf"
 
     def check(self):
         import importlib.util
 
+        if not self.model.strip() or self.max_context < 1 or self.batch < 1:
+            return "model, max_context > 0 and batch > 0 are needed"
         missing = [m for m in ("torch", "transformers") if importlib.util.find_spec(m) is None]
         return f"not installed: {', '.join(missing)}" if missing else None
 
+    def _tokenizer(self):
+        import transformers
+
+        key = (self.model, "tokenizer", self.pad_token_id)
+        if key not in _loaded:
+            made = transformers.AutoTokenizer.from_pretrained(self.model, padding_side="right")
+            if self.pad_token_id is not None:
+                made.pad_token_id = self.pad_token_id
+            elif made.pad_token_id is None:
+                made.pad_token_id = made.eos_token_id
+            _loaded[key] = (made, None)
+        return _loaded[key][0]
+
     def open(self):
         import torch
         import transformers
 
-        self.torch = torch
-        self.tokenizer = transformers.AutoTokenizer.from_pretrained(self.model)
-        self.net = transformers.AutoModelForCausalLM.from_pretrained(self.model, torch_dtype=getattr(torch, self.dtype), device_map=self.device).eval()
+        key = (self.model, self.dtype, self.device)
+        if key not in _loaded:
+            net = transformers.AutoModelForCausalLM.from_pretrained(self.model, torch_dtype=getattr(torch, self.dtype), device_map=self.device).eval()
+            _loaded[key] = (net, torch.inference_mode)
+        self.net, self.quiet = _loaded[key]
+        self.tokenizer = self._tokenizer()
+
+    def token_lengths(self, texts):
+        tokenizer = getattr(self, "tokenizer", None) or self._tokenizer()
+        return [len(tokenizer.encode(t, truncation=True, max_length=self.max_context)) for t in texts]
 
     def topk(self, data, k=32):
+        return [o for at in range(0, len(data), self.batch) for o in self._together([d.decode("utf-8", "replace") for d in data[at : at + self.batch]], k)]
+
+    def _together(self, texts: list[str], k: int) -> list[Output]:
+        asked = self.tokenizer(texts, return_tensors="pt", padding=True, truncation=True, max_length=self.max_context)
+        mask = asked["attention_mask"].to(self.net.device)
+        with self.quiet():
+            answer = self.net(input_ids=asked["input_ids"].to(self.net.device) * mask, attention_mask=mask, output_hidden_states=self.hidden)
         out = []
-        for d in data:
-            ids = self.tokenizer(d.decode("utf-8", "replace"), truncation=True, max_length=self.max_context, return_tensors="pt").input_ids.to(self.net.device)
-            with self.torch.no_grad():
-                answer = self.net(ids, output_hidden_states=True)
-            logp = answer.logits[0, :-1].float().log_softmax(-1)
+        for i in range(len(texts)):
+            n = int(mask[i].sum())
+            rows = max(n - 1, 0)
+            logp = answer.logits[i, :rows].float().log_softmax(-1)
             best = logp.topk(min(k, logp.shape[-1]), -1)
-            each = -(logp.exp() * logp).sum(-1)
             lps = best.values.tolist()
+            each = (-(logp.exp() * logp).sum(-1)).tolist()
             gaps = [r[0] - r[1] if len(r) > 1 else 0.0 for r in lps]
-            out.append(Output(best.indices.tolist(), lps, float(each.mean()) if len(lps) else 0.0, each.tolist(), gaps, ids[0, :-1].tolist(), [True] * len(lps), answer.hidden_states[-1][0].float().mean(0).tolist(), ids.shape[1]))
+            own = asked["input_ids"][i, :rows].tolist()
+            summary = answer.hidden_states[-1][i, :n].float().mean(0).tolist() if self.hidden and n else None
+            out.append(Output(best.indices.tolist(), lps, sum(each) / rows if rows else 0.0, each, gaps, own, [True] * rows, summary, n))
         return out
 
     def structured(self, prompts, options):
         out = []
         for p, o in zip(prompts, options, strict=True):
-            ids = self.tokenizer(p, truncation=True, max_length=self.max_context, return_tensors="pt").input_ids.to(self.net.device)
-            made = self.net.generate(ids, max_new_tokens=int(o.get("max_tokens", 32)), do_sample=False)
+            asked = self.tokenizer([p], return_tensors="pt", truncation=True, max_length=self.max_context)
+            ids = asked["input_ids"].to(self.net.device)
+            with self.quiet():
+                made = self.net.generate(ids, max_new_tokens=int(o.get("max_tokens", 32)), do_sample=False)
             out.append(self.tokenizer.decode(made[0, ids.shape[1] :], skip_special_tokens=True))
         return out
 
@@ -372,6 +602,7 @@ class EngineModel(Teacher):
     dtype: str = "auto"
     memory: float = 0.9
     name = "vllm_causal_lm"
+    backend = "vllm"
 
     def check(self):
         import importlib.util
@@ -384,10 +615,19 @@ class EngineModel(Teacher):
         self.vllm = vllm
         self.engine = vllm.LLM(self.model, tensor_parallel_size=self.parallel, dtype=self.dtype, gpu_memory_utilization=self.memory, max_model_len=self.max_context)
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        # the engine refuses prompts that leave no room for the one token it must make
+        tokenizer = self.engine.get_tokenizer()
+        return [tokenizer.encode(t)[: self.max_context - 1] for t in texts]
+
+    def token_lengths(self, texts):
+        return [len(ids) for ids in self._ids(texts)]
+
     def topk(self, data, k=32):
         ask = self.vllm.SamplingParams(max_tokens=1, prompt_logprobs=k, temperature=0)
         out = []
-        for answer in self.engine.generate([d.decode("utf-8", "replace") for d in data], ask):
+        prompts = self._ids([d.decode("utf-8", "replace") for d in data])
+        for answer in self.engine.generate([{"prompt_token_ids": ids} for ids in prompts], ask):
             tops = [{str(i): x.logprob for i, x in (row or {}).items()} for row in answer.prompt_logprobs[1:]]
             pairs = [_rows_of([t], k) if t else ([[]], [[]]) for t in tops]
             out.append(output_of([p[0][0] for p in pairs], [p[1][0] for p in pairs], len(answer.prompt_token_ids)))
