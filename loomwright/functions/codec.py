@@ -10,7 +10,7 @@ import json
 from typing import Any
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,9 +63,11 @@ def half(x: Column) -> Column:
 def half_b64(values: Column) -> Column:
     """array<double> to base64 of its 16-bit floats."""
 
-    @F.pandas_udf("string")
-    def run(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda v: None if v is None else base64.b64encode(np.asarray(v, "<f2").tobytes()).decode())
+    @F.arrow_udf("string")
+    def run(batch: pa.Array) -> pa.Array:
+        flat, ends = batch.values.to_numpy(zero_copy_only=False).astype("<f2"), batch.offsets.to_numpy()
+        there = batch.is_valid().to_numpy(zero_copy_only=False)
+        return pa.array([base64.b64encode(flat[s:e]).decode() if ok else None for s, e, ok in zip(ends[:-1], ends[1:], there, strict=True)], pa.string())
 
     return run(values)
 
@@ -77,30 +79,97 @@ def pack_half(values: Column) -> Column:
 def unpack(dtype: Column, data: Column) -> Column:
     """The numbers of packed vectors, flat."""
 
-    @F.pandas_udf("array<double>")
-    def run(kinds: pd.Series, batch: pd.Series) -> pd.Series:
-        return pd.Series([None if d is None else np.frombuffer(base64.b64decode(d), np.dtype(t).newbyteorder("<")).astype(float) for t, d in zip(kinds, batch, strict=True)])
+    @F.arrow_udf("array<double>")
+    def run(kinds: pa.Array, batch: pa.Array) -> pa.Array:
+        parts = [None if d is None else np.frombuffer(base64.b64decode(d), np.dtype(t).newbyteorder("<")) for t, d in zip(kinds.to_pylist(), batch.to_pylist(), strict=True)]
+        return _lists([None if p is None else len(p) for p in parts], _joined([p for p in parts if p is not None], np.float64))
 
     return run(dtype, data)
 
 
-def pack(values: list, floats: bool = False) -> Any:
-    """One vector or matrix for a JSON line; ragged ones are returned as they are."""
-    nested = bool(values) and isinstance(values[0], (list, tuple))
-    if nested and len({len(r) for r in values}) > 1:
-        return values
-    flat = [x for r in values for x in r] if nested else list(values)
+def _joined(parts: list[np.ndarray], kind: type) -> pa.Array:
+    return pa.array(np.concatenate([np.zeros(0, kind), *parts]).astype(kind))
+
+
+def _lists(sizes: list[int | None], values: pa.Array) -> pa.ListArray:
+    """Lists of these sizes, one after the other, null where the size is None."""
+    ends = np.append(0, np.cumsum([n or 0 for n in sizes])).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, mask=np.array([n is None for n in sizes] + [False], bool)), values)
+
+
+def pack_flat(flat: np.ndarray, shape: list[int], floats: bool) -> dict[str, Any]:
+    """Numbers of that shape as a packed vector or matrix."""
     if floats:
-        if any(abs(x) >= 65_520 for x in flat):
+        if (np.abs(flat) >= 65_520).any():
             raise OverflowError("a value does not fit 16 bits")
         dtype = "float16"
     else:
-        if any(x < 0 or x > 0xFFFFFFFF for x in flat):
+        least, most = (int(flat.min()), int(flat.max())) if flat.size else (0, 0)
+        if least < 0 or most > 0xFFFFFFFF:
             raise OverflowError("an id does not fit 32 bits")
-        most = max(flat, default=0)
         dtype = "uint8" if most <= 0xFF else "uint16" if most <= 0xFFFF else "uint32"
-    shape = [len(values), len(values[0])] if nested else [len(values)]
-    return {"encoding": ENCODING, "dtype": dtype, "shape": shape, "data_b64": base64.b64encode(np.array(flat, np.dtype(dtype).newbyteorder("<")).tobytes()).decode()}
+    return {"encoding": ENCODING, "dtype": dtype, "shape": shape, "data_b64": base64.b64encode(flat.astype(np.dtype(dtype).newbyteorder("<")).tobytes()).decode()}
+
+
+def pack(values: list, floats: bool = False) -> Any:
+    """One vector or matrix for a JSON line; ragged ones are returned as they are."""
+    nested = bool(values) and isinstance(values[0], (list, tuple))
+    if nested and len({len(r) for r in values}) > 1:
+        return values
+    flat = np.array([x for r in values for x in r] if nested else list(values), np.float64 if floats else np.int64)
+    return pack_flat(flat, [len(values), len(values[0])] if nested else [len(values)], floats)
+
+
+def packed_lines(values: Column, floats: bool = False) -> Column:
+    """Vectors or matrices as JSON of what pack makes. A row is a slice of the batch's numbers, never a list of objects."""
+
+    @F.arrow_udf("string")
+    def run(batch: pa.Array) -> pa.Array:
+        ends, inner = batch.offsets.to_numpy(), batch.values
+        nested = pa.types.is_list(inner.type)
+        rows = inner.offsets.to_numpy() if nested else None
+        numbers = (inner.values if nested else inner).cast(pa.float64() if floats else pa.int64()).to_numpy(zero_copy_only=False)
+        out: list[str | None] = []
+        for i, ok in enumerate(batch.is_valid().to_numpy(zero_copy_only=False)):
+            s, e = int(ends[i]), int(ends[i + 1])
+            if not ok:
+                out.append(None)
+            elif not nested or s == e:
+                out.append(json.dumps(pack_flat(numbers[s:e], [e - s], floats)))
+            elif np.ptp(sizes := np.diff(rows[s : e + 1])):
+                out.append(json.dumps(batch[i].as_py()))
+            else:
+                out.append(json.dumps(pack_flat(numbers[rows[s] : rows[e]], [e - s, int(sizes[0])], floats)))
+        return pa.array(out, pa.string())
+
+    return run(values)
+
+
+def unpacked_lines(values: Column, kind: str) -> Column:
+    """JSON of packed_lines, or of plain lists, as arrays of kind: array of long or double, or array of those arrays. A vector
+    read as a matrix is its only row."""
+    nested, number = kind.startswith("array<array"), np.float64 if "double" in kind else np.int64
+
+    def plain(text: str) -> tuple[list[int], np.ndarray]:
+        v = json.loads(text)
+        if isinstance(v, dict):
+            if v.get("encoding") != ENCODING or v["dtype"] not in DTYPES:
+                raise ValueError(f"unknown encoding {v.get('encoding')} or dtype {v.get('dtype')}")
+            flat = np.frombuffer(base64.b64decode(v["data_b64"]), np.dtype(v["dtype"]).newbyteorder("<"))
+            rows, width = (v["shape"][0], v["shape"][1]) if len(v["shape"]) == 2 else (int(len(flat) > 0), len(flat))
+            return [width] * rows, flat
+        v = v if not v or isinstance(v[0], list) else [v]
+        return [len(r) for r in v], np.array([x for r in v for x in r], number)
+
+    @F.arrow_udf(kind)
+    def run(batch: pa.Array) -> pa.Array:
+        parts = [None if t is None else plain(t) for t in batch.to_pylist()]
+        numbers = _joined([p[1] for p in parts if p is not None], number)
+        if not nested:
+            return _lists([None if p is None else len(p[1]) for p in parts], numbers)
+        return _lists([None if p is None else len(p[0]) for p in parts], _lists([n for p in parts if p is not None for n in p[0]], numbers))
+
+    return run(values)
 
 
 def decode(value: Any) -> Any:

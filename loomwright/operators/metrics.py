@@ -119,6 +119,8 @@ INFORMATIVE = ("token_length_count", "token_length_min", "token_length_max", "to
 def parity_facts(records: DataFrame, selection: str = "none", entropy: float | None = None, gap: float | None = None, combine: str = "union", minimum: int | None = None) -> DataFrame:
     """One row about the shape of a teacher's records, all doubles. Per-token fields that are plausible have an entry for each
     row of candidates, where there are any. selectable: records for which the policy yields a mask or a window."""
+    lacking = {"teacher_input_token_length": "long", "per_token_entropy": "array<double>", "per_token_top1_gap": "array<double>"}
+    records = records.withColumns({c: F.lit(None).cast(kind) for c, kind in lacking.items() if c not in records.columns})
     rows = F.when(F.col("top_k_ids").isNotNull(), F.size("top_k_ids")).otherwise(0)
     tokens, e = F.col("teacher_input_token_length"), F.col("entropy")
     facts = {"records": F.count(F.lit(1)), "with_topk": F.count_if(F.col("top_k_ids").isNotNull() & F.col("top_k_logprobs").isNotNull())}

@@ -42,7 +42,7 @@ def extract(spark: SparkSession, root: str, source: Source, refresh: bool = Fals
     parts, counts = [], {}
     for ours, theirs in sorted(source.split_mapping.items()):
         try:
-            rows = read(source, theirs) if read else readers.upstream(spark, f"{source.location}/{theirs}" if theirs else source.location, source.source_type)
+            rows = read(source, theirs) if read else readers.upstream(spark, source.location, source.source_type, config=source.config_name, split=theirs)
         except Exception as e:
             raise RuntimeError(f"source {source.source_name}, split {theirs}: {e}") from e
         order = [source.order_field] if source.order_field else [c for c, k in rows.dtypes if not k.startswith(("array", "map", "struct"))]
@@ -93,11 +93,38 @@ def may_resume(state: dict[str, Any], config: Pipeline, policy: str) -> tuple[bo
     return True, "settings that do not change the records differ from the run that is resumed"
 
 
+def members(c: Any) -> list[tuple[str, dict[str, Any]]]:
+    """The teachers of a stage and their settings; a stage's own settings reach the teachers that have them."""
+    used = [(m["teacher_name"], m.get("settings", {})) for m in c.teacher_mixture or ()] or [(c.teacher_name, c.teacher_settings)]
+    shared = {"temperature": c.temperature, "hidden": c.extract_hidden_summary}
+    return [(name, {k: v for k, v in shared.items() if teachers.accepts(name, k)} | settings) for name, settings in used]
+
+
 def make_teacher(name: str, settings: dict[str, Any], docs: DataFrame) -> teachers.Teacher:
     return teachers.train_bigram(docs) if name == "byte_bigram" and not settings else teachers.create(name, **settings)
 
 
+def startup_checks(config: Pipeline, enabled: list[str]) -> list[dict[str, Any]]:
+    """Asks every teacher that will run, once for each stage, whether it can; the first that cannot stops the build."""
+    told = []
+    for kind in enabled:
+        c = getattr(config, kind)
+        for name, settings in members(c):
+            teacher = teachers.create(name, **settings)
+            if name != "byte_bigram" and (bad := teacher.check()):
+                raise RuntimeError(f"{kind}: {name} (mode {c.mode}, top_k {c.top_k}): {bad}")
+            told.append({"stage_name": kind, "teacher_name": name, "mode": c.mode, "top_k": c.top_k, "result": teacher.about() | {"ok": True}})
+    return told
+
+
 def _stage(kind: str, config: Pipeline, teacher: teachers.Teacher, rows: DataFrame) -> DataFrame:
+    made = _records(kind, config, teacher, rows)
+    if getattr(config, kind).extract_hidden_summary:
+        return made
+    return made.withColumn("hidden_summary", F.lit(None).cast(made.schema["hidden_summary"].dataType))
+
+
+def _records(kind: str, config: Pipeline, teacher: teachers.Teacher, rows: DataFrame) -> DataFrame:
     c = getattr(config, kind)
     if kind == "stage_a":
         return stages.stage_a(rows, teacher, c.top_k, c.mode, c.enable_position_filtering, c.selection_mode, c.entropy_threshold, c.top1_gap_threshold, c.selection_window_radius, c.selection_combine_mode, c.minimum_selected_positions_per_record)
@@ -110,7 +137,8 @@ WINDOW_COLUMNS = ("window_raw_bytes", "window_byte_start", "window_byte_end", "t
 
 
 def run(spark: SparkSession, config: Pipeline, docs: DataFrame | None = None) -> dict[str, Any]:
-    """Ingest, chunk, split, stages, curriculum, dedup, write. Gives counts and seconds by phase.
+    """Ingest, chunk, split, stages, curriculum, dedup, write, quality report. Gives the run's summary: counts, seconds by phase,
+    records and failures by stage, shares of the stages, what was asked, and what the teachers' checks told.
 
     Each stage's output is written once as a table in the output folder, so no teacher runs twice for a record, and a resumed
     run reads the stages that were finished.
@@ -137,13 +165,7 @@ def run(spark: SparkSession, config: Pipeline, docs: DataFrame | None = None) ->
     enabled = [s for s in ("stage_a", "stage_b", "stage_c") if getattr(config, s).enabled]
     if config.output.stop_after_stage:
         enabled = enabled[: enabled.index(config.output.stop_after_stage) + 1] if config.output.stop_after_stage in enabled else enabled
-    if not config.output.dry_run:
-        for s in enabled:
-            c = getattr(config, s)
-            used = [(m["teacher_name"], m.get("settings", {})) for m in c.teacher_mixture or ()] or [(c.teacher_name, c.teacher_settings)]
-            for name, settings in used:
-                if name != "byte_bigram" and (bad := teachers.create(name, **settings).check()):
-                    raise RuntimeError(f"{s}: {name}: {bad}")
+    checks = [] if config.output.dry_run else startup_checks(config, enabled)
     t = clock()
     b = config.stage_b
     chunks = chunking.chunk(docs, config.data.chunk_bytes, config.data.overlap_bytes, context=b.context_window, stride=b.stride)
@@ -159,6 +181,7 @@ def run(spark: SparkSession, config: Pipeline, docs: DataFrame | None = None) ->
         labelled = sampling.concat([sampling.subsample(labelled.filter(F.col("split") == s), n, d.seed + i + 1) for i, s in enumerate(("train", "eval", "eval_longdoc"))])
     timed("splitting", t)
     history: list[tuple[str, DataFrame]] = []
+    by_stage: list[dict[str, Any]] = []
     for i, kind in enumerate(enabled):
         t = clock()
         path = f"{out}/stages/{kind}"
@@ -170,10 +193,10 @@ def run(spark: SparkSession, config: Pipeline, docs: DataFrame | None = None) ->
             elif c.teacher_mixture:
                 total = rows.count()
                 # written first, so each teacher sees each record once, however often the draw reads its output
-                outputs = [(saved(_stage(kind, config, make_teacher(m["teacher_name"], m.get("settings", {}), docs), rows), f"teacher-{j}"), m["ratio"]) for j, m in enumerate(c.teacher_mixture)]
+                outputs = [(saved(_stage(kind, config, make_teacher(*member, docs), rows), f"teacher-{j}"), m["ratio"]) for j, (member, m) in enumerate(zip(members(c), c.teacher_mixture, strict=True))]
                 made = sampling.teacher_mixture(outputs, total, d.seed + 101 * (i + 1))
             else:
-                made = _stage(kind, config, make_teacher(c.teacher_name, c.teacher_settings, docs), rows)
+                made = _stage(kind, config, make_teacher(*members(c)[0], docs), rows)
             made.drop(*WINDOW_COLUMNS).write.mode("overwrite").parquet(path)
             state["completed_stages"] = sorted({*state["completed_stages"], kind})
             files.write_json(spark, f"{out}/{RESUME}", state | {"last_update_timestamp": sinks.now()})
@@ -185,6 +208,7 @@ def run(spark: SparkSession, config: Pipeline, docs: DataFrame | None = None) ->
                 raise RuntimeError(f"{kind}: every record failed")
         history.append((kind, good))
         timed(kind, t)
+        by_stage.append({"stage_name": kind, "records": good.count(), "failures": n_bad, "seconds": seconds[kind]})
     if not history:
         raise ValueError("no stage is enabled")
     t = clock()
@@ -197,11 +221,41 @@ def run(spark: SparkSession, config: Pipeline, docs: DataFrame | None = None) ->
         if final.isEmpty():
             continue
         prefix = f"{config.output.shard_prefix}{split}"
-        written.append(sinks.write_records(final, out, split, order, config.output.max_records_per_shard, prefix, append=config.output.resume, kind=config.output.format))
+        written.append(sinks.write_records(final, out, split, order, config.output.max_records_per_shard, prefix, append=config.output.resume, kind=config.output.format, compression=config.output.compression))
         state["split_progress"][split] = {"record_count": written[-1]["records"]}
     files.write_json(spark, f"{out}/{RESUME}", state | {"last_update_timestamp": sinks.now()})
     timed("writing", t)
-    return {"output_dir": out, "stages": enabled, "splits": written, "output_records": sum(w["records"] for w in written), "warning": warning, "seconds": seconds, "total_runtime_seconds": sum(seconds.values())}
+    t = clock()
+    found = output_records(spark, config)
+    if found is not None:
+        quality_report(spark, found, out)
+    timed("metrics", t)
+    n_docs, n_chunks = docs.count(), chunks.count()  # ids and sizes only
+    of = {w["split"]: w for w in written}
+    number = lambda split, what: of.get(split, {}).get(what, 0)
+    used = {s: [n for n, _ in members(getattr(config, s))] for s in enabled}
+    phases = ("ingestion", "chunking", "splitting", *enabled, "writing")
+    timing = {f"{p}_seconds": seconds.get(p, 0.0) for p in ("ingestion", "chunking", "splitting", "stage_a", "stage_b", "stage_c", "writing")}
+    timing |= {"teacher_inference_seconds": sum(seconds[s] for s in enabled), "total_runtime_seconds": sum(seconds.get(p, 0.0) for p in phases)}
+    return {
+        "output_dir": out, "stages": enabled, "splits": written, "output_records": sum(w["records"] for w in written), "warning": warning, "seconds": seconds, "total_runtime_seconds": sum(seconds.values()),
+        "train_path": f"{out}/{config.output.shard_prefix}train", "eval_path": f"{out}/{config.output.shard_prefix}eval", "train_count": number("train", "records"),
+        "eval_count": number("eval", "records"), "eval_longdoc_count": number("eval_longdoc", "records"), "train_duplicates_skipped": number("train", "skipped"),
+        "eval_duplicates_skipped": number("eval", "skipped"), "doc_count": n_docs, "chunk_count": n_chunks, **{f"{s}_teachers": used.get(s, []) for s in ("stage_a", "stage_b", "stage_c")},
+        "timing": timing, "stage_metrics": by_stage, **{f"{side}_stage_fractions": {s: config.data.replay(side, s) for s in ("stage_a", "stage_b", "stage_c")} for side in ("train", "eval")},
+        "resume_enabled": config.output.resume, "resume_policy": config.output.resume_policy, "resume_warning": warning, "dry_run": config.output.dry_run,
+        "dry_run_max_records": config.output.dry_run_max_records, "skipped_records": sum(r["failures"] for r in by_stage), "stop_after_stage": config.output.stop_after_stage,
+        "teacher_startup_checks": checks,
+    }
+
+
+def output_records(spark: SparkSession, config: Pipeline) -> DataFrame | None:
+    """All records in a build's folder, those of earlier runs included; None where there are none."""
+    o = config.output
+    if o.format == "jsonl":
+        return readers.records(spark, o.output_dir) if any(n.endswith(".jsonl") for n in files.names(spark, o.output_dir)) else None
+    paths = [p for split in ("train", "eval", "eval_longdoc") if files.exists(spark, p := f"{o.output_dir}/{o.shard_prefix}{split}.parquet")]
+    return sampling.concat([spark.read.parquet(p) for p in paths]) if paths else None
 
 
 def quality_report(spark: SparkSession, records: DataFrame, folder: str | None = None, bins: int = 10) -> dict[str, Any]:
@@ -223,3 +277,7 @@ def quality_report(spark: SparkSession, records: DataFrame, folder: str | None =
 
 def timing_lines(seconds: dict[str, float]) -> list[str]:
     return [f"{k}: {v:.3f} s" for k, v in seconds.items()] + [f"total: {sum(seconds.values()):.3f} s"]
+
+
+def stage_lines(by_stage: list[dict[str, Any]]) -> list[str]:
+    return [f"{r['stage_name']}: {r['records']} records, {r['failures']} failed, {r['records'] / max(r['seconds'], 1e-9):.1f} records a second" for r in by_stage]

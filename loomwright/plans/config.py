@@ -73,7 +73,7 @@ class Data:
 
 @dataclass(frozen=True)
 class Input:
-    preserve_document_boundaries: bool = setting(True)
+    preserve_document_boundaries: bool = setting(True, one_of(True))  # chunks never join documents
     normalize_newlines: bool = setting(True)
 
 
@@ -81,7 +81,7 @@ class Input:
 class Output:
     output_dir: str = setting("", required=True)
     format: str = setting("jsonl", one_of("jsonl", "parquet"))
-    compression: str | None = setting(None)
+    compression: str | None = setting(None, one_of(None, "none", "snappy", "gzip", "zstd", "lz4"))  # of Parquet; lines are written plain
     max_records_per_shard: int = setting(0, at_least(0))
     shard_prefix: str = setting("")
     resume: bool = setting(False)
@@ -98,7 +98,8 @@ class _Stage:
     backend_type: str | None = setting(None, one_of(None, "builtin", "hf", "vllm", "llamacpp_server"))
     mode: str = setting("topk_logits", one_of("topk_logits", "long_context", "structured_outputs"))
     top_k: int = setting(32, at_least(0, strict=True))
-    temperature: float = setting(1.0, at_least(0))
+    temperature: float = setting(1.0, at_least(0))  # for teachers that have the setting
+    extract_hidden_summary: bool = setting(False)
     teacher_settings: dict = setting({})
     teacher_mixture: list = setting([])
 
@@ -112,13 +113,15 @@ class _Stage:
             raise ConfigError(f"{name}: {e}") from None
         if any(not isinstance(x.get("ratio"), (int, float)) or x["ratio"] <= 0 for x in self.teacher_mixture):
             raise ConfigError(f"{name}.teacher_mixture ratios must be > 0")
+        used = [x["teacher_name"] for x in self.teacher_mixture] or [self.teacher_name]
+        if self.enabled and self.extract_hidden_summary and (lacking := [m for m in used if not teachers.capabilities(m).hidden_summary]):
+            raise ConfigError(f"{name}.extract_hidden_summary is not supported by {', '.join(lacking)}")
         if self.backend_type is not None and self.backend_type != teachers.backend(self.teacher_name):
             raise ConfigError(f"{name}.backend_type {self.backend_type} is not that of {self.teacher_name}")
 
 
 @dataclass(frozen=True)
 class StageA(_Stage):
-    extract_hidden_summary: bool = setting(False)
     enable_position_filtering: bool = setting(False)
     entropy_threshold: float | None = setting(None, at_least(0))
     top1_gap_threshold: float | None = setting(None, at_least(0))

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import text
+from ..functions import codec, text
 from ..functions.schema import schema
 from . import files
 
@@ -48,9 +47,15 @@ def documents(table: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return table.select(F.col(id_col).cast("string").alias("doc_id"), text.unix_newlines(text.safe_text(F.col(text_col))).alias("text"))
 
 
-def upstream(spark: SparkSession, path: str, kind: str = "parquet", ddl: str | None = None) -> DataFrame:
-    """Rows of an upstream table."""
+def upstream(spark: SparkSession, path: str, kind: str = "parquet", ddl: str | None = None, config: str | None = None, split: str | None = None) -> DataFrame:
+    """Rows of an upstream table: of the folder split below path, or of path itself.
+
+    kind huggingface: of a downloaded snapshot in the usual layout, Parquet files <config or data>/<split>-*.parquet.
+    """
     reader = spark.read.schema(ddl) if ddl else spark.read
+    if kind == "huggingface":
+        return reader.parquet(f"{path}/{config or 'data'}/{split or '*'}-*.parquet")
+    path = f"{path}/{split}" if split else path
     return reader.format(kind).load(path)
 
 
@@ -89,26 +94,9 @@ def wire_records(spark: SparkSession, path: str) -> DataFrame:
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """Wire records with raw bytes and numbers decoded."""
-    import json
-
-    from ..functions.codec import decode
-
-    def unpacked(kind: str):
-        @F.pandas_udf(kind)
-        def run(s: pd.Series) -> pd.Series:
-            def one(v):
-                if v is None:
-                    return None
-                v = decode(json.loads(v))
-                return [v] if kind.startswith("array<array") and v and not isinstance(v[0], list) else v
-
-            return s.map(one)
-
-        return run
-
     kinds = {"top_k_ids": "array<array<long>>", "top_k_logprobs": "array<array<double>>", "per_token_entropy": "array<double>", "per_token_top1_gap": "array<double>", "per_token_token_ids": "array<long>", "per_token_valid_mask": "array<long>", "hidden_summary": "array<double>"}
     wire = wire_records(spark, path)
-    return wire.withColumns({c: unpacked(k)(F.col(c)) for c, k in kinds.items()}).withColumn("raw_bytes", F.unbase64("raw_bytes_b64")).drop("raw_bytes_b64")
+    return wire.withColumns({c: codec.unpacked_lines(F.col(c), k) for c, k in kinds.items()}).withColumn("raw_bytes", F.unbase64("raw_bytes_b64")).drop("raw_bytes_b64")
 
 
 def cache(spark: SparkSession, root: str, source: str | None = None, split: str | None = None) -> DataFrame:

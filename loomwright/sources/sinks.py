@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from datetime import UTC, datetime
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,25 +23,8 @@ def now() -> str:
 
 def to_wire(records: DataFrame) -> DataFrame:
     """One column value: the JSON of each record; vectors packed, bytes in base64, fields that a record lacks null."""
-    import json
-
-    import numpy as np
-    def packer(floats: bool):
-        @F.pandas_udf("string")
-        def run(s: pd.Series) -> pd.Series:
-            def one(v):
-                if v is None:
-                    return None
-                plain = [x.tolist() if isinstance(x, np.ndarray) else x for x in v]
-                return json.dumps(codec.pack([int(x) if isinstance(x, (bool, np.bool_)) else x for x in plain], floats))
-
-            return s.map(one)
-
-        return run
-
     have = set(records.columns)
-    whole = {"top_k_ids": packer(False), "per_token_token_ids": packer(False), "per_token_valid_mask": packer(False)}
-    halves = {c: packer(True) for c in ("top_k_logprobs", "per_token_entropy", "per_token_top1_gap", "hidden_summary")}
+    whole, halves = ("top_k_ids", "per_token_token_ids", "per_token_valid_mask"), ("top_k_logprobs", "per_token_entropy", "per_token_top1_gap", "hidden_summary")
     nested = [*whole, *halves, "structured_output", "extra_metadata"]
     cols = []
     for f in WIRE.fields:
@@ -54,7 +36,7 @@ def to_wire(records: DataFrame) -> DataFrame:
         elif c not in have:
             v = F.lit(None).cast(f.dataType)
         elif c in whole or c in halves:
-            v = (whole | halves)[c](F.col(c))
+            v = codec.packed_lines(F.col(c), c in halves)
         elif c == "entropy":
             v = codec.half(F.col(c))
         elif c in nested and dict(records.dtypes)[c] != "string":
@@ -109,7 +91,7 @@ def write_lines(rows: DataFrame, folder: str, size: int, prefix: str, order: tup
     return out
 
 
-def write_records(records: DataFrame, folder: str, split: str, order: tuple[str, ...] = ("doc_id", "chunk_index", "byte_start", "stage_name", "teacher_name"), size: int = 0, prefix: str | None = None, append: bool = False, deduplicate: bool = True, kind: str = "jsonl") -> dict:
+def write_records(records: DataFrame, folder: str, split: str, order: tuple[str, ...] = ("doc_id", "chunk_index", "byte_start", "stage_name", "teacher_name"), size: int = 0, prefix: str | None = None, append: bool = False, deduplicate: bool = True, kind: str = "jsonl", compression: str | None = None) -> dict:
     """Writes one split: first of each identity, only new ones if append; then the manifest. Gives the counts."""
     spark = records.sparkSession
     name = prefix or split
@@ -121,7 +103,7 @@ def write_records(records: DataFrame, folder: str, split: str, order: tuple[str,
         total, written = records.count(), kept.count()
         if kind == "parquet":
             # partitioned by shard-free split; a rerun replaces the split only
-            kept.write.mode("append" if append else "overwrite").parquet(f"{folder}/{name}.parquet")
+            kept.write.mode("append" if append else "overwrite").option("compression", compression or "snappy").parquet(f"{folder}/{name}.parquet")
         elif written:
             wire = to_wire(kept.select("*")).select("value")
             keyed = wire.withColumns({f"_o{i}": F.get_json_object("value", f"$.{c}") for i, c in enumerate(order)})

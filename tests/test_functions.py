@@ -1,7 +1,9 @@
+import json
 import math
 import random
 import struct
 
+import numpy as np
 import pytest
 from loomwright.functions import codec, completions, positions, prompts, signals, text
 from loomwright.operators.corpus import Group, check_groups, rounds
@@ -196,3 +198,21 @@ def test_groups_are_checked():
     for bad in ([], [good._replace(percentage=99)], [good._replace(name="")], [good._replace(sources=())], [good._replace(sources=("t",))]):
         with pytest.raises(ValueError):
             check_groups(bad, ["s"])
+
+
+def test_lines_of_vectors_are_those_of_pack(spark):
+    matrices = [None, [], [[]], [[], []], [[1, 2], [3, 400]], [[70_000]], [[1], [2, 3]], [[0] * 5] * 3]
+    halves = [None, [], [0.5, -2.25], [1e-8, 65_000.0]]
+    bools = [None, [], [True, False, True]]
+    rows = [(i, matrices[i % 8], [halves[i % 4]] if i % 3 and halves[i % 4] is not None else None, halves[i % 4], bools[i % 3]) for i in range(60)]
+    df = spark.createDataFrame(rows, "i int, m array<array<long>>, n array<array<double>>, v array<double>, b array<boolean>").repartition(3)
+    packed = df.select("i", codec.packed_lines(F.col("m")).alias("m"), codec.packed_lines(F.col("n"), True).alias("n"), codec.packed_lines(F.col("v"), True).alias("v"), codec.packed_lines(F.col("b")).alias("b"))
+    line = lambda x, floats=False: None if x is None else json.dumps(codec.pack([int(y) if isinstance(y, bool) else y for y in x], floats))
+    assert {r[0]: tuple(r)[1:] for r in packed.collect()} == {i: (line(m), line(n, True), line(v, True), line(b)) for i, m, n, v, b in rows}
+    back = packed.select("i", codec.unpacked_lines(F.col("m"), "array<array<long>>"), codec.unpacked_lines(F.col("n"), "array<array<double>>"), codec.unpacked_lines(F.col("v"), "array<double>"), codec.unpacked_lines(F.col("b"), "array<long>"))
+    half = lambda v: None if v is None else np.array(v, "<f2").astype(float).tolist()
+    assert {r[0]: tuple(r)[1:] for r in back.collect()} == {i: (m, None if n is None else [half(x) for x in n], half(v), None if b is None else [int(x) for x in b]) for i, m, n, v, b in rows}
+    one_row = spark.createDataFrame([(json.dumps(codec.pack([4, 5])),), ("[6, 7]",)], "t string").select(codec.unpacked_lines(F.col("t"), "array<array<long>>"))
+    assert [r[0] for r in one_row.collect()] == [[[4, 5]], [[6, 7]]]
+    with pytest.raises(Exception, match="32 bits"):
+        spark.createDataFrame([([-1],)], "v array<long>").select(codec.packed_lines(F.col("v"))).collect()
