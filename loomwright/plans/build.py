@@ -260,6 +260,9 @@ def output_records(spark: SparkSession, config: Pipeline) -> DataFrame | None:
 
 def quality_report(spark: SparkSession, records: DataFrame, folder: str | None = None, bins: int = 10) -> dict[str, Any]:
     """Histogram, counts and entropies by stage and teacher, and position filtering; written to folder if named."""
+    # the few columns that are used, written once, as every figure reads them again
+    needed = ("entropy", "stage_name", "teacher_name", "selected_window_start", "selected_window_end", "selected_position_count", "selected_position_mask", "selected_positions", "selection_policy")
+    records = saved(records.select(*(c for c in needed if c in records.columns)), "quality")
     have = set(records.columns)
     for c, kind in (("selected_window_start", "int"), ("selected_window_end", "int"), ("selected_position_count", "int"), ("selected_position_mask", "array<boolean>"), ("selected_positions", "array<int>"), ("selection_policy", "string")):
         if c not in have:

@@ -272,6 +272,22 @@ def extract_counters(spark, sf):
     return corpus.count_rows(docs(spark, sf), ["source"], "text", 4, 200, 20_000)
 
 
+@query("source_cache", f"""WITH a AS (SELECT coalesce(text, '') AS text, doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS rn FROM documents)
+SELECT split, 'doc_' || lpad(CAST(rn // 3 + 1 AS VARCHAR), 8, '0') AS doc_id, md5({strip_sql("string_agg(text, chr(10) || chr(10) ORDER BY rn)")} || chr(10)) AS text_md5 FROM a, (VALUES ('train'), ('eval')) AS s(split) GROUP BY split, rn // 3 HAVING count(*) = 3""")
+def source_cache(spark, sf):
+    """A source's cache, filled once and then found ready, as it is read back."""
+    import uuid
+
+    from . import build, config
+
+    root = f"{shared_dir(spark)}/cache-{uuid.uuid4().hex}"
+    source = config.source({"source_name": "all", "location": f"{sf}/documents.parquet", "text_field": "text", "order_field": "doc_id", "group_size": 3, "split_mapping": {"train": "", "eval": ""}})
+    build.extract(spark, root, source)
+    if build.extract(spark, root, source) != {"source_name": "all", "state": "ready", "reused_upstream_splits": {"": ["eval", "train"]}}:
+        raise AssertionError("a cache that was just filled is not ready")
+    return readers.cache(spark, root, "all").select("split", "doc_id", F.md5("text").alias("text_md5"))
+
+
 GROUPS = (corpus.Group("code", 50, ("src0", "src1", "src2")), corpus.Group("general", 30, ("src2", "src3", "src4", "src5", "src6", "src7", "src8")), corpus.Group("narrative", 20, ("src9", "src10", "src11")))
 POOL_SQL = """pool AS (SELECT CASE WHEN h < 3000 THEN 'eval' WHEN h < 5000 THEN 'validation' ELSE 'train' END AS split, source AS source_name, doc_id, text
   FROM (SELECT source, text, CAST(doc_id AS VARCHAR) AS doc_id, CAST('0x' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 AS h FROM documents))"""
@@ -678,6 +694,21 @@ def jsonl_roundtrip(spark, sf):
     return back.select(identity().alias("identity"), F.octet_length("raw_bytes").cast("long").alias("n_bytes"), F.size(F.flatten("top_k_ids")).cast("long").alias("n_ids"), F.round("entropy", 9).alias("entropy")).withColumn("n_ids", F.when(F.col("n_ids") >= 0, F.col("n_ids")))
 
 
+@query("merge_shards", f"""WITH {RECORD_SQL}, n AS (SELECT 2 * count(*) AS n FROM rec) SELECT 'part-' || lpad(CAST(i AS VARCHAR), 5, '0') || '.jsonl' AS shard, least(500, n - 500 * i) AS records FROM (SELECT n, unnest(range((n + 499) // 500)) AS i FROM n)""")
+def merge_shards(spark, sf):
+    """Shards of two folders, one of 300 and one of 700 lines each, as shards of 500."""
+    import uuid
+
+    from ..sources import sinks
+
+    folder = f"{shared_dir(spark)}/merge-{uuid.uuid4().hex}"
+    keys = chunks(spark, sf).select("doc_id", "chunk_index", F.to_json(F.struct("doc_id", "chunk_index", "byte_end")).alias("value"))
+    for size in (300, 700):
+        sinks.write_lines(keys, f"{folder}/{size}", size, "part", ("doc_id", "chunk_index"))
+    sinks.merge_shards(spark, [f"{folder}/300", f"{folder}/700"], f"{folder}/all", 500)
+    return readers.shard_counts(spark, f"{folder}/all")
+
+
 @query("build_and_resume", f"""WITH {RANKED}, {chunk_sql(4096, 256)}
 SELECT c.doc_id, k AS chunk_index, e - s AS n_bytes, stage_name, CASE WHEN rn <= round_even(total_docs * 0.1, 0) THEN 'eval' ELSE 'train' END AS split
 FROM c, (VALUES ('stage_a')) AS stages(stage_name), (SELECT doc_id AS id, rn, count(*) OVER () AS total_docs FROM r WHERE n > 0) WHERE c.doc_id = id""")
