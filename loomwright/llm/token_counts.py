@@ -4,12 +4,17 @@ The rows of an Arrow batch are cut into pieces and dealt into encoder calls of a
 long text neither waits for nor swells a batch. Texts over SPLIT_BYTES are cut at safe boundaries, where no token can span: for
 tokenizers that drop white space, before a space. A tokenizer without such boundaries gets whole texts.
 
+Where boundaries are safe, every space is one, so a call's pieces are cut to words and only the distinct words that the worker
+has not counted before are encoded, in batches of about CALL_BYTES bytes. A worker remembers up to WORDS words of up to
+LONG_WORD characters; over that it forgets all and goes on, so memory is bounded and counts are the same.
+
 Cases: a null text counts as empty: 0 tokens; repeated rows each get their count; an empty table gives an empty result; other
 columns do not matter.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -20,17 +25,19 @@ from pyspark.sql import functions as F
 
 CALL_BYTES = 1 << 20
 SPLIT_BYTES = 1 << 16
+WORDS = 1 << 20
+LONG_WORD = 64
 OVER = 2048
 
 
 @cache
 def load(path: str):
-    """A function from texts to token counts, and whether texts may be cut before a space."""
+    """A function from texts to token counts, and the characters at which texts may be cut: none, space, or space and line feed."""
     if path.endswith(".model"):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return (lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]), False
+        return (lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]), ""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,9 +50,36 @@ def load(path: str):
     tok.no_padding()
     with open(path, encoding="utf-8") as f:
         made = json.load(f)
-    spaces_dropped = any("Removed" in str(p.get("behavior")) and p.get("invert") for p in (made.get("pre_tokenizer") or {}).get("pretokenizers", []))
+    kept = [p for p in (made.get("pre_tokenizer") or {}).get("pretokenizers", []) if "Removed" in str(p.get("behavior")) and p.get("invert")]
+    patterns = [str(p["pattern"].get("Regex", " ")) for p in kept]
+    # no alternative of the pattern can hold white space: no literal one, no dot, no class that takes it in
+    lines_dropped = any(all(r"\s" in c for c in re.findall(r"\[\^[^\]]*\]", p)) and not re.search(r"[\s.]|\\[SWDnrt]", re.sub(r"\[\^[^\]]*\]", "", p).replace(r"\s", " ")) for p in patterns)
     inside = any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") for t in made.get("added_tokens", []))
-    return (lambda texts: [len(x) for x in tok.encode_batch_fast(texts, add_special_tokens=False)]), spaces_dropped and not inside
+    cuts = "" if not kept or inside else " \n" if lines_dropped and not any("\n" in t["content"] for t in made.get("added_tokens", [])) else " "
+    return (lambda texts: [len(x) for x in tok.encode_batch_fast(texts, add_special_tokens=False)]), cuts
+
+
+@cache
+def remembered(path: str) -> dict[str, int]:
+    """The words that this worker has counted."""
+    return {}
+
+
+def by_words(pieces: list[str], path: str) -> list[int]:
+    """Token counts of pieces by those of their words."""
+    encode, cuts = load(path)
+    known = remembered(path)
+    words = [(p.replace("\n", " ") if "\n" in cuts else p).split(" ") for p in pieces]
+    fresh = list(set().union(*words) - known.keys())
+    for at, to in calls([len(w.encode()) for w in fresh]):
+        known.update(zip(fresh[at:to], encode(fresh[at:to]), strict=True))
+    out = [sum(map(known.__getitem__, w)) for w in words]
+    for w in fresh:
+        if len(w) > LONG_WORD:
+            del known[w]
+    if len(known) > WORDS:
+        known.clear()
+    return out
 
 
 def cut(text: str, size: int = SPLIT_BYTES) -> list[str]:
@@ -74,15 +108,15 @@ def calls(sizes: list[int], most: int = CALL_BYTES) -> list[tuple[int, int]]:
 
 
 def counts(texts: list[str], path: str) -> np.ndarray:
-    encode, safe = load(path)
+    encode, cuts = load(path)
     rows, pieces = [], []
     for i, t in enumerate(texts):
-        own = cut(t) if safe else [t]
+        own = cut(t) if cuts else [t]
         pieces += own
         rows += [i] * len(own)
     total = np.zeros(len(texts), np.int64)
     for at, to in calls([len(p.encode()) for p in pieces]):
-        np.add.at(total, rows[at:to], encode(pieces[at:to]))
+        np.add.at(total, rows[at:to], by_words(pieces[at:to], path) if cuts else encode(pieces[at:to]))
     return total
 
 

@@ -159,6 +159,22 @@ def test_token_counts_of_pieces(spark):
     assert token_counts.count_tokens(brute.frame(spark, []).limit(0), path).count() == 0
 
 
+def test_counts_by_words_are_those_of_whole_texts(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert token_counts.load(path)[1] == " \n" and token_counts.load(public_tokenizers.path("byte_bpe_50k.json"))[1] == ""
+    tok = Tokenizer.from_file(path)
+    rng = np.random.default_rng(21)
+    odd = [" ", " ", "  ", "\n", "\r\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u2028", "\u3000", "'s", "'", "'ll", "dog", "The", "ing", "1", "23", "!?", "\u0301", "\u0308", "e\u0301", "é", "Σ", "ς", "İ", "ß", "日本", "가", "\u1100\u1161", "🎉", "<|endoftext|>", "<|", "|>", "\x00", "-" * 40, "q" * 90]
+    texts = ["".join(rng.choice(odd, rng.integers(0, 60))) for _ in range(3_000)] + ["word " * 40_000 + "end", "x" * 200_000]
+    want = [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+    for words in (1 << 18, 50):
+        monkeypatch.setattr(token_counts, "WORDS", words)
+        token_counts.remembered(path).clear()
+        assert token_counts.counts(texts, path).tolist() == want
+        assert token_counts.counts(texts[::-1], path).tolist() == want[::-1]
+        assert len(token_counts.remembered(path)) <= words and all(len(w) <= token_counts.LONG_WORD for w in token_counts.remembered(path))
+
+
 def test_calls_are_balanced_by_bytes():
     text = "日本 語の " * 500
     pieces = token_counts.cut(text, 200)
