@@ -284,32 +284,35 @@ def _count(table: pa.Table) -> pa.Table:
     return pa.table({"cls": pa.array(out, pa.int64()), "links": pa.array(n, pa.int64())})
 
 
-def _cut(side: DataFrame, limit: int) -> DataFrame:
-    """side with _block: 0 in a tile of up to limit shingles; a larger tile is banded by size, from a histogram, and each band is
-    dealt by hash into as many blocks as its shingles need. So no task ever meets all classes of a tile."""
-    weight = F.greatest("n", F.lit(LIGHT))
-    sized = side.withColumn("_band", F.floor(F.log(F.col("n")) / math.log(SIZE_BAND)).cast("long"))
-    bands = sized.groupBy("tile", "_band").agg(F.sum(weight).alias("_w"))
-    large = bands.groupBy("tile").agg(F.sum("_w").alias("_all")).filter(F.col("_all") > limit).select("tile")
-    parts = saved(bands.join(large, "tile").select("tile", "_band", F.ceil(F.col("_w") / limit).alias("_parts")), "join-blocks")
+def _cut(sides: DataFrame) -> DataFrame:
+    """sides, a written table, with _block: 0 in a tile's side of up to its limit of shingles (left BLOCK, right PARTNERS); a larger
+    one is banded by size, from a histogram, and each band is dealt by hash into as many blocks as its shingles need. So no task
+    ever meets all classes of a tile."""
+    limit = F.when(F.col("left"), BLOCK).otherwise(PARTNERS)
+    sized = sides.withColumn("_band", F.floor(F.log(F.col("n")) / math.log(SIZE_BAND)).cast("long"))
+    bands = sized.groupBy("tile", "left", "_band").agg(F.sum(F.greatest("n", F.lit(LIGHT))).alias("_w"))
+    large = bands.groupBy("tile", "left").agg(F.sum("_w").alias("_all")).filter(F.col("_all") > limit).select("tile", "left")
+    parts = saved(bands.join(large, ["tile", "left"]).select("tile", "left", "_band", F.ceil(F.col("_w") / limit).alias("_parts")), "join-blocks")
     block = F.col("_band") * (1 << 32) + F.pmod(F.xxhash64("cls"), F.col("_parts")) + 1
-    return sized.join(small(parts), ["tile", "_band"], "left").withColumn("_block", F.coalesce(block, F.lit(0).cast("long"))).drop("_band", "_parts")
+    return sized.join(small(parts), ["tile", "left", "_band"], "left").withColumn("_block", F.coalesce(block, F.lit(0).cast("long"))).drop("_band", "_parts")
 
 
-def compare(left: DataFrame, right: DataFrame, signatures: DataFrame, task=_compare, schema: str = "a long, b long") -> DataFrame:
+def compare(left: DataFrame, right: DataFrame, signatures: DataFrame, task=_compare, schema: str = "a long, b long", rows: int | None = None) -> DataFrame:
     """Links (a, b) between the left and the right classes of each tile; both sides have tile, cls, grp, n. A written table.
 
     A tile's left classes are cut into blocks of about BLOCK shingles and its right ones into blocks of PARTNERS; every left
-    block meets the right classes whose size can match.
+    block meets the right classes whose size can match. rows: a bound on the rows of both sides, if one is known.
     """
     weight = F.greatest("n", F.lit(LIGHT))
-    left, right = _cut(left.distinct(), BLOCK).withColumnRenamed("_block", "_l"), _cut(right.distinct(), PARTNERS).withColumnRenamed("_block", "_r")
+    both = left.distinct().withColumn("left", F.lit(True)).unionByName(right.distinct().withColumn("left", F.lit(False)))
+    sides = _cut(saved(both, "join-sides", rows))
+    left, right = sides.filter("left").withColumnRenamed("_block", "_l"), sides.filter("not left").withColumnRenamed("_block", "_r")
     spans = left.groupBy("tile", "_l").agg((F.min("n") * 80).alias("_from"), (F.max("n") * 100).alias("_to"))
     theirs = right.groupBy("tile", "_r").agg((F.max("n") * 100).alias("_high"), (F.min("n") * 80).alias("_low"))
     blocks = spans.join(theirs, "tile").filter("_high >= _from and _low <= _to").drop("_high", "_low")
     columns = ("tile", "_l", "_r", "left", "cls", "grp", "n")
-    mine = left.join(blocks.drop("_from", "_to"), ["tile", "_l"]).withColumn("left", F.lit(True))
-    sent = right.join(blocks, ["tile", "_r"]).filter("n * 100 >= _from and n * 80 <= _to").withColumn("left", F.lit(False))
+    mine = left.join(blocks.drop("_from", "_to"), ["tile", "_l"])
+    sent = right.join(blocks, ["tile", "_r"]).filter("n * 100 >= _from and n * 80 <= _to")
     asked = saved(mine.select(*columns).unionByName(sent.select(*columns)), "join-tiles")
     n, rows = asked.agg(F.coalesce(F.sum(weight), F.lit(0)), F.count_if(~F.col("left"))).collect()[0]
     tasks = asked.select(F.xxhash64("tile", "_l", "_r").alias("tile"), "left", "cls", "grp").withColumn("_task", F.pmod("tile", F.lit(max(1, -(-n // PARTNERS)))))
@@ -367,6 +370,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack
         stars.select(tile, F.col("hub.cls").alias("cls"), F.col("hub.cls").alias("grp"), F.col("hub.n").alias("n")),
         stars.select(tile, "cls", F.col("cls").alias("grp"), "n"),
         signatures,
+        rows=2 * rare.count(),
     )
     groups = components(one).select(F.col("node").alias("cls"), "root")
     two = compare(*_still_apart(rare, groups), signatures)

@@ -1,4 +1,5 @@
 import math
+import pathlib
 import zlib
 from collections import Counter
 
@@ -78,6 +79,34 @@ def test_components_of_a_path(spark):
     assert components.components(edges.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [1 << 19, 0])
+def test_components_in_one_task_and_in_rounds(spark, monkeypatch, most):
+    monkeypatch.setattr(components, "ONE_TASK", most)
+    rng = np.random.default_rng(3)
+    pairs = [tuple(map(int, p)) for p in rng.integers(-200, 200, (150, 2))] + [(1 << 40, -(1 << 40)), (5, 5), (900, 901), (901, 900)]
+    root = {x: x for p in pairs for x in p}
+    for _ in root:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    edges = spark.createDataFrame(pairs, "a long, b long").repartition(3)
+    got = components.components(edges).collect()
+    assert len(got) == len(root) and {r["node"]: r["root"] for r in got} == root
+
+
+def test_join_of_few_links_writes_few_tables(spark):
+    texts = [t for s in range(4) for t in variants(s, " ".join(f"s{s}w{k}" for k in range(80)), 6, 2)]
+    docs = brute.frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+
+    def written():
+        folder = pathlib.Path(common.shared_dir(spark).removeprefix("file:"))
+        return {p.name for p in folder.glob("*")}
+
+    before = written()
+    ngram_join.groups(docs).collect()
+    assert len(written() - before) <= 16
+
+
+
 # nearest neighbours
 
 
