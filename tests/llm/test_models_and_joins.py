@@ -93,7 +93,8 @@ def test_components_in_one_task_and_in_rounds(spark, monkeypatch, most):
     assert len(got) == len(root) and {r["node"]: r["root"] for r in got} == root
 
 
-def test_join_of_few_links_writes_few_tables(spark):
+@pytest.mark.parametrize("query", [ngram_join.groups, ngram_join.representatives])
+def test_join_of_few_links_writes_few_tables(spark, query):
     texts = [t for s in range(4) for t in variants(s, " ".join(f"s{s}w{k}" for k in range(80)), 6, 2)]
     docs = brute.frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
 
@@ -102,7 +103,7 @@ def test_join_of_few_links_writes_few_tables(spark):
         return {p.name for p in folder.glob("*")}
 
     before = written()
-    ngram_join.groups(docs).collect()
+    query(docs).collect()
     assert len(written() - before) <= 16
 
 
