@@ -81,15 +81,21 @@ def _hash(ts: Column) -> Column:
     return F.when(F.size(ts) > 0, F.substring(digits, 2, DIGITS)).otherwise(F.lit(EMPTY))
 
 
-def _subsets(terms_: Column, first_bit: Column) -> Column:
-    """The hashes of LEVELS nested subsets of sorted terms: each keeps the terms of the one before whose next bit is 0."""
+def _families() -> Column:
+    """For each family the bits of its levels, as literals: nothing but a term's own bit is left to do for each term."""
+    return F.array(*(F.array(*(F.lit(1 << g * LEVELS + level).cast("long") for level in range(LEVELS))) for g in range(GROUPS)))
 
-    def step(acc: Column, level: Column) -> Column:
-        kept = F.filter(acc["t"], lambda t: F.call_function("getbit", t, first_bit + level) == 0)
-        return bound(kept, lambda k: F.struct(k.alias("t"), F.concat(acc["h"], F.array(_hash(k))).alias("h")))
 
-    start = F.struct(terms_.alias("t"), F.array().cast("array<string>").alias("h"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), start, step, lambda acc: acc["h"])
+def _subsets(terms_: Column, bits: Column) -> Column:
+    """The hashes of LEVELS nested subsets of sorted terms, each after a space: each keeps the terms of the one before whose next bit
+    is 0. They are gathered as a string, since to append to an array costs more than all filters."""
+
+    def step(acc: Column, bit: Column) -> Column:
+        kept = F.filter(acc["t"], lambda t: t.bitwiseAND(bit) == F.lit(0).cast("long"))
+        return bound(kept, lambda k: F.struct(k.alias("t"), F.concat(acc["h"], F.lit(" "), _hash(k)).alias("h")))
+
+    start = F.struct(terms_.alias("t"), F.lit("").alias("h"))
+    return F.aggregate(bits, start, step, lambda acc: acc["h"])
 
 
 def _print(text: Column, known: Column) -> Column:
@@ -97,8 +103,8 @@ def _print(text: Column, known: Column) -> Column:
 
     def parts(x: Column) -> Column:
         whole = F.when(F.size(x["a"]) > 0, F.lpad(F.hex(F.xxhash64(x["a"])), WHOLE, "0")).otherwise(F.upper(F.sha2(text, 256)))
-        families = F.transform(F.sequence(F.lit(0), F.lit(2 * GROUPS - 1)), lambda g: _subsets(F.when(g < GROUPS, x["a"]).otherwise(x["b"]), F.pmod(g, F.lit(GROUPS)) * LEVELS))
-        return F.concat_ws(" ", whole, F.array_join(F.flatten(families), " "))
+        families = F.flatten(F.transform(F.array(x["a"], x["b"]), lambda own: F.transform(_families(), lambda bits: _subsets(own, bits))))
+        return F.concat(whole, F.array_join(families, ""))
 
     return bound(F.sort_array(known), lambda s: bound(F.struct(s.alias("a"), F.sort_array(F.transform(s, lambda t: F.xxhash64(t))).alias("b")), parts))
 
@@ -108,7 +114,8 @@ def with_print(df: DataFrame, text: str, name: str, words: Lexicon) -> DataFrame
     if words.row is not None:
 
         def known(w: Column) -> Column:
-            return F.filter(terms(F.col(text)), lambda t: F.array_contains(F.element_at(w, t.bitwiseAND(F.size(w) - 1).cast("int") + 1), t))
+            # exists, as array_contains leaves its loop by an exception for each term found
+            return bound((F.size(w) - 1).cast("long"), lambda last: F.filter(terms(F.col(text)), lambda t: F.exists(F.get(w, t.bitwiseAND(last).cast("int")), lambda x: x == t)))
 
         # named once, or each row would carry a copy of the lexicon
         return df.withColumn("_lexicon", words.row.scalar()).withColumn(name, _print(F.col(text), bound(F.col("_lexicon"), known))).drop("_lexicon")

@@ -410,3 +410,10 @@ def test_fingerprints_of_repeated_and_missing_ids(spark):
     assert one["edited"] == "a b" + "a "
     assert fingerprints.compare_edits(brute.frame(spark, []).limit(0)).count() == 0
     assert hashlib.sha256(one["edited"].encode()).hexdigest() == spark.range(1).select(F.sha2(F.lit(one["edited"]), 256)).collect()[0][0]
+
+
+def test_what_holds_for_all_terms_is_not_computed_for_each(spark):
+    # a term needs one look into its bucket, without an exception to leave a loop, and one bit for each level
+    plan = fingerprints.fingerprints(brute.frame(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "exists(" in plan and "aggregate(" in plan
+    assert not [x for x in ("array_contains(", "pmod(", "getbit(") if x in plan]
