@@ -12,6 +12,7 @@ from ..functions.text import draw_order, safe_text, stripped
 from .records import numbered
 from .sampling import allocate_groups, lowest_within
 
+MOST_SOURCES = 100_000
 SPLITS = ("train", "eval", "validation")
 POLICIES = ("strict", "rebalance", "record_only")
 
@@ -31,7 +32,8 @@ def group_rows(rows: DataFrame, source: Sequence[str], order: Sequence[str], tex
 
     Gives the source columns, doc_id (doc_ and eight digits, from 1), text, first_row, last_row, row_count. The position of
     a row in its source is its position among all rows less that of the source's first, so a large source is not
-    ranked in one task.
+    ranked in one task. The first positions are broadcast up to MOST_SOURCES sources, so a large source is not joined in one
+    task either.
     """
     if group_size <= 0:
         raise ValueError("group_size must be > 0")
@@ -39,6 +41,8 @@ def group_rows(rows: DataFrame, source: Sequence[str], order: Sequence[str], tex
     good = rows.filter(fits(F.octet_length(text), min_bytes, max_bytes)).select(*source, *(c for c in order if c not in source), text.alias("_text"))
     placed = numbered(good, [*source, *order], "_at")
     first = placed.groupBy(*source).agg(F.min("_at").alias("_first")).toDF(*(f"_s{i}" for i in range(len(source))), "_first")
+    if first.count() <= MOST_SOURCES:
+        first = F.broadcast(first)
     same = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(source)]
     ranked = placed.join(first, same).withColumn("_at", F.col("_at") - F.col("_first")).withColumn("_group", F.floor(F.col("_at") / group_size))
     if max_docs is not None:

@@ -239,3 +239,16 @@ def test_completion_bodies(spark):
     rows = spark.createDataFrame(bodies, "id int, body string").select("id", completions.token_count(body), completions.prompt_tokens(body), completions.top_rows(body, 2)).orderBy("id").collect()
     assert [(r[1], r[2]) for r in rows] == [(3, [11, 22, 33]), (2, None), (4, None), (9, None)]
     assert [r[3] and [[p["id"] for p in row] for row in r[3]] for r in rows] == [[[22, 7], [33, 9]], None, None, [[2, 1]]]
+
+
+def test_a_source_is_not_joined_in_one_task(spark):
+    rows = spark.range(40).select(F.lit("only").alias("source"), "id", F.col("id").cast("string").alias("text"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = corpus.group_rows(rows, ["source"], ["id"], "text", 4)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted((r["doc_id"], r["text"]) for r in got.collect())[1] == ("doc_00000002", "4\n\n5\n\n6\n\n7\n") and got.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
