@@ -20,9 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{folder}/{sc.applicationId}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """df written as Parquet and read back: every later read sees the same rows, also after an executor is lost."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -20,9 +20,23 @@ def first_seen(records: DataFrame, order: Sequence[str], windows: bool = False)
     return records.withColumn("_signature", signature(windows)).withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n", "_signature")
 
 
+def repeated(records: DataFrame, windows: bool = False) -> bool:
+    """Whether any identity has more than one row. Only the identity's columns are read and only signatures are moved."""
+    return not records.select(signature(windows).alias("_signature")).groupBy("_signature").count().filter("count > 1").isEmpty()
+
+
 def new_only(records: DataFrame, existing: DataFrame, windows: bool = False) -> DataFrame:
-    """Rows whose identity existing does not have; existing needs only the identity's columns."""
+    """Rows whose identity existing does not have; existing needs only the identity's columns.
+
+    Signatures alone tell how many rows are new. If none or all are, no row is moved.
+    """
     seen = existing.select(signature(windows).alias("_signature")).distinct()
+    own = records.select(signature(windows).alias("_signature"))
+    told = own.join(seen.withColumn("_seen", F.lit(True)), "_signature", "left").agg(F.count(F.lit(1)).alias("all"), F.count("_seen").alias("seen")).first()
+    if told["seen"] == told["all"]:
+        return records.limit(0)
+    if not told["seen"]:
+        return records
     return records.withColumn("_signature", signature(windows)).join(seen, "_signature", "left_anti").drop("_signature")
 
 
@@ -30,7 +44,7 @@ def numbered(records: DataFrame, order: Sequence[str], name: str = "ordinal") ->
     """Ordinals from 0 in a total order. Rows are sorted within ranges and written with their place in the range, so the numbers
     stay when an executor is lost; a range's first number is the sum of the sizes of those before."""
     spread = records.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
-    placed = saved(spread, "numbered").withColumn("_part", F.shiftright("_place", 33)).withColumn("_rank", F.col("_place").bitwiseAND((1 << 33) - 1))
+    placed = saved(spread, "numbered", "zstd").withColumn("_part", F.shiftright("_place", 33)).withColumn("_rank", F.col("_place").bitwiseAND((1 << 33) - 1))
     # a row for each range
     sizes = placed.groupBy("_part").count()
     before = sizes.select("_part", (F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("count")).alias("_before"))

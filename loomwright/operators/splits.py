@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import hash_bucket
+from ..functions.text import draw_order, hash_bucket
 from .sampling import lowest_within, subsample
 
 BUCKETS = 10_000
@@ -28,12 +28,19 @@ def _labelled(rows: DataFrame, chosen: DataFrame, label: str, id_col: str) -> Da
 
 
 def by_rank(rows: DataFrame, eval_fraction: float, seed: int, id_col: str = "doc_id") -> DataFrame:
-    """Adds split: exactly round(documents * fraction) documents, the first in a seeded shuffle, are eval."""
+    """Adds split: exactly round(documents * fraction) documents, the first in a seeded shuffle, are eval.
+
+    The last document drawn tells the others, so rows are labelled where they are, without a join.
+    """
     _check(eval_fraction)
     ids = rows.select(id_col).distinct()
     k = round(ids.count() * eval_fraction)  # Python rounds halves to even
-    chosen = subsample(ids, k, seed, (id_col,))
-    return _labelled(rows.withColumn("split", F.lit("train")), chosen, "eval", id_col)
+    order = draw_order(seed, F.col(id_col))
+    last = subsample(ids, k, seed, (id_col,)).agg(F.max(F.struct(order.alias("o"), F.col(id_col).alias("id"))).alias("last")).first()["last"]
+    if last is None:
+        return rows.withColumn("split", F.lit("train"))
+    drawn = (order < last["o"]) | ((order == last["o"]) & (F.col(id_col) <= F.lit(last["id"]).cast(ids.schema[id_col].dataType)))
+    return rows.withColumn("split", F.when(F.col(id_col).isNotNull() & drawn, "eval").otherwise("train"))
 
 
 def with_long_documents(rows: DataFrame, eval_fraction: float, seed: int, min_bytes: int, fraction: float, strategy: str = "prefer_long_docs", id_col: str = "doc_id") -> DataFrame:

@@ -197,7 +197,7 @@ def run(spark: SparkSession, config: Pipeline, docs: DataFrame | None = None) ->
                 made = sampling.teacher_mixture(outputs, total, d.seed + 101 * (i + 1))
             else:
                 made = _stage(kind, config, make_teacher(*members(c)[0], docs), rows)
-            made.drop(*WINDOW_COLUMNS).write.mode("overwrite").parquet(path)
+            made.drop(*WINDOW_COLUMNS).write.mode("overwrite").option("compression", "zstd").parquet(path)
             state["completed_stages"] = sorted({*state["completed_stages"], kind})
             files.write_json(spark, f"{out}/{RESUME}", state | {"last_update_timestamp": sinks.now()})
         good, bad = stages.parted(spark.read.parquet(path))

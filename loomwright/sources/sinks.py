@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,8 @@ def now() -> str:
     return datetime.now(UTC).isoformat()
 
 
-def to_wire(records: DataFrame) -> DataFrame:
-    """One column value: the JSON of each record; vectors packed, bytes in base64, fields that a record lacks null."""
+def to_wire(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of keep, and value: the JSON of each record; vectors packed, bytes in base64, fields that a record lacks null."""
     have = set(records.columns)
     whole, halves = ("top_k_ids", "per_token_token_ids", "per_token_valid_mask"), ("top_k_logprobs", "per_token_entropy", "per_token_top1_gap", "hidden_summary")
     nested = [*whole, *halves, "structured_output", "extra_metadata"]
@@ -46,18 +47,20 @@ def to_wire(records: DataFrame) -> DataFrame:
         cols.append(v.alias(c))
     if "structured_output" not in have and "extra_metadata" in have and dict(records.dtypes)["extra_metadata"] == "string":
         cols[WIRE.fieldNames().index("structured_output")] = F.get_json_object("extra_metadata", "$.structured_output").alias("structured_output")
-    row = records.select(*cols)
+    fields = [f.name for f in WIRE.fields]
+    row = records.select(*keep, *cols)
     # nested fields are JSON already, so the line is put together from its parts
-    parts = [F.concat(F.lit(f'"{c}":'), F.coalesce(F.col(c) if c in nested else F.regexp_extract(F.to_json(F.struct(F.col(c).alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1), F.lit("null"))) for c in row.columns]
-    parts = [F.when(F.col(c).isNull(), F.lit(f'"{c}":null')).otherwise(p) for c, p in zip(row.columns, parts, strict=True)]
-    return row.select(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("value"))
+    parts = [F.concat(F.lit(f'"{c}":'), F.coalesce(F.col(c) if c in nested else F.regexp_extract(F.to_json(F.struct(F.col(c).alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1), F.lit("null"))) for c in fields]
+    parts = [F.when(F.col(c).isNull(), F.lit(f'"{c}":null')).otherwise(p) for c, p in zip(fields, parts, strict=True)]
+    return row.select(*keep, F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("value"))
 
 
-def write_lines(rows: DataFrame, folder: str, size: int, prefix: str, order: tuple[str, ...], append: bool = False, value: str = "value") -> list[str]:
+def write_lines(rows: DataFrame, folder: str, size: int, prefix: str, order: tuple[str, ...], append: bool = False, value: str = "value", made: Callable[[DataFrame], DataFrame] | None = None) -> list[str]:
     """Lines of rows[value] in order into <prefix>-00000.jsonl and so on, size lines each, or one <prefix>.jsonl if size is 0.
 
     append: fills the last shard, then goes on numbering; else shards of that prefix are replaced. Every shard is written by one
-    task and renamed into place.
+    task and renamed into place. made: gives value, shard_id and the columns of order, of rows that were moved to their shards, as
+    lines are wider than what they are made of.
     """
     spark = rows.sparkSession
     own = [n for n in files.names(spark, folder) if n.endswith(".jsonl") and (n == f"{prefix}.jsonl" or n.startswith(f"{prefix}-"))]
@@ -71,7 +74,8 @@ def write_lines(rows: DataFrame, folder: str, size: int, prefix: str, order: tup
     else:
         placed = rows.withColumn("shard_id", F.lit(0))
     part = f"{folder}/_part-{uuid.uuid4().hex}"
-    placed.repartition("shard_id").sortWithinPartitions("shard_id", *order).select("shard_id", F.col(value).alias("value")).write.partitionBy("shard_id").text(part)
+    dealt = placed.repartition("shard_id")
+    (made(dealt) if made else dealt).sortWithinPartitions("shard_id", *order).select("shard_id", F.col(value).alias("value")).write.partitionBy("shard_id").text(part)
     if not append:
         for n in own:
             files.delete(spark, f"{folder}/{n}")
@@ -95,7 +99,7 @@ def write_records(records: DataFrame, folder: str, split: str, order: tuple[str,
     """Writes one split: first of each identity, only new ones if append; then the manifest. Gives the counts."""
     spark = records.sparkSession
     name = prefix or split
-    kept = R.first_seen(records, order) if deduplicate else records
+    kept = R.first_seen(records, order) if deduplicate and R.repeated(records) else records
     if append and kind == "jsonl" and any(n.endswith(".jsonl") and n.startswith(name) for n in files.names(spark, folder)):
         kept = R.new_only(kept, wire_records(spark, f"{folder}/{name}.jsonl"))
     kept = kept.persist()
@@ -105,10 +109,12 @@ def write_records(records: DataFrame, folder: str, split: str, order: tuple[str,
             # partitioned by shard-free split; a rerun replaces the split only
             kept.write.mode("append" if append else "overwrite").option("compression", compression or "snappy").parquet(f"{folder}/{name}.parquet")
         elif written:
-            wire = to_wire(kept.select("*")).select("value")
-            keyed = wire.withColumns({f"_o{i}": F.get_json_object("value", f"$.{c}") for i, c in enumerate(order)})
-            keyed = keyed.withColumns({f"_o{i}": F.col(f"_o{i}").try_cast("long") for i, c in enumerate(order) if c in ("chunk_index", "byte_start")})
-            write_lines(keyed, folder, size, name, tuple(f"_o{i}" for i in range(len(order))), append)
+            # only what lines are made of, ordered by what lines will show
+            have, used = set(kept.columns), {*WIRE.fieldNames(), "raw_bytes"}
+            key = lambda c: (F.col(c) if c in have else F.lit(None)).cast("long" if c in ("chunk_index", "byte_start") else "string")
+            keyed = kept.select(*(c for c in kept.columns if c in used), *(key(c).alias(f"_o{i}") for i, c in enumerate(order)))
+            own = tuple(f"_o{i}" for i in range(len(order)))
+            write_lines(keyed, folder, size, name, own, append, made=lambda rows: to_wire(rows, ("shard_id", *own)))
         stages = [tuple(r) for r in kept.select("stage_name", "teacher_name").distinct().collect()]
     finally:
         kept.unpersist()

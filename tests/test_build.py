@@ -192,3 +192,16 @@ def test_arrays_of_the_byte_teacher_are_its_outputs():
             want = [o.ids, o.logprobs, o.entropy, o.per_token_entropy, o.per_token_top1_gap, o.per_token_token_ids, o.per_token_valid_mask, None, o.tokens]
             assert [c[i] for c in got] == want
     assert [len(c) for c in teacher.arrays([], 3)] == [0] * 9
+
+
+def test_records_are_moved_before_they_are_lines(spark, tmp_path, monkeypatch):
+    moved = []
+    real = sinks.R.numbered
+    monkeypatch.setattr(sinks.R, "numbered", lambda rows, *a: (moved.append(rows.columns), real(rows, *a))[1])
+    rows = spark.range(25).select(F.concat(F.lit("d"), F.col("id") % 3).alias("doc_id"), F.col("id").cast("int").alias("chunk_index"), F.lit(0).cast("long").alias("byte_start"), F.lit(4).cast("long").alias("byte_end"),
+        F.encode(F.col("id").cast("string"), "UTF-8").alias("raw_bytes"), F.lit("train").alias("split"), F.lit("s").alias("stage_name"), F.lit("t").alias("teacher_name"), F.lit("m").alias("mode"), F.array(F.lit(0.5)).alias("per_token_entropy"))
+    told = sinks.write_records(rows.unionByName(rows.limit(2)), str(tmp_path), "train", size=10)
+    assert told == {"split": "train", "records": 25, "skipped": 2} and moved and all("value" not in c and "raw_bytes" in c for c in moved)
+    got = [json.loads(x) for n in sorted(os.listdir(tmp_path)) if n.endswith(".jsonl") for x in (tmp_path / n).read_text().splitlines()]
+    assert [(r["doc_id"], r["chunk_index"]) for r in got] == sorted((f"d{i % 3}", i) for i in range(25)) and got[0]["per_token_entropy"]
+    assert sinks.write_records(rows, str(tmp_path), "train", size=10, append=True)["records"] == 0

@@ -252,3 +252,22 @@ def test_a_source_is_not_joined_in_one_task(spark):
         assert sorted((r["doc_id"], r["text"]) for r in got.collect())[1] == ("doc_00000002", "4\n\n5\n\n6\n\n7\n") and got.count() == 10
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_draw_of_documents_moves_no_rows(spark):
+    rows = spark.range(200).select((F.col("id") % 50).cast("string").alias("doc_id"), F.lit("x").alias("raw")).unionByName(spark.sql("select cast(null as string) doc_id, 'x' raw"))
+    for fraction, seed in ((0.3, 1), (0.02, 5), (0.001, 2), (0.999, 3)):
+        got = splits.by_rank(rows, fraction, seed)
+        assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+        ids = rows.select("doc_id").distinct()
+        want = {r["doc_id"] for r in sampling.subsample(ids, round(51 * fraction), seed, ("doc_id",)).collect()} - {None}
+        assert {r["doc_id"] for r in got.filter("split = 'eval'").collect()} == want and got.count() == 201
+
+
+def test_signatures_tell_what_is_new_without_moving_records(spark):
+    r = record(spark, [(d, k, 0, 4, "s", "t", "m", 1) for d in "ab" for k in range(3)])
+    assert records.repeated(r.unionByName(r.limit(1))) and not records.repeated(r)
+    for existing, n in ((r, 0), (r.filter("doc_id = 'z'"), 6)):
+        got = records.new_only(r, existing)
+        assert got.count() == n and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {x["doc_id"] for x in records.new_only(r, r.filter("doc_id = 'a'")).collect()} == {"b"}
