@@ -356,9 +356,13 @@ def teacher_bigram_topk(spark, sf):
     return tops.select(F.col("before").alias("byte"), listed(F.transform("t", lambda x: x["id"])).alias("ids"), r6(logs).alias("logprob_sum"))
 
 
-def signalled(spark, sf) -> DataFrame:
+def signalled(spark, sf, *fields: str) -> DataFrame:
+    """Chunks with the byte teacher's signals; fields: the lists that are used, all if none is named."""
     d = docs(spark, sf)
-    return stages.stage_a(chunking.chunk(d), teachers.train_bigram(d), 4).filter("error is null")
+    return stages.stage_a(chunking.chunk(d), teachers.train_bigram(d), 4, fields=fields or None).filter("error is null")
+
+
+ENTROPY, GAP = "per_token_entropy", "per_token_top1_gap"
 
 
 #: Positions of every chunk with their signals: doc_id, k, i (from 0), h, gap, m (positions).
@@ -371,7 +375,7 @@ keys AS (SELECT doc_id, k, size FROM cl)"""
 @query("teacher_bigram_signals", f"""WITH {POSITION_SQL} SELECT keys.doc_id, keys.k AS chunk_index, CAST(keys.size AS BIGINT) AS tokens, CAST(count(i) AS BIGINT) AS n_rows, round(coalesce(avg(h), 0.0), 6) AS entropy, round(coalesce(sum(gap), 0.0), 4) AS gap_sum
 FROM keys LEFT JOIN pos ON keys.doc_id = pos.doc_id AND keys.k = pos.k GROUP BY 1, 2, 3""")
 def teacher_bigram_signals(spark, sf):
-    s = signalled(spark, sf)
+    s = signalled(spark, sf, "top_k_ids", GAP)
     gaps = F.aggregate("per_token_top1_gap", F.lit(0.0), lambda a, x: a + x)
     return s.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.col("teacher_input_token_length").alias("tokens"), F.size("top_k_ids").cast("long").alias("n_rows"), r6("entropy").alias("entropy"), F.round(gaps, 4).alias("gap_sum"))
 
@@ -400,7 +404,7 @@ SELECT keys.doc_id, keys.k AS chunk_index, CAST(count(i) AS BIGINT) AS selected,
 
 
 def masked(spark, sf, entropy, gap, combine="union", minimum=None) -> DataFrame:
-    s = signalled(spark, sf).withColumn("_m", positions.select(F.col("per_token_entropy"), F.col("per_token_top1_gap"), entropy, gap, combine, minimum)).withColumn("_on", positions.selected(F.col("_m")))
+    s = signalled(spark, sf, ENTROPY, GAP).withColumn("_m", positions.select(F.col("per_token_entropy"), F.col("per_token_top1_gap"), entropy, gap, combine, minimum)).withColumn("_on", positions.selected(F.col("_m")))
     total = F.aggregate("_on", F.lit(0).cast("long"), lambda a, x: a + x)
     return s.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.size("_on").cast("long").alias("selected"), total.alias("position_sum"))
 
@@ -425,20 +429,20 @@ isl AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, k ORDER BY i) AS w FROM
 @query("select_windows", f"""WITH {WINDOW_SQL} SELECT keys.doc_id, keys.k AS chunk_index, CAST(count(ws) AS BIGINT) AS windows, CAST(coalesce(sum(we - ws + 1), 0) AS BIGINT) AS covered, CAST(coalesce(sum(ws), 0) AS BIGINT) AS start_sum
 FROM keys LEFT JOIN win ON keys.doc_id = win.doc_id AND keys.k = win.k GROUP BY 1, 2""")
 def select_windows(spark, sf):
-    s = signalled(spark, sf).withColumn("_w", positions.windows(positions.at_most(F.col("per_token_top1_gap"), 0.05), 2))
+    s = signalled(spark, sf, GAP).withColumn("_w", positions.windows(positions.at_most(F.col("per_token_top1_gap"), 0.05), 2))
     add = lambda f: F.aggregate("_w", F.lit(0).cast("long"), lambda a, w: a + f(w))
     return s.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.size("_w").cast("long").alias("windows"), add(lambda w: w["end"] - w["start"] + 1).alias("covered"), add(lambda w: w["start"]).alias("start_sum"))
 
 
 @query("export_selected_windows", f"WITH {WINDOW_SQL} SELECT doc_id, k AS chunk_index, CAST(ws AS BIGINT) AS window_start, CAST(we AS BIGINT) AS window_end, CAST(inside AS BIGINT) AS selected, CAST(we - ws + 1 AS BIGINT) AS n_rows FROM win")
 def export_selected_windows(spark, sf):
-    out = records.apply_policy(signalled(spark, sf), "selected_windows", gap=0.05, radius=2)
+    out = records.apply_policy(signalled(spark, sf, "top_k_ids", GAP), "selected_windows", gap=0.05, radius=2)
     return out.select("doc_id", *(F.col(a).cast("long").alias(b) for a, b in (("chunk_index", "chunk_index"), ("selected_window_start", "window_start"), ("selected_window_end", "window_end"), ("selected_position_count", "selected"))), F.size("top_k_ids").cast("long").alias("n_rows"))
 
 
 @query("export_position_mask", mask_sql(f"h >= {H} OR gap <= {G}"))
 def export_position_mask(spark, sf):
-    out = records.apply_policy(signalled(spark, sf), "position_mask", H, G)
+    out = records.apply_policy(signalled(spark, sf, ENTROPY, GAP), "position_mask", H, G)
     total = F.aggregate("selected_positions", F.lit(0).cast("long"), lambda a, x: a + x)
     return out.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.col("selected_position_count").cast("long").alias("selected"), total.alias("position_sum"))
 
@@ -446,7 +450,7 @@ def export_position_mask(spark, sf):
 @query("policy_preview", f"""WITH {WINDOW_SQL}, per AS (SELECT keys.doc_id, keys.k, keys.size - 1 AS m, count(ws) AS nw, coalesce(sum(we - ws + 1), 0) AS covered, coalesce(sum(inside), 0) AS ns FROM keys LEFT JOIN win ON keys.doc_id = win.doc_id AND keys.k = win.k GROUP BY 1, 2, 3)
 SELECT count(*) AS records, CAST(sum(ns) AS BIGINT) AS selected_positions, CAST(sum(nw) AS BIGINT) AS windows, round(avg(CASE WHEN m > 0 THEN covered / m ELSE 0.0 END), 6) AS mean_compression FROM per""")
 def policy_preview(spark, sf):
-    s = signalled(spark, sf).withColumn("mask", positions.at_most(F.col("per_token_top1_gap"), 0.05)).withColumn("windows", positions.windows(F.col("mask"), 2))
+    s = signalled(spark, sf, GAP).withColumn("mask", positions.at_most(F.col("per_token_top1_gap"), 0.05)).withColumn("windows", positions.windows(F.col("mask"), 2))
     return metrics.policy_preview(s).withColumn("mean_compression", r6("mean_compression"))
 
 

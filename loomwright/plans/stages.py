@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -24,13 +24,20 @@ OUTPUTS = schema(
 BATCH = 16
 
 
-def infer(rows: DataFrame, teacher: Teacher, data: str, k: int) -> DataFrame:
-    """Adds the teacher's outputs of rows[data]. A record whose batch fails is tried alone; if that fails, its error is kept."""
+def infer(rows: DataFrame, teacher: Teacher, data: str, k: int, fields: Collection[str] | None = None) -> DataFrame:
+    """Adds the teacher's outputs of rows[data]. A record whose batch fails is tried alone; if that fails, its error is kept.
+
+    fields: the lists that are used, as Spark cannot tell; other lists stay null and are not moved out of Python. All if None.
+    """
     kept = [c for c in rows.columns if c not in OUTPUTS.fieldNames()]
     rows = rows.select(*kept)
     made = T.StructType([*(rows.schema[c] for c in kept), *OUTPUTS.fields])
     types = [pa.list_(pa.list_(pa.int64())), pa.list_(pa.list_(pa.float64())), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.float64()), pa.int64(), pa.int64(), pa.string()]
 
+    def used(n: int, cols: list[pa.Array]) -> list[pa.Array]:
+        unused = [fields is not None and pa.types.is_list(t) and f not in fields for f, t in zip(OUTPUTS.fieldNames(), types, strict=True)]
+        return [pa.nulls(n, t) if no else c for no, c, t in zip(unused, cols, types, strict=True)]
+
     def tried(inputs: list[bytes]) -> list[tuple[Output | None, str | None]]:
         try:
             out = teacher.topk(inputs, k)
@@ -44,7 +51,7 @@ def infer(rows: DataFrame, teacher: Teacher, data: str, k: int) -> DataFrame:
 
     def whole_batch(inputs: list[bytes]) -> list[pa.Array] | None:
         try:
-            return teacher.arrays(inputs, k)
+            return teacher.arrays(inputs, k) if fields is None else teacher.arrays(inputs, k, fields)
         except Exception:  # which record it is comes out one by one
             return None
 
@@ -58,7 +65,7 @@ def infer(rows: DataFrame, teacher: Teacher, data: str, k: int) -> DataFrame:
                     if (made_arrays := whole_batch(inputs)) is not None:
                         sizes = pa.array([len(d) for d in inputs], pa.int64())
                         cols = [*made_arrays[:8], sizes, made_arrays[8], pa.nulls(len(inputs), pa.string())]
-                        yield pa.RecordBatch.from_arrays([*b.columns, *(c.cast(t) for c, t in zip(cols, types, strict=True))], made.fieldNames())
+                        yield pa.RecordBatch.from_arrays([*b.columns, *(c.cast(t) for c, t in zip(used(len(inputs), cols), types, strict=True))], made.fieldNames())
                         continue
                     cells = []
                     for (o, error), d in zip(tried(inputs), inputs, strict=True):
@@ -67,7 +74,7 @@ def infer(rows: DataFrame, teacher: Teacher, data: str, k: int) -> DataFrame:
                         else:
                             cells.append((o.ids, o.logprobs, o.entropy, o.per_token_entropy, o.per_token_top1_gap, o.per_token_token_ids, o.per_token_valid_mask, o.hidden_summary, len(d), o.tokens, None))
                     cols = [pa.array(c, t) for c, t in zip(zip(*cells, strict=True), types, strict=True)]
-                    yield pa.RecordBatch.from_arrays([*b.columns, *cols], made.fieldNames())
+                    yield pa.RecordBatch.from_arrays([*b.columns, *used(len(inputs), cols)], made.fieldNames())
         finally:
             teacher.close()
 
@@ -126,13 +133,14 @@ def _named(rows: DataFrame, stage: str, teacher: Teacher, mode: str) -> DataFram
     return rows.withColumns({"stage_name": F.lit(stage), "teacher_name": F.lit(teacher.name), "mode": F.lit(mode)})
 
 
-def stage_a(chunks: DataFrame, teacher: Teacher, k: int = 32, mode: str = "topk_logits", filtering: bool = False, selection: str = "none", entropy: float | None = None, gap: float | None = None, radius: int = 0, combine: str = "union", minimum: int | None = None) -> DataFrame:
-    """Candidates and signals of every chunk, then the position policy. The signals that thresholds need must be supported."""
+def stage_a(chunks: DataFrame, teacher: Teacher, k: int = 32, mode: str = "topk_logits", filtering: bool = False, selection: str = "none", entropy: float | None = None, gap: float | None = None, radius: int = 0, combine: str = "union", minimum: int | None = None, fields: Collection[str] | None = None) -> DataFrame:
+    """Candidates and signals of every chunk, then the position policy. The signals that thresholds need must be supported.
+    fields: as in infer."""
     if filtering:
         check_policy(selection, entropy, gap, radius, minimum)
     signals = (("per_token_entropy",) if filtering and entropy is not None else ()) + (("per_token_top1_gap",) if filtering and gap is not None else ())
     require(teacher.name, mode, signals)
-    out = _named(infer(chunks, teacher, "raw_bytes", k), "stage_a", teacher, mode)
+    out = _named(infer(chunks, teacher, "raw_bytes", k, fields), "stage_a", teacher, mode)
     if not filtering or selection == "none":
         return out
     good = apply_policy(out.filter("error is null"), selection, entropy, gap, radius, combine, minimum)

@@ -205,3 +205,28 @@ def test_records_are_moved_before_they_are_lines(spark, tmp_path, monkeypatch):
     got = [json.loads(x) for n in sorted(os.listdir(tmp_path)) if n.endswith(".jsonl") for x in (tmp_path / n).read_text().splitlines()]
     assert [(r["doc_id"], r["chunk_index"]) for r in got] == sorted((f"d{i % 3}", i) for i in range(25)) and got[0]["per_token_entropy"]
     assert sinks.write_records(rows, str(tmp_path), "train", size=10, append=True)["records"] == 0
+
+
+def test_only_the_lists_that_are_used_leave_python(spark):
+    docs = spark.createDataFrame([("a", "the first text, twice the same " * 9), ("b", ""), ("c", "x"), ("d", "é and the rest"), ("e", None)], "doc_id string, text string")
+    teacher, rows = teachers.train_bigram(docs), chunking.chunk(docs, 64, 8)
+    whole = {(r["doc_id"], r["chunk_index"]): r for r in stages.infer(rows, teacher, "raw_bytes", 4).collect()}
+    part = stages.infer(rows, teacher, "raw_bytes", 4, ("per_token_top1_gap", "top_k_ids")).collect()
+    assert len(part) == len(whole) > 3
+    for r in part:
+        w = whole[(r["doc_id"], r["chunk_index"])]
+        assert all(r[c] == w[c] for c in ("per_token_top1_gap", "top_k_ids", "entropy", "teacher_input_token_length", "error"))
+        assert all(r[c] is None for c in ("top_k_logprobs", "per_token_entropy", "per_token_token_ids", "per_token_valid_mask"))
+    # a teacher without arrays, too
+    d = stages.infer(rows, teachers.create("dummy"), "raw_bytes", 4, ("top_k_ids",)).first()
+    assert d["top_k_ids"] == [[0, 1, 2, 3]] and d["top_k_logprobs"] is None and d["entropy"] is not None
+
+
+def test_bigrams_are_counted_within_each_text(spark):
+    texts = ["", "ab", "a", "", "abcab", "bc" * 40, ""]
+    want = {}
+    for t in texts:
+        for p in zip(t.encode(), t.encode()[1:], strict=False):
+            want[p] = want.get(p, 0) + 1
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    assert {(r["before"], r["next"]): r["n"] for r in teachers.bigram_counts(docs).collect()} == want
