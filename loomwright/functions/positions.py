@@ -21,11 +21,11 @@ def at_most(values: Column, threshold: float) -> Column:
     return F.transform(values, lambda v: v <= F.lit(float(threshold)))
 
 
-def combined(a: Column, b: Column, mode: str = "union") -> Column:
-    """Masks of one length; others fail the query."""
+def combined(a: Column, b: Column, mode: str = "union", on_a: Callable[[Column], Column] = lambda x: x, on_b: Callable[[Column], Column] = lambda x: x) -> Column:
+    """Masks of one length, or values with what makes masks of them in the same pass; other lengths fail the query."""
     if mode not in ("union", "intersection"):
         raise ValueError("mode must be 'union' or 'intersection'")
-    both = F.zip_with(a, b, lambda x, y: (x | y) if mode == "union" else (x & y))
+    both = F.zip_with(a, b, lambda x, y: (on_a(x) | on_b(y)) if mode == "union" else (on_a(x) & on_b(y)))
     return F.when(F.size(a) == F.size(b), both).otherwise(F.raise_error(F.lit("position masks differ in length")).cast("array<boolean>"))
 
 
@@ -46,8 +46,9 @@ def with_minimum(mask: Column, minimum: int | None) -> Column:
 
 def selected(mask: Column) -> Column:
     """Indexes of the positions that are on."""
-    none = F.array().cast("array<int>")
-    return bound(mask, lambda m: F.when(F.size(m) > 0, F.filter(F.sequence(F.lit(0), F.size(m) - 1), lambda i: F.get(m, i))).otherwise(none))
+    # one pass of the mask; the off ones go without another
+    on = F.array_remove(F.transform(mask, lambda x, i: F.when(x, i).otherwise(F.lit(-1))), F.lit(-1))
+    return F.coalesce(on, F.array().cast("array<int>"))
 
 
 def merged(windows: Column) -> Column:
@@ -68,23 +69,25 @@ def merged(windows: Column) -> Column:
 def windows(mask: Column, radius: int) -> Column:
     """Merged windows of radius around the positions that are on: start, end and how many of them are in it.
 
-    A position begins a window if none before it is near enough to share one, and ends one likewise, so the k-th beginning
-    and the k-th end are one window: no fold over the positions is needed.
+    A position begins a window if none before it is near enough to share one, and the window ends with the position before the
+    next beginning: no fold over the positions is needed.
     """
     if radius < 0:
         raise ValueError("radius must be >= 0")
-    far = lambda a, b: b - a > 2 * radius  # noqa: E731  the windows of a and b share no position
 
     def joined(x: Column) -> Column:
         on, n = x["on"], x["n"]
-        numbers = F.sequence(F.lit(0), F.size(on) - 1)  # windows are runs of these
-        ends = F.filter(numbers, lambda i: F.coalesce(far(F.get(on, i), F.get(on, i + 1)), F.lit(True)))
-        begins = F.filter(numbers, lambda i: (i == 0) | far(F.get(on, i - 1), F.get(on, i)))
+        fresh = lambda at, i: (i == 0) | (at - F.get(on, i - 1) > 2 * radius)  # noqa: E731  shares no position with the window before
+        begins = F.array_remove(F.transform(on, lambda at, i: F.when(fresh(at, i), i).otherwise(F.lit(-1))), F.lit(-1))
 
-        def window(b: Column, e: Column) -> Column:
-            return F.struct(F.greatest(F.get(on, b) - radius, F.lit(0)).alias("start"), F.least(F.get(on, e) + radius, n - 1).alias("end"), (e - b + 1).alias("count"))
+        def all_of(begins: Column) -> Column:
+            def window(b: Column, k: Column) -> Column:
+                e = F.coalesce(F.get(begins, k + 1), F.size(on)) - 1
+                return F.struct(F.greatest(F.get(on, b) - radius, F.lit(0)).alias("start"), F.least(F.get(on, e) + radius, n - 1).alias("end"), (e - b + 1).alias("count"))
 
-        return F.when(F.size(on) > 0, F.zip_with(begins, ends, window)).when(on.isNotNull(), F.array().cast("array<struct<start:int,end:int,count:int>>"))
+            return F.transform(begins, window)
+
+        return bound(begins, all_of)
 
     return bound(bound(mask, lambda m: F.struct(selected(m).alias("on"), F.size(m).alias("n"))), joined)
 
@@ -97,12 +100,12 @@ def select(entropy: Column | None, gap: Column | None, entropy_threshold: float
             raise ValueError(f"{name} is required by its threshold")
         return F.when(values.isNotNull(), values).otherwise(F.raise_error(F.lit(f"{name} is required by its threshold")).cast("array<double>"))
 
-    high = at_least(needed(entropy, "per_token_entropy"), entropy_threshold) if entropy_threshold is not None else None
-    near = at_most(needed(gap, "per_token_top1_gap"), gap_threshold) if gap_threshold is not None else None
+    high = needed(entropy, "per_token_entropy") if entropy_threshold is not None else None
+    near = needed(gap, "per_token_top1_gap") if gap_threshold is not None else None
     if high is not None and near is not None:
-        mask = combined(high, near, combine)
+        mask = combined(high, near, combine, lambda e: e >= F.lit(float(entropy_threshold)), lambda g: g <= F.lit(float(gap_threshold)))
     elif high is not None or near is not None:
-        mask = high if high is not None else near
+        mask = at_least(high, entropy_threshold) if high is not None else at_most(near, gap_threshold)
     else:
         known = [c for c in (entropy, gap) if c is not None]
         mask = F.transform(F.coalesce(*known, F.array().cast("array<double>")), lambda _: F.lit(False))

@@ -216,3 +216,15 @@ def test_lines_of_vectors_are_those_of_pack(spark):
     assert [r[0] for r in one_row.collect()] == [[[4, 5]], [[6, 7]]]
     with pytest.raises(Exception, match="32 bits"):
         spark.createDataFrame([([-1],)], "v array<long>").select(codec.packed_lines(F.col("v"))).collect()
+
+
+def test_masks_are_made_in_one_pass(spark):
+    rows = spark.sql("""select * from values (array(1d, 3d, null, double('nan')), array(0.1d, null, 0.9d, 0.2d)), (array(), array()), (array(2d), array(5d)) as t(e, g)""")
+    for mode in ("union", "intersection"):
+        fused = positions.select(F.col("e"), F.col("g"), 2.0, 0.2, mode)
+        apart = positions.combined(positions.at_least(F.col("e"), 2.0), positions.at_most(F.col("g"), 0.2), mode)
+        got = rows.select(fused.alias("a"), apart.alias("b"), positions.selected(fused).alias("on"))
+        assert got._jdf.queryExecution().analyzed().toString().split(" AS a#")[0].count("lambdafunction(") == 1
+        for r in got.collect():
+            assert r["a"] == r["b"] and r["on"] == [i for i, x in enumerate(r["a"]) if x]
+    assert rows.select(positions.selected(F.lit(None).cast("array<boolean>")).alias("on")).first()["on"] == []
